@@ -66,21 +66,21 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: tuple[s
     keys = tuple(keys)
     cnt = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     cum = prefix_sum(cnt, value, "_n", keys, "_cb", buckets)
-    tot = cnt.groupBy(*keys).agg(F.sum("_n").alias("_N"))
+    tot = cnt.groupBy(*keys).agg(F.sum("_n").alias("_tot"))
     cum = cum.join(tot, list(keys)) if keys else cum.withColumn(
-        "_N", cnt.select(F.sum("_n")).scalar())
+        "_tot", cnt.select(F.sum("_n")).scalar())
     targets = F.array(*[
         F.struct(F.lit(float(p)).alias("p"), F.lit(k).alias("k"),
-                 (F.floor((F.col("_N") - 1) * F.lit(float(p))) + F.lit(k)).alias("r"))
+                 (F.floor((F.col("_tot") - 1) * F.lit(float(p))) + F.lit(k)).alias("r"))
         for p in probs for k in (0, 1)])
     hit = cum.select(*keys, value, F.explode(F.filter(
         targets, lambda t: (t["r"] >= F.col("_cb")) & (t["r"] < F.col("_cb") + F.col("_n"))))
-        .alias("t"), "_N")
+        .alias("t"), "_tot")
     per = (hit.groupBy(*keys, F.col("t.p").alias("prob"))
            .agg(F.max(F.when(F.col("t.k") == 0, F.col(value))).alias("_v0"),
                 F.max(F.when(F.col("t.k") == 1, F.col(value))).alias("_v1"),
-                F.max("_N").alias("_N")))
-    h = (F.col("_N") - 1) * F.col("prob")
+                F.max("_tot").alias("_tot")))
+    h = (F.col("_tot") - 1) * F.col("prob")
     frac = h - F.floor(h)
     v1 = F.coalesce(F.col("_v1"), F.col("_v0"))
     return per.select(*keys, "prob",

@@ -45,4 +45,4 @@ def all_oracles() -> dict[str, str]:
 
 def _load() -> None:
     # importing the modules registers their queries
-    from cohortia.plans import q_activity, q_anomaly, q_cohorts, q_experiment  # noqa: F401
+    from cohortia.plans import q_activity, q_anomaly, q_cohorts, q_eda, q_experiment  # noqa: F401
