@@ -18,7 +18,7 @@ PERIOD = (dt.date(2024, 1, 1), YESTERDAY)
 @register("retention_by_distance", """
 WITH users_days AS (
   SELECT CAST(l.time AS DATE) AS day, l.user_id, r.birthday,
-         date_diff('day', r.birthday, CAST(l.time AS DATE)) AS days_distance
+         CAST(date_diff('day', r.birthday, CAST(l.time AS DATE)) AS INTEGER) AS days_distance
   FROM feed_actions l
   LEFT JOIN (SELECT user_id, min(CAST(time AS DATE)) AS birthday FROM feed_actions GROUP BY user_id) r
     ON l.user_id = r.user_id),
@@ -119,7 +119,7 @@ def q_app_retention_distinct(spark, d):
 
 @register("campaign_cohort_compare", f"""
 WITH r AS (SELECT birthday, day, CAST(sum(num_of_users) AS BIGINT) AS num_of_users,
-                  date_diff('day', birthday, day) AS days_distance
+                  CAST(date_diff('day', birthday, day) AS INTEGER) AS days_distance
            FROM ({_APP_DISTINCT}) a GROUP BY birthday, day),
 s AS (SELECT *, max(CASE WHEN days_distance = 0 THEN num_of_users END)
                   OVER (PARTITION BY birthday) AS cohort_size FROM r)

@@ -213,7 +213,7 @@ WITH p AS ({_POSTS}),
 z AS (SELECT (views - (SELECT avg(views) FROM p)) / (SELECT stddev_samp(views) FROM p) AS vz,
              (likes - (SELECT avg(likes) FROM p)) / (SELECT stddev_samp(likes) FROM p) AS lz FROM p),
 q AS (SELECT quantile_cont(vz, [{probs}]) AS xq, quantile_cont(lz, [{probs}]) AS yq FROM z),
-pr AS (SELECT unnest([{probs}]) AS prob, unnest(generate_series(1, {n})) AS k)
+pr AS (SELECT CAST(unnest([{probs}]) AS DOUBLE) AS prob, unnest(generate_series(1, {n})) AS k)
 SELECT pr.prob, q.xq[pr.k] AS x_q, q.yq[pr.k] AS y_q FROM pr, q"""
 
 

@@ -170,7 +170,7 @@ def _bootstrap_sql() -> str:
     return f"""
 WITH u AS ({_users_sql(AB)}),
 r AS (SELECT u.exp_group, u.likes, u.views, g.replicate, {poisson_weight_sql(h)} AS w
-      FROM u, (SELECT range AS replicate FROM range(1, {N_BOOT + 1})) g),
+      FROM u, (SELECT CAST(range AS INTEGER) AS replicate FROM range(1, {N_BOOT + 1})) g),
 s AS (SELECT replicate,
              sum(w * likes) FILTER (WHERE exp_group = {c}) AS lc, sum(w * views) FILTER (WHERE exp_group = {c}) AS vc,
              sum(w * likes) FILTER (WHERE exp_group = {t}) AS lt, sum(w * views) FILTER (WHERE exp_group = {t}) AS vt

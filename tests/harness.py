@@ -51,6 +51,29 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+def spark_types(schema) -> dict[str, str]:
+    m = {"long": "int64", "integer": "int32", "short": "int16", "byte": "int8", "double": "float64",
+         "float": "float32", "string": "string", "date": "date", "timestamp": "timestamp",
+         "timestamp_ntz": "timestamp", "boolean": "bool"}
+    return {f.name: m.get(f.dataType.typeName(), f.dataType.typeName()) for f in schema.fields}
+
+
+def duck_types(rel) -> dict[str, str]:
+    m = {"BIGINT": "int64", "INTEGER": "int32", "SMALLINT": "int16", "TINYINT": "int8",
+         "DOUBLE": "float64", "FLOAT": "float32", "VARCHAR": "string", "DATE": "date",
+         "TIMESTAMP": "timestamp", "BOOLEAN": "bool"}
+    out = {}
+    for name, t in zip(rel.columns, rel.types):
+        t = str(t)
+        out[name] = "array" if t.endswith("[]") else m.get(t, t)
+    return out
+
+
+def compare_types(st: dict[str, str], dt_: dict[str, str]) -> str | None:
+    bad = {k: (st[k], dt_.get(k)) for k in st if st[k] != dt_.get(k)}
+    return f"types differ: {bad}" if bad else None
+
+
 def compare(spark_pdf: pd.DataFrame, oracle_pdf: pd.DataFrame) -> str | None:
     if sorted(spark_pdf.columns) != sorted(oracle_pdf.columns):
         return f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(oracle_pdf.columns)}"
@@ -71,7 +94,9 @@ def check(spark, sf_dir: str, names: list[str] | None = None, verbose: bool = Tr
     for name in names or list(qs):
         t0 = time.time()
         try:
-            sp = qs[name](spark, sf_dir).toPandas()
+            sdf = qs[name](spark, sf_dir)
+            stypes = spark_types(sdf.schema)
+            sp = sdf.toPandas()
         except Exception as e:  # noqa: BLE001
             results[name] = f"spark error: {type(e).__name__}: {str(e)[:300]}"
             print(name, results[name]) if verbose else None
@@ -82,12 +107,16 @@ def check(spark, sf_dir: str, names: list[str] | None = None, verbose: bool = Tr
             print(f"{name:32s} rows={len(sp):6d} spark={ts:5.2f}s (no oracle)") if verbose else None
             continue
         try:
-            ora = con.execute(sqls[name]).df()
+            rel = con.sql(sqls[name])
+            dtypes = duck_types(rel)
+            ora = rel.df()
         except Exception as e:  # noqa: BLE001
             results[name] = f"oracle error: {str(e)[:300]}"
             print(name, results[name]) if verbose else None
             continue
         err = compare(sp, ora)
+        if err is None:
+            err = compare_types(stypes, dtypes)
         results[name] = err
         if verbose:
             print(f"{name:32s} rows={len(sp):6d} spark={ts:5.2f}s {'OK' if err is None else 'FAIL ' + err}")
