@@ -45,4 +45,5 @@ def all_oracles() -> dict[str, str]:
 
 def _load() -> None:
     # importing the modules registers their queries
-    from cohortia.plans import q_activity, q_anomaly, q_cohorts, q_eda, q_etl, q_experiment  # noqa: F401
+    from cohortia.plans import (q_activity, q_anomaly, q_cohorts, q_eda, q_etl,  # noqa: F401
+                                q_experiment, q_streaming)
