@@ -42,3 +42,14 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+def scalars(df: DataFrame, **aggs: Column) -> dict[str, Column]:
+    """Several global aggregates of ``df`` as ONE scalar subquery (a struct).
+
+    Each returned Column reads one field of the same subquery, which Spark
+    plans once (identical subqueries are reused), so a group of moments or
+    ranges costs one pass over ``df`` — no constant-key or cross join needed.
+    """
+    s = df.select(F.struct(*[c.alias(k) for k, c in aggs.items()])).scalar()
+    return {k: s.getField(k) for k in aggs}

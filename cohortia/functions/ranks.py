@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortia.functions.metrics import scalars
+
 DEFAULT_BUCKETS = 1024
 
 
@@ -32,10 +34,11 @@ def prefix_sum(df: DataFrame, order_col: str, sum_col: str, keys: tuple[str, ...
     ``order_col`` (``order_col`` must be unique within ``keys``)."""
     keys = tuple(keys)
     rng = df.groupBy(*keys).agg(F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
-    x = (df.join(rng, list(keys)) if keys else
-         df.select("*", *[c.alias(n) for c, n in (
-             (df.select(F.min(order_col)).scalar(), "_lo"),
-             (df.select(F.max(order_col)).scalar(), "_hi"))]))
+    if keys:
+        x = df.join(rng, list(keys))
+    else:
+        r = scalars(df, _lo=F.min(order_col), _hi=F.max(order_col))
+        x = df.select("*", r["_lo"].alias("_lo"), r["_hi"].alias("_hi"))
     x = x.withColumn("_b", _bucket(F.col(order_col), F.col("_lo"), F.col("_hi"), buckets)) \
          .drop("_lo", "_hi")
     tot = x.groupBy(*keys, "_b").agg(F.sum(sum_col).alias("_bt"))

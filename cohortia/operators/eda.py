@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortia.functions.metrics import ratio
+from cohortia.functions.metrics import ratio, scalars
 from cohortia.functions.ranks import exact_quantiles
 from cohortia.functions.timefn import day, hour_start, seconds_between
 
@@ -99,9 +99,11 @@ def describe_by_group(df: DataFrame, value: str, keys: tuple[str, ...] = ()) ->
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], keys)
     qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
                                 for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    if not keys:  # one global row on each side: join on a constant key
-        base, qw = base.withColumn("_k", F.lit(0)), qw.withColumn("_k", F.lit(0))
-    out = base.join(qw, list(keys) or ["_k"])
+    if not keys:  # one global row: the quartiles are read as one scalar subquery
+        sq = scalars(qw, q25=F.first("q25"), q50=F.first("q50"), q75=F.first("q75"))
+        out = base.select("*", *[sq[n].alias(n) for n in ("q25", "q50", "q75")])
+    else:
+        out = base.join(qw, list(keys))
     return out.select(*keys, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -114,12 +116,9 @@ def skewness(df: DataFrame, cols: list[str]) -> DataFrame:
 def zscore(df: DataFrame, cols: list[str], suffix: str = "_z") -> DataFrame:
     """(x − mean) / std (sample std) as new columns; the moments are one global
     aggregation referenced as scalar subqueries (no unpartitioned window)."""
-    out = df
-    for c in cols:
-        m = df.select(F.avg(c)).scalar()
-        s = df.select(F.stddev_samp(c)).scalar()
-        out = out.withColumn(c + suffix, F.try_divide(F.col(c) - m, s))
-    return out
+    mom = scalars(df, **{f"m_{c}": F.avg(c) for c in cols}, **{f"s_{c}": F.stddev_samp(c) for c in cols})
+    return df.select("*", *[F.try_divide(F.col(c) - mom[f"m_{c}"], mom[f"s_{c}"]).alias(c + suffix)
+                            for c in cols])
 
 
 # ---------------------------------------------------------------- chart data
@@ -130,8 +129,8 @@ def histogram(df: DataFrame, value: str, bins: int = 20, keys: tuple[str, ...] =
     keys = tuple(keys)
     v = F.col(value).cast("double")
     d = df.where(v.isNotNull())
-    lo = d.select(F.min(v)).scalar()
-    hi = d.select(F.max(v)).scalar()
+    r = scalars(d, lo=F.min(v), hi=F.max(v))
+    lo, hi = r["lo"], r["hi"]
     width = (hi - lo) / bins
     b = F.least(F.coalesce(F.floor(F.try_divide(v - lo, hi - lo) * bins), F.lit(0)),
                 F.lit(bins - 1)).cast("int")
@@ -150,10 +149,9 @@ def kde_curve(df: DataFrame, value: str, grid: int = 200, fine_bins: int = 1024,
     """
     v = F.col(value).cast("double")
     d = df.where(v.isNotNull())
-    n = d.select(F.count(F.lit(1)).cast("double")).scalar()
-    lo = d.select(F.min(v)).scalar()
-    hi = d.select(F.max(v)).scalar()
-    h = d.select(F.stddev_samp(v) * F.pow(F.count(F.lit(1)).cast("double"), -0.2)).scalar()
+    st = scalars(d, n=F.count(F.lit(1)).cast("double"), lo=F.min(v), hi=F.max(v),
+                 h=F.stddev_samp(v) * F.pow(F.count(F.lit(1)).cast("double"), -0.2))
+    n, lo, hi, h = st["n"], st["lo"], st["hi"], st["h"]
     width = (F.col("hi") - F.col("lo")) / fine_bins
     b = F.least(F.coalesce(F.floor(F.try_divide(v - lo, hi - lo) * fine_bins), F.lit(0)),
                 F.lit(fine_bins - 1)).cast("int")
@@ -177,8 +175,9 @@ def pair_bins(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
     Each row is melted into one row per column pair (fixed count) and binned
     on per-column [min, max]; one aggregation counts cells.
     """
-    rng = {c: (df.select(F.min(F.col(c).cast("double"))).scalar(),
-               df.select(F.max(F.col(c).cast("double"))).scalar()) for c in cols}
+    r = scalars(df, **{f"lo_{c}": F.min(F.col(c).cast("double")) for c in cols},
+                **{f"hi_{c}": F.max(F.col(c).cast("double")) for c in cols})
+    rng = {c: (r[f"lo_{c}"], r[f"hi_{c}"]) for c in cols}
 
     def bin_of(c):
         lo, hi = rng[c]

@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia.functions.hashing import md5_bucket, poisson_weight, uniform_int
+from cohortia.functions.joins import sized_join
 from cohortia.functions.metrics import ratio
 from cohortia.functions.ranks import dense_index, prefix_sum
 from cohortia.functions.stats import norm_sf_col, t_pvalue_col, welch_columns
 from cohortia.functions.timefn import date_lit, day
+from cohortia.session import ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------- per-user metrics
@@ -189,29 +191,33 @@ def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value:
     written); ``'pooled'`` draws both from the union (a true A/A null).
     Users get a dense index per pool (distributed, ordered by user_id); each
     draw (sim, sample, k) picks index = hash mod pool size and is matched to
-    its user by an equi-join — the pool side is broadcast by AQE only when
-    its measured size is small, otherwise the join shuffles.  The simulated
+    its user by an equi-join — the pool is broadcast only when its measured
+    row count is under a bound, otherwise both sides are shuffled on the
+    index (``sized_join``).  The simulated
     draws are aggregated by (sim, sample) with partial sums.
     """
     pool = users.where(F.col("exp_group").isin(a, b) & F.col(value).isNotNull())
+    draws = (spark.range(n_tests).withColumnRenamed("id", "sim")
+             .select("sim", F.explode(F.array(F.lit(0), F.lit(1))).alias("sample"))
+             .select("sim", "sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("k")))
+    h = uniform_int(F.col("sim"), F.col("k"), F.col("sample"), seed)
     if null == "pooled":
-        pool = pool.select(F.lit(0).alias("pool"), "user_id", F.col(value).alias("x"))
+        # one pool: index all users of both groups together
+        pool = dense_index(pool.select("user_id", F.col(value).alias("x")), "user_id")
+        size = pool.select(F.count(F.lit(1))).scalar()
+        draws = draws.select("sim", "sample", F.pmod(h, size).alias("idx"))
+        picked = sized_join(draws, pool.select("idx", "x"), "idx")
     elif null == "per_group":
-        pool = pool.select(F.when(F.col("exp_group") == a, 0).otherwise(1).alias("pool"),
+        pool = pool.select(F.when(F.col("exp_group") == a, 0).otherwise(1).alias("sample"),
                            "user_id", F.col(value).alias("x"))
+        pool = dense_index(pool, "user_id", ("sample",))
+        sizes = pool.groupBy("sample").agg(F.count(F.lit(1)).alias("size"))
+        # sizes has one row per sample (two rows): a broadcast of proven size
+        draws = draws.join(F.broadcast(sizes), "sample").select(
+            "sim", "sample", F.pmod(h, F.col("size")).alias("idx"))
+        picked = sized_join(draws, pool.select("sample", "idx", "x"), ["sample", "idx"])
     else:
         raise ValueError(null)
-    pool = dense_index(pool, "user_id", ("pool",))
-    sizes = pool.groupBy("pool").agg(F.count(F.lit(1)).alias("size"))
-    draws = (spark.range(n_tests).withColumnRenamed("id", "sim")
-             .select("sim", F.explode(F.array(F.lit(0), F.lit(1))).alias("sample"))
-             .select("sim", "sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("k")))
-    pool_of = F.lit(0) if null == "pooled" else F.col("sample")
-    draws = draws.select("sim", "sample", pool_of.alias("pool"),
-                         uniform_int(F.col("sim"), F.col("k"), F.col("sample"), seed).alias("h"))
-    draws = draws.join(F.broadcast(sizes), "pool").select(
-        "sim", "sample", "pool", F.pmod(F.col("h"), F.col("size")).alias("idx"))
-    picked = draws.join(pool.select("pool", "idx", "x"), ["pool", "idx"])
     st = (picked.groupBy("sim")
           .agg(F.count(F.when(F.col("sample") == 0, F.col("x"))).alias("n_a"),
                F.count(F.when(F.col("sample") == 1, F.col("x"))).alias("n_b"),
@@ -247,7 +253,10 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
 
     Sample a is the test group, b the control (t > 0 ⇔ test higher).
     """
-    users = experiment_user_metrics(feed, start, end, (control, test))
+    # one row per user, read by every method below: materialize it once in the
+    # session's reliable checkpoint directory (cuts lineage, survives executor loss)
+    ensure_checkpoint_dir(feed.sparkSession)
+    users = experiment_user_metrics(feed, start, end, (control, test)).checkpoint(eager=True)
     sm = smoothed_ctr(users, alpha_smooth)
     lin = linearized_likes(users, control)
     buckets = bucket_ctr(feed, start, end, (control, test), n_buckets)
