@@ -240,3 +240,85 @@ def seasonal_decompose(series: DataFrame, ts: str = "day_h", value: str = "actio
     out = x.join(idx, [*keys, "_hod"])
     return out.select(*keys, ts, "observed", "trend", "seasonal",
                       (F.col("observed") - F.col("trend") - F.col("seasonal")).alias("resid"))
+
+
+# ---------------------------------------------------------------- Kendall rank correlation
+
+def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Kendall τ-b (pandas ``corr(method='kendall')``) for several column
+    pairs at once → (x_col, y_col, n, tau); rows with a NULL in either column of a
+    pair are dropped for that pair.
+
+    No pair of rows is ever generated.  All column pairs are melted into one
+    (pair, x, y) frame and handled by the same keyed plan.  Rows are
+    compressed to distinct (x, y) points with weights; p is the dense rank of x
+    (a distributed prefix sum); the discordant weight D = Σ w_i·w_j over
+    x_i < x_j with y_i > y_j is a weighted inversion count, split by the
+    merge-sort levels of p: at level L the pair (i, j) meets in block
+    p >> (L+1), i on the left half and j on the right (equal x never meet).  Per (pair, level,
+    block, y) the left and right weights are aggregated and one bucketed prefix
+    sum over −y gives, for every right weight, the left weight above it.  Work
+    is O(P·log P) rows for P distinct points; every window holds one value
+    range of one block.  Ties: n1 (x), n2 (y), n3 (both) from aggregations;
+    n_c = n0 − n1 − n2 + n3 − D; τ_b = (n_c − D) / √((n0 − n1)(n0 − n2)).
+    """
+    from cohortia.functions.ranks import prefix_sum
+
+    melted = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
+                 F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)]))
+    d = df.select(melted.alias("t")).select("t.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    # the five branches below share this aggregation's exchange (reused, computed once)
+    pts = d.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    # p = dense rank of x: points with equal x share p, so they never meet in a
+    # block half-pair — exactly right, since ties in x are neither concordant nor discordant
+    per_x = pts.groupBy("pair", "x").agg(F.lit(1).alias("one"), F.sum("w").alias("tx"))
+    x_rank = prefix_sum(per_x, "x", "one", ("pair",), out="p").select("pair", "x", "p")
+    pos = pts.join(x_rank, ["pair", "x"]).select("pair", "y", "w", "p")
+    # per pair: weights, joint ties, number of merge levels (one row per pair: bounded)
+    per_pair = pts.groupBy("pair").agg(
+        F.sum("w").cast("double").alias("n"), F.countDistinct("x").alias("n_x"),
+        F.sum(F.col("w").cast("double") * (F.col("w") - 1) / 2).alias("n3"))
+    levels = F.greatest(F.ceil(F.log2(F.col("n_x").cast("double"))).cast("int"), F.lit(1))
+    lv = pos.join(F.broadcast(per_pair.select("pair", levels.alias("levels"))), "pair").select(
+        "pair", "y", "w", "p", F.explode(F.sequence(F.lit(0), F.col("levels") - 1)).alias("level"))
+    lv = lv.select("pair", "level", "y", "w", F.expr("shiftright(p, level + 1)").alias("blk"),
+                   F.expr("shiftright(p, level) & 1").alias("side"))
+    cells = (lv.groupBy("pair", "level", "blk", "y")
+             .agg(F.sum(F.when(F.col("side") == 0, F.col("w")).otherwise(0)).alias("lw"),
+                  F.sum(F.when(F.col("side") == 1, F.col("w")).otherwise(0)).alias("rw"))
+             .withColumn("neg_y", -F.col("y")))
+    above = prefix_sum(cells, "neg_y", "lw", ("pair", "level", "blk"), out="left_above")
+    disc = above.groupBy("pair").agg(F.sum(F.col("rw").cast("double") * F.col("left_above")).alias("D"))
+    n1 = per_x.groupBy("pair").agg(F.sum(F.col("tx").cast("double") * (F.col("tx") - 1) / 2).alias("n1"))
+    n2 = (pts.groupBy("pair", "y").agg(F.sum("w").cast("double").alias("ty"))
+          .groupBy("pair").agg(F.sum(F.col("ty") * (F.col("ty") - 1) / 2).alias("n2")))
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    r = per_pair.join(n1, "pair").join(n2, "pair").join(disc, "pair", "left")
+    n0 = F.col("n") * (F.col("n") - 1) / 2
+    D = F.coalesce(F.col("D"), F.lit(0.0))
+    nc = n0 - F.col("n1") - F.col("n2") + F.col("n3") - D
+    tau = F.try_divide(nc - D, F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2"))))
+    return r.select(names[F.col("pair")]["a"].alias("x_col"), names[F.col("pair")]["b"].alias("y_col"),
+                    F.col("n").cast("long").alias("n"), tau.alias("tau"))
+
+
+def kendall_tau(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Kendall τ-b of one column pair → one row (x_col, y_col, n, tau)."""
+    return kendall_pairs(df, [(x, y)])
+
+
+def kendall_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The Kendall τ-b matrix in long form (x_col, y_col, n, tau): both triangles
+    from one keyed computation over all column pairs, plus the unit diagonal."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    t = kendall_pairs(df, pairs)
+    both = t.select(F.explode(F.array(
+        F.struct("x_col", "y_col", "n", "tau"),
+        F.struct(F.col("y_col").alias("x_col"), F.col("x_col").alias("y_col"), "n", "tau"))).alias("m")
+    ).select("m.*")
+    counts = df.agg(*[F.count(c).alias(c) for c in cols])
+    diag = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("x_col"), F.lit(c).alias("y_col"), F.col(c).alias("n"),
+                 F.lit(1.0).alias("tau")) for c in cols])).alias("d")).select("d.*")
+    return both.unionByName(diag)

@@ -247,3 +247,34 @@ def q_preview_events(spark, d):
     from cohortia.sources.tables import preview
     return preview(_posts(spark, d), 5).select("user_id", "post_id", "action", "time",
                                                F.lit(5).alias("limit"))
+
+
+def _kendall_sql(cols: list[str]) -> str:
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            s = f"""
+SELECT '{a}' AS x_col, '{b}' AS y_col,
+       (SELECT count(*) FROM p WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n,
+       sum(sign(l.x - r.x) * sign(l.y - r.y)) / sqrt(count(*) FILTER (WHERE l.x <> r.x)
+                                                    * count(*) FILTER (WHERE l.y <> r.y)) AS tau
+FROM (SELECT post_id, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM p
+      WHERE {a} IS NOT NULL AND {b} IS NOT NULL) l
+JOIN (SELECT post_id, CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM p
+      WHERE {a} IS NOT NULL AND {b} IS NOT NULL) r ON l.post_id < r.post_id"""
+            parts.append(s)
+    body = "\nUNION ALL\n".join(parts)
+    diag = "\nUNION ALL\n".join(f"SELECT '{c}', '{c}', count({c}), 1.0::DOUBLE FROM p" for c in cols)
+    return f"""
+WITH p AS ({_POST_STATS}),
+t AS ({body})
+SELECT x_col, y_col, n, tau FROM t
+UNION ALL SELECT y_col, x_col, n, tau FROM t
+UNION ALL {diag}"""
+
+
+@register("kendall_matrix", _kendall_sql(_PAIR_COLS), doubles=("tau",))
+def q_kendall_matrix(spark, d):
+    """A15/T11 over post stats; the oracle is a brute-force pair join (fine for
+    100 posts in SQL), the Spark plan never forms pairs."""
+    return eda.kendall_matrix(eda.post_stats(_posts(spark, d)), _PAIR_COLS)

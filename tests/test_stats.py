@@ -115,3 +115,26 @@ def test_aa_pooled_false_positive_rate_near_alpha(spark, events_small):
     sims = ex.aa_simulation(spark, users, 2, 3, "ctr", 2000, 200, "pooled", 5)
     share = ex.aa_summary(sims).select("share_le_alpha_pct").first()[0]
     assert 3.0 <= share <= 7.5
+
+
+def _brute_tau_b(x, y):
+    m = ~(np.isnan(x) | np.isnan(y))
+    x, y = x[m], y[m]
+    dx = np.sign(x[:, None] - x[None, :])
+    dy = np.sign(y[:, None] - y[None, :])
+    iu = np.triu_indices(len(x), 1)
+    return (dx * dy)[iu].sum() / np.sqrt((dx != 0)[iu].sum() * (dy != 0)[iu].sum())
+
+
+def test_kendall_tau_b_matches_brute_force_with_ties_and_nulls(spark):
+    from cohortia.operators.eda import kendall_matrix
+    rng = np.random.default_rng(0)
+    n = 1500
+    pdf = pd.DataFrame({"a": rng.integers(0, 40, n).astype(float), "b": rng.integers(0, 9, n).astype(float)})
+    pdf["c"] = pdf.a * 0.5 + rng.normal(0, 4, n).round()
+    pdf.loc[::13, "c"] = None
+    got = kendall_matrix(spark.createDataFrame(pdf), ["a", "b", "c"]).toPandas()
+    assert len(got) == 9
+    for r in got.itertuples():
+        ref = _brute_tau_b(pdf[r.x_col].to_numpy(float), pdf[r.y_col].to_numpy(float))
+        assert r.tau == pytest.approx(ref, abs=1e-12)
