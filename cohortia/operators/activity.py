@@ -164,3 +164,21 @@ def feed_daily_report(feed: DataFrame, as_of, days: int = 7) -> DataFrame:
 
 def slot_labels(col: str = "mins_15") -> Column:
     return hm(col)
+
+
+def second_largest(df: DataFrame, col: str):
+    """P17 compat: the second-largest value of ``col`` (the reference's "last complete
+    day" = second-newest day present) as a scalar-subquery Column."""
+    top = df.select(F.max(col)).scalar()
+    return df.where(F.col(col) < top).select(F.max(col)).scalar()
+
+
+def latest_rows(df: DataFrame, col: str = "day") -> DataFrame:
+    """Rows whose ``col`` equals its maximum (``df[df.day == df.day.max()]``)."""
+    return df.where(F.col(col) == df.select(F.max(col)).scalar())
+
+
+def dau_on_last_complete_day(activity: DataFrame) -> DataFrame:
+    """C4 with the reference's day pick: status DAU of the second-newest day present."""
+    d = second_largest(activity, "day")
+    return dau_by_status(activity.where(F.col("day") == d), "day")

@@ -138,3 +138,53 @@ GROUP BY 1""", doubles=("ctr",))
 def q_feed_daily_report(spark, d):
     f, _ = load_events(spark, d)
     return act.feed_daily_report(f, AS_OF, 7)
+
+
+@register("dau_last_complete_day", f"""
+WITH a AS ({user_day_activity_sql()}),
+d AS (SELECT max(day) AS d FROM a WHERE day < (SELECT max(day) FROM a))
+SELECT day, count(*) AS dau,
+       count(*) FILTER (WHERE messages = 0) AS dau_feed_only,
+       count(*) FILTER (WHERE messages > 0 AND views + likes = 0) AS dau_messenger_only,
+       count(*) FILTER (WHERE messages > 0 AND views + likes > 0) AS dau_feed_messenger
+FROM a WHERE day = (SELECT d FROM d) GROUP BY day""")
+def q_dau_last_complete_day(spark, d):
+    f, m = load_events(spark, d)
+    return act.dau_on_last_complete_day(act.user_day_activity(f, m))
+
+
+@register("feed_report_latest_day", f"""
+WITH r AS (
+SELECT CAST(time AS DATE) AS day, count(DISTINCT user_id) AS dau,
+       count(user_id) FILTER (WHERE action = 'view') AS views,
+       count(user_id) FILTER (WHERE action = 'like') AS likes,
+       CAST(count(user_id) FILTER (WHERE action = 'like') AS DOUBLE)
+         / nullif(count(user_id) FILTER (WHERE action = 'view'), 0) * 100 AS ctr
+FROM feed_actions
+WHERE CAST(time AS DATE) BETWEEN DATE '{AS_OF.isoformat()}' - 7 AND DATE '{AS_OF.isoformat()}' - 1
+GROUP BY 1)
+SELECT * FROM r WHERE day = (SELECT max(day) FROM r)""", doubles=("ctr",))
+def q_feed_report_latest_day(spark, d):
+    f, _ = load_events(spark, d)
+    return act.latest_rows(act.feed_daily_report(f, AS_OF, 7), "day")
+
+
+@register("feed_report_text", f"""
+WITH r AS (
+SELECT CAST(time AS DATE) AS day, count(DISTINCT user_id) AS dau,
+       count(user_id) FILTER (WHERE action = 'view') AS views,
+       count(user_id) FILTER (WHERE action = 'like') AS likes
+FROM feed_actions
+WHERE CAST(time AS DATE) BETWEEN DATE '{AS_OF.isoformat()}' - 7 AND DATE '{AS_OF.isoformat()}' - 1
+GROUP BY 1),
+m AS (SELECT day, 'dau' AS metric, CAST(dau AS DOUBLE) AS value FROM r
+      UNION ALL SELECT day, 'views', CAST(views AS DOUBLE) FROM r
+      UNION ALL SELECT day, 'likes', CAST(likes AS DOUBLE) FROM r)
+SELECT strftime(day, '%d.%m.%Y') AS day, metric, value,
+       metric || ' - ' || replace(format('{{:,.0f}}', value), ',', ' ') AS text
+FROM m""", doubles=("value",))
+def q_feed_report_text(spark, d):
+    """Report rows with '12 345'-style numbers and dd.MM.yyyy dates."""
+    from cohortia.sources.sinks import report_rows
+    f, _ = load_events(spark, d)
+    return report_rows(act.feed_daily_report(f, AS_OF, 7), ["dau", "views", "likes"])

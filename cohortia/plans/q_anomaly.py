@@ -114,3 +114,11 @@ def q_anomaly_alerts_midday(spark, d):
     f, m = load_events(spark, d)
     long = anomaly.melt_series(anomaly.metric_series_15min(f, m, MIDDAY_TS))
     return anomaly.anomaly_alerts(anomaly.anomaly_bounds(long, N, A))
+
+
+@register("alert_messages")
+def q_alert_messages(spark, d):
+    """Text of the alerts raised for the last slot (rows-only: may be empty)."""
+    f, m = load_events(spark, d)
+    long = anomaly.melt_series(anomaly.metric_series_15min(f, m, MIDDAY_TS))
+    return anomaly.alert_messages(anomaly.anomaly_alerts(anomaly.anomaly_bounds(long, N, A)))

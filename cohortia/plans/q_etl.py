@@ -153,3 +153,14 @@ def q_etl_fact_table(spark, d):
     write_fact(fact, path)
     out = read_fact(spark, path)
     return out.select("event_date", "gender", "age", "os", *_M)
+
+
+@register("etl_fact_tsv", _fact_sql(_MERGE))
+def q_etl_fact_tsv(spark, d):
+    """The fact exported as TSV with a header, read back with the fact schema."""
+    from cohortia.sources.sinks import export_tsv
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/cohortia_fact_tsv_{abs(hash(d)) % 10**8}"
+    fact = etl.etl_fact(_merged(spark, d))
+    export_tsv(fact, path)
+    return spark.read.schema(fact.schema).option("sep", "\t").option("header", True).csv(path)
