@@ -12,12 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortia.session import ensure_checkpoint_dir
+
 BROADCAST_MAX_ROWS = 2_000_000
 
 
 def sized_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``big ⋈ small`` with a broadcast of ``small`` only if it has ≤ ``max_rows`` rows."""
+               max_rows: int = BROADCAST_MAX_ROWS, materialize: bool = True) -> DataFrame:
+    """``big ⋈ small`` with a broadcast of ``small`` only if it has ≤ ``max_rows`` rows.
+
+    With ``materialize`` the small side is first written once with a reliable
+    ``checkpoint()`` (the session's ``spark.checkpoint.dir``), so counting it and
+    joining it read the same files instead of computing its lineage twice.
+    """
+    if materialize:
+        ensure_checkpoint_dir(small.sparkSession)
+        small = small.checkpoint(eager=True)
     n = small.count()
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)
