@@ -72,16 +72,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: tuple[s
     tot = cnt.groupBy(*keys).agg(F.sum("_n").alias("_tot"))
     cum = cum.join(tot, list(keys)) if keys else cum.withColumn(
         "_tot", cnt.select(F.sum("_n")).scalar())
-    targets = F.array(*[
-        F.struct(F.lit(float(p)).alias("p"), F.lit(k).alias("k"),
-                 (F.floor((F.col("_tot") - 1) * F.lit(float(p))) + F.lit(k)).alias("r"))
-        for p in probs for k in (0, 1)])
-    hit = cum.select(*keys, value, F.explode(F.filter(
-        targets, lambda t: (t["r"] >= F.col("_cb")) & (t["r"] < F.col("_cb") + F.col("_n"))))
-        .alias("t"), "_tot")
-    per = (hit.groupBy(*keys, F.col("t.p").alias("prob"))
-           .agg(F.max(F.when(F.col("t.k") == 0, F.col(value))).alias("_v0"),
-                F.max(F.when(F.col("t.k") == 1, F.col(value))).alias("_v1"),
+    # one array literal of probabilities and one lambda: the expression size does not
+    # grow with the number of probabilities
+    probs_lit = F.lit([float(p) for p in probs])
+    r0 = lambda p: F.floor((F.col("_tot") - 1) * p)
+    lo, hi = F.col("_cb"), F.col("_cb") + F.col("_n")
+    hits = F.filter(probs_lit, lambda p: ((r0(p) >= lo) & (r0(p) < hi))
+                    | ((r0(p) + 1 >= lo) & (r0(p) + 1 < hi)))
+    hit = cum.select(*keys, value, "_cb", "_n", "_tot", F.explode(hits).alias("prob"))
+    r = F.floor((F.col("_tot") - 1) * F.col("prob"))
+    per = (hit.groupBy(*keys, "prob")
+           .agg(F.max(F.when((r >= lo) & (r < hi), F.col(value))).alias("_v0"),
+                F.max(F.when((r + 1 >= lo) & (r + 1 < hi), F.col(value))).alias("_v1"),
                 F.max("_tot").alias("_tot")))
     h = (F.col("_tot") - 1) * F.col("prob")
     frac = h - F.floor(h)
