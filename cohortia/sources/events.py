@@ -31,44 +31,45 @@ FEED_TYPES = ("view", "click")
 MESSAGE_TYPES = ("purchase", "signup")
 
 
-def _user_dims(uid: Column) -> list[Column]:
-    return [
-        (uid % 2).cast("int").alias("gender"),
-        (F.lit(18) + uid % 50).cast("int").alias("age"),
-        F.when(uid % 3 == 0, F.lit("iOS")).otherwise(F.lit("Android")).alias("os"),
-        F.when(uid % 5 < 2, F.lit("ads")).otherwise(F.lit("organic")).alias("source"),
-        F.element_at(F.array(*[F.lit(c) for c in COUNTRIES]), (uid % 7 + 1).cast("int")).alias("country"),
-        F.element_at(F.array(*[F.lit(c) for c in CITIES]), (uid % 11 + 1).cast("int")).alias("city"),
-        (uid % 4).cast("int").alias("exp_group"),
-    ]
+def _sql_array(values: list[str]) -> str:
+    return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
 
 
-def _key() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+# Derived user attributes, each one SQL expression (parsed once on the JVM side).
+_DIM_EXPRS = [
+    "CAST(user_id % 2 AS INT) AS gender",
+    "CAST(18 + user_id % 50 AS INT) AS age",
+    "CASE WHEN user_id % 3 = 0 THEN 'iOS' ELSE 'Android' END AS os",
+    "CASE WHEN user_id % 5 < 2 THEN 'ads' ELSE 'organic' END AS source",
+    f"element_at({_sql_array(COUNTRIES)}, CAST(user_id % 7 + 1 AS INT)) AS country",
+    f"element_at({_sql_array(CITIES)}, CAST(user_id % 11 + 1 AS INT)) AS city",
+    "CAST(user_id % 4 AS INT) AS exp_group",
+]
+
+
+def _user_dims(uid: Column | None = None) -> list[Column]:
+    return [F.expr(e) for e in _DIM_EXPRS]
 
 
 def feed_actions(events: DataFrame) -> DataFrame:
     """events → feed_actions(user_id, post_id, action, time, gender, age, os, source,
     country, city, exp_group)."""
-    uid = F.col("user_id")
     return (events.where(F.col("event_type").isin(*FEED_TYPES))
-            .select(uid.alias("user_id"),
-                    _key().alias("post_id"),
-                    F.when(F.col("event_type") == "view", F.lit("view"))
-                     .otherwise(F.lit("like")).alias("action"),
-                    F.col("ts").cast("timestamp").alias("time"),
-                    *_user_dims(uid)))
+            .select(F.col("user_id"),
+                    F.expr("CAST(get_json_object(props, '$.k') AS BIGINT) AS post_id"),
+                    F.expr("CASE WHEN event_type = 'view' THEN 'view' ELSE 'like' END AS action"),
+                    F.expr("CAST(ts AS TIMESTAMP) AS time"),
+                    *_user_dims()))
 
 
 def message_actions(events: DataFrame) -> DataFrame:
     """events → message_actions(user_id, reciever_id, time, gender, age, os, source,
     country, city, exp_group).  Attributes are those of the sender."""
-    uid = F.col("user_id")
     return (events.where(F.col("event_type").isin(*MESSAGE_TYPES))
-            .select(uid.alias("user_id"),
-                    _key().alias("reciever_id"),
-                    F.col("ts").cast("timestamp").alias("time"),
-                    *_user_dims(uid)))
+            .select(F.col("user_id"),
+                    F.expr("CAST(get_json_object(props, '$.k') AS BIGINT) AS reciever_id"),
+                    F.expr("CAST(ts AS TIMESTAMP) AS time"),
+                    *_user_dims()))
 
 
 def load_events(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
