@@ -21,16 +21,24 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Streaming state off the JVM heap: the (slot, user) state of the chained
+# aggregation grows with active users, which on a cluster is millions of keys.
+STATE_STORES = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
+
 
 def get_session(master: str | None = None, app: str = "cohortia",
                 shuffle_partitions: int | None = None,
-                conf: dict | None = None) -> SparkSession:
+                conf: dict | None = None, state_store: str = "rocksdb") -> SparkSession:
     """Build (or reuse) a session with the defaults the operators expect."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    b = b.config("spark.sql.streaming.stateStore.providerClass", STATE_STORES[state_store])
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (conf or {}).items():
