@@ -3,7 +3,7 @@
 A global ``Window.orderBy`` without ``partitionBy`` moves every row into one
 task.  Instead the ordered column is cut into ``buckets`` value ranges
 (min/max are exact aggregates, so the cut is deterministic and identical on
-recomputation), each range's total is summed, the totals' running offsets
+recomputation; ranges are equal on a log1p scale so heavy tails spread out), each range's total is summed, the totals' running offsets
 are computed over the tiny (keys × buckets) table, and the running sum inside
 a range is a window partitioned by (keys, bucket).  Every task holds one
 value range, never the whole column.
@@ -22,10 +22,18 @@ from cohortia.functions.metrics import scalars
 DEFAULT_BUCKETS = 1024
 
 
+def _spread(c: Column) -> Column:
+    """Monotone sign(v)·log1p(|v|): order-preserving, so range cuts stay exact, but a
+    heavy tail or one extreme outlier no longer squeezes the bulk into one range."""
+    v = c.cast("double")
+    return F.signum(v) * F.log1p(F.abs(v))
+
+
 def _bucket(col: Column, lo: Column, hi: Column, buckets: int) -> Column:
-    span = hi.cast("double") - lo.cast("double")
-    pos = F.try_divide(col.cast("double") - lo.cast("double"), span) * buckets
-    return F.least(F.coalesce(F.floor(pos), F.lit(0)), F.lit(buckets - 1)).cast("int")
+    t, tlo, thi = _spread(col), _spread(lo), _spread(hi)
+    pos = F.try_divide(t - tlo, thi - tlo) * buckets
+    return F.least(F.greatest(F.coalesce(F.floor(pos), F.lit(0)), F.lit(0)),
+                   F.lit(buckets - 1)).cast("int")
 
 
 def prefix_sum(df: DataFrame, order_col: str, sum_col: str, keys: tuple[str, ...] = (),

@@ -1,8 +1,9 @@
 """Weekly user lifecycle: new / retained / gone (C14).
 
-One aggregation keyed by user keeps the set of active Mondays (bounded by the
-number of weeks in the data); array functions then decide each week's status
-per user and a partial aggregation counts users per (week, status).
+One aggregation keyed by user keeps the sorted set of active Mondays (bounded
+by the number of weeks in the data); comparing each week with its neighbours
+in that list decides its status (O(weeks) per user) and a partial aggregation
+counts users per (week, status).
 """
 
 from __future__ import annotations
@@ -24,24 +25,30 @@ def user_lifecycle_weekly(activity: DataFrame, as_of, strict_new: bool = False)
     ``as_of``'s week (that week has not happened yet).
     """
     weeks = (activity.groupBy("user_id")
-             .agg(F.collect_set(monday("time")).alias("weeks")))
+             .agg(F.array_sort(F.collect_set(monday("time"))).alias("weeks")))
     next_monday = F.date_add(F.trunc(date_lit(as_date(as_of)), "week"), 7)
 
-    w = F.explode("weeks").alias("this_week")
-    cur = weeks.select("user_id", "weeks", w)
-    prev = F.date_sub("this_week", 7)
-    was_active = F.array_contains("weeks", prev)
+    # neighbours in the sorted week list decide every status in O(weeks) per user
+    n = F.size("weeks")
+    per_week = F.transform("weeks", lambda w, i: F.struct(
+        w.alias("week"),
+        F.when(i > 0, F.element_at("weeks", i)).alias("prev"),          # element_at is 1-based
+        F.when(i < n - 1, F.element_at("weeks", i + 2)).alias("next"),
+        (i == 0).alias("first")))
+    cur = weeks.select("user_id", F.explode(per_week).alias("x")).select("user_id", "x.*")
+    was_active = F.coalesce(F.col("prev") == F.date_sub("week", 7), F.lit(False))
     if strict_new:
         status = (F.when(was_active, F.lit("retained"))
-                  .when(F.col("this_week") == F.array_min("weeks"), F.lit("new"))
+                  .when(F.col("first"), F.lit("new"))
                   .otherwise(F.lit("resurrected")))
     else:
         status = F.when(was_active, F.lit("retained")).otherwise(F.lit("new"))
-    stay = cur.select("user_id", "this_week", prev.alias("previous_week"), status.alias("status"))
-
-    gone = (cur.where(~F.array_contains("weeks", F.date_add("this_week", 7)))
-            .select("user_id", F.date_add("this_week", 7).alias("this_week"),
-                    F.col("this_week").alias("previous_week"), F.lit("gone").alias("status"))
+    stay = cur.select("user_id", F.col("week").alias("this_week"),
+                      F.date_sub("week", 7).alias("previous_week"), status.alias("status"))
+    stays_next = F.coalesce(F.col("next") == F.date_add("week", 7), F.lit(False))
+    gone = (cur.where(~stays_next)
+            .select("user_id", F.date_add("week", 7).alias("this_week"),
+                    F.col("week").alias("previous_week"), F.lit("gone").alias("status"))
             .where(F.col("this_week") != next_monday))
 
     counts = (stay.unionByName(gone)
