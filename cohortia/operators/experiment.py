@@ -271,7 +271,14 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
         return s.select(F.lit(metric).alias("metric"), F.lit("mann_whitney").alias("method"),
                         F.col("u_a").alias("statistic"), "p_two_sided", "p_greater", "p_less")
 
-    boot = bootstrap_summary(poisson_bootstrap(users, control, test, n_bootstrap, seed))
+    replicates = poisson_bootstrap(users, control, test, n_bootstrap, seed)
+    boot = bootstrap_summary(replicates)
+    # quirk D19 (compat rows): the reference also ran t and U tests on the replicate CTRs
+    # as if they were observations, so those p-values depend on n_bootstrap
+    rep_long = replicates.select(F.explode(F.array(
+        F.struct(F.lit(control).alias("exp_group"), F.col("ctr_control").alias("rep_ctr")),
+        F.struct(F.lit(test).alias("exp_group"), F.col("ctr_test").alias("rep_ctr")))).alias("r")
+    ).select("r.*")
     boot_row = boot.select(F.lit("global_ctr").alias("metric"), F.lit("poisson_bootstrap").alias("method"),
                            (F.col("mean_test") - F.col("mean_control")).alias("statistic"),
                            F.lit(None).cast("double").alias("p_two_sided"),
@@ -282,7 +289,9 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
              t_rows(lin, "linearized_likes", "linearized_likes"),
              u_rows(lin, "linearized_likes", "linearized_likes"),
              t_rows(buckets, "bucket_ctr", "bucket_ctr"), u_rows(buckets, "bucket_ctr", "bucket_ctr"),
-             t_rows(users, "posts", "posts"), u_rows(users, "posts", "posts"), boot_row]
+             t_rows(users, "posts", "posts"), u_rows(users, "posts", "posts"), boot_row,
+             t_rows(rep_long, "rep_ctr", "bootstrap_replicate_ctr"),
+             u_rows(rep_long, "rep_ctr", "bootstrap_replicate_ctr")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -61,9 +61,9 @@ SELECT ts, day, hm, metric, value, q25, q75, iqr, mean, std,
 FROM e WINDOW w2 AS (PARTITION BY metric ORDER BY ts ROWS BETWEEN {lo_off} PRECEDING AND {hi_off} FOLLOWING)"""
 
 
-def _alerts_sql(as_of_ts: dt.datetime) -> str:
+def _alerts_sql(as_of_ts: dt.datetime, n: int = N, a: float = A) -> str:
     return f"""
-WITH b AS ({_bounds_sql(as_of_ts)}),
+WITH b AS ({_bounds_sql(as_of_ts, n, a)}),
 x AS (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value,
              CASE WHEN low_q = 0 THEN low_s ELSE low_q END AS lower,
              CASE WHEN up_q = 0 THEN up_s ELSE up_q END AS upper,
@@ -122,3 +122,12 @@ def q_alert_messages(spark, d):
     f, m = load_events(spark, d)
     long = anomaly.melt_series(anomaly.metric_series_15min(f, m, MIDDAY_TS))
     return anomaly.alert_messages(anomaly.anomaly_alerts(anomaly.anomaly_bounds(long, N, A)))
+
+
+@register("anomaly_alerts_notebook", _alerts_sql(MIDDAY_TS, 5, 3.0),
+          doubles=("value", "prev_value", "deviation", "lower", "upper"))
+def q_anomaly_alerts_notebook(spark, d):
+    """The notebook's parameters n=5, a=3 (quirk D17)."""
+    f, m = load_events(spark, d)
+    long = anomaly.melt_series(anomaly.metric_series_15min(f, m, MIDDAY_TS))
+    return anomaly.anomaly_alerts(anomaly.anomaly_bounds(long, 5, 3.0))
