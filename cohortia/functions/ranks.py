@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.functions.metrics import scalars
+from cohortia.session import materialize
 
 DEFAULT_BUCKETS = 1024
 
@@ -75,7 +76,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: tuple[s
     their running totals, so no task holds a whole group's values.
     """
     keys = tuple(keys)
-    cnt = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    cnt = materialize(df.where(F.col(value).isNotNull()).groupBy(*keys, value)
+                      .agg(F.count(F.lit(1)).alias("_n")))      # read by every pass below
     cum = prefix_sum(cnt, value, "_n", keys, "_cb", buckets)
     tot = cnt.groupBy(*keys).agg(F.sum("_n").alias("_tot"))
     cum = cum.join(tot, list(keys)) if keys else cum.withColumn(

@@ -63,10 +63,14 @@ def audience_distribution(events: DataFrame, dim: str, start=None, end=None) ->
         ev = ev.where(day() >= date_lit(start))
     if end is not None:
         ev = ev.where(day() <= date_lit(end))
-    per = ev.groupBy(F.col(dim).alias("value")).agg(F.countDistinct("user_id").alias("users"))
-    total = ev.select(F.countDistinct("user_id")).scalar()
-    return per.select(F.lit(dim).alias("dimension"), "value", "users",
-                      F.try_divide(F.col("users").cast("double"), total).alias("share"))
+    # one pass: rollup gives per-value and overall distinct users together
+    r = (ev.rollup(F.col(dim).alias("value"))
+         .agg(F.countDistinct("user_id").alias("users"), F.grouping_id().alias("_g")))
+    total = F.max(F.when(F.col("_g") == 1, F.col("users"))).over(Window.partitionBy())
+    # the window runs over the rolled-up result: one row per value of ``dim``
+    return (r.select("value", "users", "_g", total.alias("_total")).where(F.col("_g") == 0)
+            .select(F.lit(dim).alias("dimension"), "value", "users",
+                    F.try_divide(F.col("users").cast("double"), F.col("_total")).alias("share")))
 
 
 def kpi_card(feed: DataFrame, on_day) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortia.functions.metrics import ratio, scalars
 from cohortia.functions.ranks import exact_quantiles
 from cohortia.functions.timefn import day, hour_start, seconds_between
+from cohortia.session import materialize
 
 
 # ---------------------------------------------------------------- post and daily tables
@@ -92,6 +93,7 @@ def describe_by_group(df: DataFrame, value: str, keys: tuple[str, ...] = ()) ->
     Quartiles are exact (linear interpolation) from distributed ranks.
     """
     keys = tuple(keys)
+    df = materialize(df.select(*keys, value))                        # moments + quantile passes
     base = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
         F.count(value).alias("count"), F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"), F.min(value).cast("double").alias("min"),
@@ -116,6 +118,7 @@ def skewness(df: DataFrame, cols: list[str]) -> DataFrame:
 def zscore(df: DataFrame, cols: list[str], suffix: str = "_z") -> DataFrame:
     """(x − mean) / std (sample std) as new columns; the moments are one global
     aggregation referenced as scalar subqueries (no unpartitioned window)."""
+    df = materialize(df)                                             # moments pass + scaling pass
     mom = scalars(df, **{f"m_{c}": F.avg(c) for c in cols}, **{f"s_{c}": F.stddev_samp(c) for c in cols})
     return df.select("*", *[F.try_divide(F.col(c) - mom[f"m_{c}"], mom[f"s_{c}"]).alias(c + suffix)
                             for c in cols])
@@ -128,7 +131,7 @@ def histogram(df: DataFrame, value: str, bins: int = 20, keys: tuple[str, ...] =
     closed like numpy) → (keys…, bin, lo, hi, n)."""
     keys = tuple(keys)
     v = F.col(value).cast("double")
-    d = df.where(v.isNotNull())
+    d = materialize(df.select(*keys, value).where(v.isNotNull()))   # range pass + bin pass
     r = scalars(d, lo=F.min(v), hi=F.max(v))
     lo, hi = r["lo"], r["hi"]
     width = (hi - lo) / bins
@@ -148,7 +151,7 @@ def kde_curve(df: DataFrame, value: str, grid: int = 200, fine_bins: int = 1024,
     explodes to the grid points and one aggregation sums the kernels.
     """
     v = F.col(value).cast("double")
-    d = df.where(v.isNotNull())
+    d = materialize(df.select(value).where(v.isNotNull()))          # moments pass + bin pass
     st = scalars(d, n=F.count(F.lit(1)).cast("double"), lo=F.min(v), hi=F.max(v),
                  h=F.stddev_samp(v) * F.pow(F.count(F.lit(1)).cast("double"), -0.2))
     n, lo, hi, h = st["n"], st["lo"], st["hi"], st["h"]
@@ -175,6 +178,7 @@ def pair_bins(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
     Each row is melted into one row per column pair (fixed count) and binned
     on per-column [min, max]; one aggregation counts cells.
     """
+    df = materialize(df.select(*cols))                               # range pass + bin pass
     r = scalars(df, **{f"lo_{c}": F.min(F.col(c).cast("double")) for c in cols},
                 **{f"hi_{c}": F.max(F.col(c).cast("double")) for c in cols})
     rng = {c: (r[f"lo_{c}"], r[f"hi_{c}"]) for c in cols}
@@ -199,7 +203,7 @@ def pair_bins(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
 def qq_points(df: DataFrame, x: str, y: str, n_points: int = 101, standardize: bool = True) -> DataFrame:
     """Two-sample QQ data — quantiles of (z-scored) x and y at ``n_points`` evenly
     spaced probabilities → (prob, x_q, y_q)."""
-    d = zscore(df, [x, y]) if standardize else df
+    d = zscore(df, [x, y]) if standardize else materialize(df.select(x, y))
     cx, cy = (x + "_z", y + "_z") if standardize else (x, y)
     probs = [i / (n_points - 1) for i in range(n_points)]
     long = d.select(F.explode(F.array(
@@ -268,8 +272,8 @@ def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
                  F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)]))
     d = df.select(melted.alias("t")).select("t.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    # the five branches below share this aggregation's exchange (reused, computed once)
-    pts = d.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    # distinct weighted points feed five branches below: written once, read by all
+    pts = materialize(d.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w")))
     # p = dense rank of x: points with equal x share p, so they never meet in a
     # block half-pair — exactly right, since ties in x are neither concordant nor discordant
     per_x = pts.groupBy("pair", "x").agg(F.lit(1).alias("one"), F.sum("w").alias("tx"))
@@ -312,6 +316,7 @@ def kendall_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """The Kendall τ-b matrix in long form (x_col, y_col, n, tau): both triangles
     from one keyed computation over all column pairs, plus the unit diagonal."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    df = materialize(df.select(*cols))          # read by the pairs and by the diagonal counts
     t = kendall_pairs(df, pairs)
     both = t.select(F.explode(F.array(
         F.struct("x_col", "y_col", "n", "tau"),

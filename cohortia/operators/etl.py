@@ -29,24 +29,26 @@ def etl_feed_extract(feed: DataFrame, on_day, view_action: str = "view") -> Data
                  F.count_if(F.col("action") == view_action).alias("views")))
 
 
-def etl_messenger_extract(messages: DataFrame, on_day, attribution: str = "receiver",
-                          feed: DataFrame | None = None) -> DataFrame:
+def etl_messenger_extract(messages: DataFrame, on_day, attribution: str = "receiver") -> DataFrame:
     """(event_date, user, gender, age, os, messages_sent, messages_received,
     users_sent, users_received) for one day.
 
-    ``attribution='receiver'`` (default): received counts are keyed by the
-    receiver alone and joined to sent counts on (event_date, user); a
-    receive-only user's gender/age/os come from the user's own rows of the day
-    (messages sent or, when ``feed`` is given, feed actions).
+    ``attribution='receiver'`` (default): one pass over the day's messages —
+    every message becomes a sender row and a receiver row, and one aggregation
+    keyed by (event_date, user) counts both directions (the distinct counts
+    are split by Spark's distinct-aggregation rewrite, so a hot receiver is
+    spread over its senders).  gender/age/os are the user's own, known from the
+    rows the user sent; a receive-only user gets NULL and takes the feed's
+    attributes in ``etl_merge``.
     ``attribution='sender_groups'`` reproduces the reference (quirks D4/D5):
     received counts grouped by the *sender's* attributes, full join on user
     only, key columns taken from the sent side with ClickHouse defaults.
     """
     m = messages.where(day() == date_lit(on_day))
-    sent = (m.groupBy(day().alias("event_date"), F.col("user_id").alias("user"), *DIMS)
-            .agg(F.count("reciever_id").alias("messages_sent"),
-                 F.countDistinct("reciever_id").alias("users_sent")))
     if attribution == "sender_groups":
+        sent = (m.groupBy(day().alias("event_date"), F.col("user_id").alias("user"), *DIMS)
+                .agg(F.count("reciever_id").alias("messages_sent"),
+                     F.countDistinct("reciever_id").alias("users_sent")))
         rec = (m.groupBy(day().alias("r_date"), F.col("reciever_id").alias("r_user"),
                          *[F.col(c).alias("r_" + c) for c in DIMS])
                .agg(F.count("user_id").alias("messages_received"),
@@ -61,26 +63,36 @@ def etl_messenger_extract(messages: DataFrame, on_day, attribution: str = "recei
               ("messages_sent", "messages_received", "users_sent", "users_received")])
     if attribution != "receiver":
         raise ValueError(attribution)
-    rec = (m.groupBy(day().alias("event_date"), F.col("reciever_id").alias("user"))
-           .agg(F.count("user_id").alias("messages_received"),
-                F.countDistinct("user_id").alias("users_received")))
-    own = m.select(F.col("user_id").alias("user"), *DIMS)
-    if feed is not None:
-        own = own.unionByName(feed.where(day() == date_lit(on_day))
-                              .select(F.col("user_id").alias("user"), *DIMS))
-    dims = own.groupBy("user").agg(*[F.max(c).alias("d_" + c) for c in DIMS])
-    j = sent.join(rec, ["event_date", "user"], "full").join(dims, "user", "left")
-    return j.select("event_date", "user",
-                    *[F.coalesce(c, "d_" + c).alias(c) for c in DIMS],
-                    *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in
-                      ("messages_sent", "messages_received", "users_sent", "users_received")])
+    roles = F.explode(F.array(
+        F.struct(F.col("user_id").alias("user"), F.lit(True).alias("sender"),
+                 F.col("reciever_id").alias("peer"), *[F.col(c).alias(c) for c in DIMS]),
+        F.struct(F.col("reciever_id").alias("user"), F.lit(False).alias("sender"),
+                 F.col("user_id").alias("peer"), F.lit(None).cast("int").alias("gender"),
+                 F.lit(None).cast("int").alias("age"), F.lit(None).cast("string").alias("os"))))
+    x = (m.select(day().alias("event_date"), roles.alias("r")).select("event_date", "r.*")
+         .where(F.col("user").isNotNull()))
+    snd, rcv = F.col("sender"), ~F.col("sender")
+    return (x.groupBy("event_date", "user")
+            .agg(*[F.max(F.when(snd, F.col(c))).alias(c) for c in DIMS],
+                 F.count(F.when(snd, F.col("peer"))).alias("messages_sent"),
+                 F.count(F.when(rcv, F.col("peer"))).alias("messages_received"),
+                 F.countDistinct(F.when(snd, F.col("peer"))).alias("users_sent"),
+                 F.countDistinct(F.when(rcv, F.col("peer"))).alias("users_received")))
 
 
 def etl_merge(feed_x: DataFrame, msg_x: DataFrame) -> DataFrame:
-    """Outer merge on (user, event_date, gender, age, os) followed by dropna
-    keeps exactly the keys present on both sides — an inner join."""
-    keys = ["user", "event_date", *DIMS]
-    return feed_x.join(msg_x, keys, "inner").select("event_date", "user", *DIMS, *METRICS)
+    """The reference's outer merge on (user, event_date, gender, age, os) followed
+    by dropna keeps the keys present on both sides — an inner equi-join on
+    (user, event_date) whose messenger-side attributes equal the feed side's
+    (NULL messenger attributes, i.e. receive-only users, take the feed's)."""
+    f, m = feed_x.alias("f"), msg_x.alias("m")
+    cond = (F.col("f.user") == F.col("m.user")) & (F.col("f.event_date") == F.col("m.event_date"))
+    for c in DIMS:
+        cond = cond & (F.col(f"m.{c}").isNull() | (F.col(f"m.{c}") == F.col(f"f.{c}")))
+    j = f.join(m, cond, "inner")
+    return j.select(*[F.col(f"f.{c}").alias(c) for c in ("event_date", "user", *DIMS)],
+                    F.col("f.views"), F.col("f.likes"),
+                    *[F.col(f"m.{c}") for c in METRICS if c not in ("views", "likes")])
 
 
 def etl_slices(merged: DataFrame) -> DataFrame:
@@ -105,5 +117,5 @@ def daily_fact(feed: DataFrame, messages: DataFrame, on_day, attribution: str =
                view_action: str = "view") -> DataFrame:
     """The whole chain for one day: extracts → merge → fact."""
     fx = etl_feed_extract(feed, on_day, view_action)
-    mx = etl_messenger_extract(messages, on_day, attribution, feed)
+    mx = etl_messenger_extract(messages, on_day, attribution)
     return etl_fact(etl_merge(fx, mx))

@@ -20,7 +20,7 @@ from cohortia.functions.metrics import ratio
 from cohortia.functions.ranks import dense_index, prefix_sum
 from cohortia.functions.stats import norm_sf_col, t_pvalue_col, welch_columns
 from cohortia.functions.timefn import date_lit, day
-from cohortia.session import ensure_checkpoint_dir
+from cohortia.session import ensure_checkpoint_dir, materialize
 
 
 # ---------------------------------------------------------------- per-user metrics
@@ -70,7 +70,11 @@ def linearized_likes(users: DataFrame, control: int) -> DataFrame:
 def bucket_ctr(feed: DataFrame, start, end, groups: tuple[int, ...], n_buckets: int = 50,
                bucket_fn=md5_bucket) -> DataFrame:
     """(exp_group, bucket, users, likes, views, bucket_ctr = Σlikes/Σviews)."""
-    u = experiment_user_metrics(feed, start, end, groups)
+    return bucket_ctr_from_users(experiment_user_metrics(feed, start, end, groups), n_buckets, bucket_fn)
+
+
+def bucket_ctr_from_users(u: DataFrame, n_buckets: int = 50, bucket_fn=md5_bucket) -> DataFrame:
+    """C26 from an existing per-user table."""
     return (u.groupBy("exp_group", bucket_fn("user_id", n_buckets).alias("bucket"))
             .agg(F.count(F.lit(1)).alias("users"), F.sum("likes").alias("likes"),
                  F.sum("views").alias("views"))
@@ -118,8 +122,8 @@ def mann_whitney_stats(df: DataFrame, value: str, group_col: str, a, b) -> DataF
     """
     v = F.col(value)
     ga, gb = F.col(group_col) == F.lit(a), F.col(group_col) == F.lit(b)
-    cnt = (df.where(v.isNotNull() & (ga | gb)).groupBy(value)
-           .agg(F.count_if(ga).alias("n1"), F.count_if(gb).alias("n2")))
+    cnt = materialize(df.where(v.isNotNull() & (ga | gb)).groupBy(value)
+                      .agg(F.count_if(ga).alias("n1"), F.count_if(gb).alias("n2")))
     cum = prefix_sum(cnt, value, "n2", out="c2")
     s = cum.agg(F.sum("n1").alias("n_a"), F.sum("n2").alias("n_b"),
                 F.sum(F.col("n1") * (F.col("c2") + F.col("n2") / 2.0)).alias("u_a"),
@@ -203,19 +207,20 @@ def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value:
     h = uniform_int(F.col("sim"), F.col("k"), F.col("sample"), seed)
     if null == "pooled":
         # one pool: index all users of both groups together
-        pool = dense_index(pool.select("user_id", F.col(value).alias("x")), "user_id")
+        pool = materialize(dense_index(pool.select("user_id", F.col(value).alias("x")), "user_id"))
         size = pool.select(F.count(F.lit(1))).scalar()
         draws = draws.select("sim", "sample", F.pmod(h, size).alias("idx"))
-        picked = sized_join(draws, pool.select("idx", "x"), "idx")
+        picked = sized_join(draws, pool.select("idx", "x"), "idx", materialize=False)
     elif null == "per_group":
         pool = pool.select(F.when(F.col("exp_group") == a, 0).otherwise(1).alias("sample"),
                            "user_id", F.col(value).alias("x"))
-        pool = dense_index(pool, "user_id", ("sample",))
+        pool = materialize(dense_index(pool, "user_id", ("sample",)))
         sizes = pool.groupBy("sample").agg(F.count(F.lit(1)).alias("size"))
         # sizes has one row per sample (two rows): a broadcast of proven size
         draws = draws.join(F.broadcast(sizes), "sample").select(
             "sim", "sample", F.pmod(h, F.col("size")).alias("idx"))
-        picked = sized_join(draws, pool.select("sample", "idx", "x"), ["sample", "idx"])
+        picked = sized_join(draws, pool.select("sample", "idx", "x"), ["sample", "idx"],
+                            materialize=False)
     else:
         raise ValueError(null)
     st = (picked.groupBy("sim")
@@ -255,11 +260,10 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
     """
     # one row per user, read by every method below: materialize it once in the
     # session's reliable checkpoint directory (cuts lineage, survives executor loss)
-    ensure_checkpoint_dir(feed.sparkSession)
-    users = experiment_user_metrics(feed, start, end, (control, test)).checkpoint(eager=True)
+    users = materialize(experiment_user_metrics(feed, start, end, (control, test)))
     sm = smoothed_ctr(users, alpha_smooth)
     lin = linearized_likes(users, control)
-    buckets = bucket_ctr(feed, start, end, (control, test), n_buckets)
+    buckets = bucket_ctr_from_users(users, n_buckets)
 
     def t_rows(df: DataFrame, value: str, metric: str) -> DataFrame:
         s = welch_ttest(df, value, "exp_group", test, control)

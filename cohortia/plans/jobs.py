@@ -38,7 +38,7 @@ def run_daily_etl(feed: DataFrame, messages: DataFrame, on_day, fact_path: str |
     """(fact, slices) for one day; written with dynamic partition overwrite, so a
     retried run replaces the day instead of appending duplicates."""
     merged = etl.etl_merge(etl.etl_feed_extract(feed, on_day, view_action),
-                           etl.etl_messenger_extract(messages, on_day, attribution, feed))
+                           etl.etl_messenger_extract(messages, on_day, attribution))
     fact, slices = etl.etl_fact(merged), etl.etl_slices(merged)
     if fact_path:
         write_fact(fact, fact_path)

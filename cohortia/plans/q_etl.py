@@ -31,18 +31,13 @@ def _msg_x_sql() -> str:
 WITH s AS ({_SENT}),
 r AS (SELECT CAST(time AS DATE) AS event_date, reciever_id AS "user", count(user_id) AS messages_received,
              count(DISTINCT user_id) AS users_received
-      FROM message_actions WHERE CAST(time AS DATE) = DATE '{Y}' GROUP BY 1, 2),
-d AS (SELECT "user", max(gender) AS gender, max(age) AS age, max(os) AS os FROM (
-        SELECT user_id AS "user", gender, age, os FROM message_actions WHERE CAST(time AS DATE) = DATE '{Y}'
-        UNION ALL
-        SELECT user_id, gender, age, os FROM feed_actions WHERE CAST(time AS DATE) = DATE '{Y}') x
-      GROUP BY 1)
+      FROM message_actions WHERE CAST(time AS DATE) = DATE '{Y}' AND reciever_id IS NOT NULL GROUP BY 1, 2)
 SELECT COALESCE(s.event_date, r.event_date) AS event_date, COALESCE(s."user", r."user") AS "user",
-       COALESCE(s.gender, d.gender) AS gender, COALESCE(s.age, d.age) AS age, COALESCE(s.os, d.os) AS os,
+       s.gender, s.age, s.os,
        COALESCE(s.messages_sent, 0) AS messages_sent, COALESCE(r.messages_received, 0) AS messages_received,
        COALESCE(s.users_sent, 0) AS users_sent, COALESCE(r.users_received, 0) AS users_received
 FROM s FULL JOIN r ON s.event_date = r.event_date AND s."user" = r."user"
-LEFT JOIN d ON d."user" = COALESCE(s."user", r."user")"""
+"""
 
 
 def _msg_x_compat_sql() -> str:
@@ -63,8 +58,8 @@ def _merge_sql(feed_sql: str, msg_sql: str) -> str:
     return f"""
 SELECT f.event_date, f."user", f.gender, f.age, f.os, {cols}
 FROM ({feed_sql}) f JOIN ({msg_sql}) m
-  ON f."user" = m."user" AND f.event_date = m.event_date AND f.gender = m.gender
- AND f.age = m.age AND f.os = m.os"""
+  ON f."user" = m."user" AND f.event_date = m.event_date AND (m.gender IS NULL OR f.gender = m.gender)
+ AND (m.age IS NULL OR f.age = m.age) AND (m.os IS NULL OR f.os = m.os)"""
 
 
 def _sums() -> str:
@@ -103,8 +98,8 @@ def q_etl_feed_extract_compat(spark, d):
 
 @register("etl_messenger_extract", _msg_x_sql())
 def q_etl_messenger_extract(spark, d):
-    f, m = _ev(spark, d)
-    return etl.etl_messenger_extract(m, YESTERDAY, "receiver", f)
+    _, m = _ev(spark, d)
+    return etl.etl_messenger_extract(m, YESTERDAY, "receiver")
 
 
 @register("etl_messenger_extract_compat", _msg_x_compat_sql())
@@ -119,7 +114,7 @@ def _merged(spark, d, compat: bool = False):
         return etl.etl_merge(etl.etl_feed_extract(f, YESTERDAY, "views"),
                              etl.etl_messenger_extract(m, YESTERDAY, "sender_groups"))
     return etl.etl_merge(etl.etl_feed_extract(f, YESTERDAY),
-                         etl.etl_messenger_extract(m, YESTERDAY, "receiver", f))
+                         etl.etl_messenger_extract(m, YESTERDAY, "receiver"))
 
 
 @register("etl_merge", _MERGE)

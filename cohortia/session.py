@@ -65,3 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortia-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Write a *reduced* intermediate once and return a DataFrame reading it back.
+
+    Used where one small derived table (distinct values, one row per user or
+    post) feeds several branches of a plan: every branch then reads the
+    written files instead of re-deriving them from the raw events, and the
+    lineage is cut.  Reliable ``checkpoint()`` into ``spark.checkpoint.dir``
+    (a shared folder on a cluster) survives executor loss.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
