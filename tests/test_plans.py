@@ -41,3 +41,17 @@ def test_activity_is_one_shuffle(spark):
     plan = queries()["user_day_activity"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+@pytest.mark.parametrize("name,max_scans", [
+    ("kendall_matrix", 1), ("mann_whitney_ctr", 1), ("describe_by_group", 1), ("qq_points", 1),
+    ("etl_fact", 2), ("audience_distribution", 1), ("user_day_activity", 2), ("retention_by_distance", 1)])
+def test_raw_events_are_read_once_per_event_table(spark, name, max_scans):
+    """Reduced intermediates read by several branches are materialized, so the raw table
+    is scanned at most once per event table (the adapter reads feed and messages from
+    the same file, hence 2 for two-table queries)."""
+    from __spark_entry__ import queries
+    df = queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") <= max_scans
