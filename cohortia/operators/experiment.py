@@ -240,7 +240,8 @@ def aa_summary(sims: DataFrame, alpha: float = 0.05, bins: int = 20) -> DataFram
 
     Returns one row per bin: bin, lo, hi, n, plus the overall share on every row.
     """
-    p = with_t_pvalues(sims).select(F.col("p_two_sided").alias("p"))
+    # one row per simulation: written once, read by the histogram and by the share
+    p = materialize(with_t_pvalues(sims).select(F.col("p_two_sided").alias("p")))
     hist = p.groupBy(F.least(F.floor(F.col("p") * bins), F.lit(bins - 1)).cast("int").alias("bin")) \
         .agg(F.count(F.lit(1)).alias("n"))
     share = p.select(100 * F.avg((F.col("p") <= alpha).cast("double"))).scalar()
@@ -265,15 +266,18 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
     lin = linearized_likes(users, control)
     buckets = bucket_ctr_from_users(users, n_buckets)
 
+    # statistics of every method first (Spark aggregations), distribution tails once at the end
     def t_rows(df: DataFrame, value: str, metric: str) -> DataFrame:
-        s = welch_ttest(df, value, "exp_group", test, control)
+        s = welch_stats(df, value, "exp_group", test, control)
         return s.select(F.lit(metric).alias("metric"), F.lit("welch_t").alias("method"),
-                        F.col("t").alias("statistic"), "p_two_sided", "p_greater", "p_less")
+                        F.col("t").alias("statistic"), F.col("t"), F.col("df"),
+                        *[F.lit(None).cast("double").alias(z) for z in ("z_greater", "z_less", "z_two_sided")])
 
     def u_rows(df: DataFrame, value: str, metric: str) -> DataFrame:
-        s = mann_whitney(df, value, "exp_group", test, control)
+        s = mann_whitney_stats(df, value, "exp_group", test, control)
         return s.select(F.lit(metric).alias("metric"), F.lit("mann_whitney").alias("method"),
-                        F.col("u_a").alias("statistic"), "p_two_sided", "p_greater", "p_less")
+                        F.col("u_a").alias("statistic"), F.lit(None).cast("double").alias("t"),
+                        F.lit(None).cast("double").alias("df"), "z_greater", "z_less", "z_two_sided")
 
     replicates = poisson_bootstrap(users, control, test, n_bootstrap, seed)
     boot = bootstrap_summary(replicates)
@@ -283,20 +287,30 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
         F.struct(F.lit(control).alias("exp_group"), F.col("ctr_control").alias("rep_ctr")),
         F.struct(F.lit(test).alias("exp_group"), F.col("ctr_test").alias("rep_ctr")))).alias("r")
     ).select("r.*")
-    boot_row = boot.select(F.lit("global_ctr").alias("metric"), F.lit("poisson_bootstrap").alias("method"),
-                           (F.col("mean_test") - F.col("mean_control")).alias("statistic"),
-                           F.lit(None).cast("double").alias("p_two_sided"),
-                           (1 - F.col("share_diff_positive")).alias("p_greater"),
-                           F.col("share_diff_positive").alias("p_less"))
     parts = [t_rows(users, "ctr", "ctr"), u_rows(users, "ctr", "ctr"),
              t_rows(sm, "smoothed_ctr", "smoothed_ctr"), u_rows(sm, "smoothed_ctr", "smoothed_ctr"),
              t_rows(lin, "linearized_likes", "linearized_likes"),
              u_rows(lin, "linearized_likes", "linearized_likes"),
              t_rows(buckets, "bucket_ctr", "bucket_ctr"), u_rows(buckets, "bucket_ctr", "bucket_ctr"),
-             t_rows(users, "posts", "posts"), u_rows(users, "posts", "posts"), boot_row,
+             t_rows(users, "posts", "posts"), u_rows(users, "posts", "posts"),
              t_rows(rep_long, "rep_ctr", "bootstrap_replicate_ctr"),
              u_rows(rep_long, "rep_ctr", "bootstrap_replicate_ctr")]
-    out = parts[0]
+    stats = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        stats = stats.unionByName(p)
+    stats = materialize(stats)                     # a dozen rows; tails computed once below
+    is_t = F.col("method") == "welch_t"
+    tails = stats.select(
+        "metric", "method", "statistic",
+        F.when(is_t, t_pvalue_col(F.col("t"), F.col("df"), "two-sided"))
+         .otherwise(F.least(F.lit(1.0), 2 * norm_sf_col(F.col("z_two_sided")))).alias("p_two_sided"),
+        F.when(is_t, t_pvalue_col(F.col("t"), F.col("df"), "greater"))
+         .otherwise(norm_sf_col(F.col("z_greater"))).alias("p_greater"),
+        F.when(is_t, t_pvalue_col(F.col("t"), F.col("df"), "less"))
+         .otherwise(norm_sf_col(F.col("z_less"))).alias("p_less"))
+    boot_row = boot.select(F.lit("global_ctr").alias("metric"), F.lit("poisson_bootstrap").alias("method"),
+                           (F.col("mean_test") - F.col("mean_control")).alias("statistic"),
+                           F.lit(None).cast("double").alias("p_two_sided"),
+                           (1 - F.col("share_diff_positive")).alias("p_greater"),
+                           F.col("share_diff_positive").alias("p_less"))
+    return tails.unionByName(boot_row)
