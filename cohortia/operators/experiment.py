@@ -83,21 +83,23 @@ def bucket_ctr_from_users(u: DataFrame, n_buckets: int = 50, bucket_fn=md5_bucke
 
 # ---------------------------------------------------------------- Welch t-test
 
-def welch_stats(df: DataFrame, value: str, group_col: str, a, b) -> DataFrame:
-    """T1/T2 statistics in one global aggregation: n, mean, var per sample, t, df.
+def welch_stats(df: DataFrame, value: str, group_col: str, a, b,
+                keys: tuple[str, ...] = ()) -> DataFrame:
+    """T1/T2 statistics in one aggregation per key: n, mean, var per sample, t, df.
 
     Sample ``a`` is the first argument of ``ttest_ind`` (t > 0 ⇔ mean_a > mean_b).
+    ``keys`` runs many tests at once (one row per key).
     """
     v = F.col(value)
     ga, gb = F.col(group_col) == F.lit(a), F.col(group_col) == F.lit(b)
-    s = df.where(v.isNotNull()).agg(
+    s = df.where(v.isNotNull()).groupBy(*keys).agg(
         F.count(F.when(ga, v)).alias("n_a"), F.count(F.when(gb, v)).alias("n_b"),
         F.avg(F.when(ga, v)).alias("mean_a"), F.avg(F.when(gb, v)).alias("mean_b"),
         F.var_samp(F.when(ga, v)).alias("var_a"), F.var_samp(F.when(gb, v)).alias("var_b"))
     t, dof = welch_columns(F.col("n_a"), F.col("mean_a"), F.col("var_a"),
                            F.col("n_b"), F.col("mean_b"), F.col("var_b"))
-    return s.select(F.lit(str(a)).alias("group_a"), F.lit(str(b)).alias("group_b"), "*",
-                    t.alias("t"), dof.alias("df"))
+    return s.select(*keys, F.lit(str(a)).alias("group_a"), F.lit(str(b)).alias("group_b"),
+                    "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", t.alias("t"), dof.alias("df"))
 
 
 def with_t_pvalues(stats: DataFrame, t: str = "t", dof: str = "df") -> DataFrame:
@@ -112,29 +114,33 @@ def welch_ttest(df: DataFrame, value: str, group_col: str, a, b) -> DataFrame:
 
 # ---------------------------------------------------------------- Mann–Whitney U
 
-def mann_whitney_stats(df: DataFrame, value: str, group_col: str, a, b) -> DataFrame:
+def mann_whitney_stats(df: DataFrame, value: str, group_col: str, a, b,
+                       keys: tuple[str, ...] = ()) -> DataFrame:
     """T3 statistics: U_a = Σ_v n_a(v)·(n_b(<v) + n_b(v)/2), tie-corrected σ, z values.
 
     Distinct values and their per-sample counts come from one partial
-    aggregation; n_b(<v) is a distributed prefix sum.  z uses SciPy's
-    asymptotic form with continuity correction: for 'greater' U = U_a, for
-    'less' U = U_b, for 'two-sided' U = max(U_a, U_b).
+    aggregation (written once: every pass below reads it); n_b(<v) is a
+    distributed prefix sum.  z uses SciPy's asymptotic form with continuity
+    correction: for 'greater' U = U_a, for 'less' U = U_b, for 'two-sided'
+    U = max(U_a, U_b).  ``keys`` runs many tests at once (one row per key).
     """
+    keys = tuple(keys)
     v = F.col(value)
     ga, gb = F.col(group_col) == F.lit(a), F.col(group_col) == F.lit(b)
-    cnt = materialize(df.where(v.isNotNull() & (ga | gb)).groupBy(value)
+    cnt = materialize(df.where(v.isNotNull() & (ga | gb)).groupBy(*keys, value)
                       .agg(F.count_if(ga).alias("n1"), F.count_if(gb).alias("n2")))
-    cum = prefix_sum(cnt, value, "n2", out="c2")
-    s = cum.agg(F.sum("n1").alias("n_a"), F.sum("n2").alias("n_b"),
-                F.sum(F.col("n1") * (F.col("c2") + F.col("n2") / 2.0)).alias("u_a"),
-                F.sum(F.pow((F.col("n1") + F.col("n2")).cast("double"), 3)
-                      - (F.col("n1") + F.col("n2"))).alias("tie_term"))
+    cum = prefix_sum(cnt, value, "n2", keys, out="c2")
+    s = cum.groupBy(*keys).agg(
+        F.sum("n1").alias("n_a"), F.sum("n2").alias("n_b"),
+        F.sum(F.col("n1") * (F.col("c2") + F.col("n2") / 2.0)).alias("u_a"),
+        F.sum(F.pow((F.col("n1") + F.col("n2")).cast("double"), 3)
+              - (F.col("n1") + F.col("n2"))).alias("tie_term"))
     n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = n_a + n_b
     mu = n_a * n_b / 2.0
     sigma = F.sqrt(n_a * n_b / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
     u_b = n_a * n_b - F.col("u_a")
-    s = s.select(F.lit(str(a)).alias("group_a"), F.lit(str(b)).alias("group_b"),
+    s = s.select(*keys, F.lit(str(a)).alias("group_a"), F.lit(str(b)).alias("group_b"),
                  "n_a", "n_b", "u_a", u_b.alias("u_b"), mu.alias("mu"), sigma.alias("sigma"))
     z = lambda u: F.try_divide(u - F.col("mu") - 0.5, F.col("sigma"))
     return s.select("*", z(F.col("u_a")).alias("z_greater"), z(F.col("u_b")).alias("z_less"),
@@ -266,38 +272,32 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
     lin = linearized_likes(users, control)
     buckets = bucket_ctr_from_users(users, n_buckets)
 
-    # statistics of every method first (Spark aggregations), distribution tails once at the end
-    def t_rows(df: DataFrame, value: str, metric: str) -> DataFrame:
-        s = welch_stats(df, value, "exp_group", test, control)
-        return s.select(F.lit(metric).alias("metric"), F.lit("welch_t").alias("method"),
-                        F.col("t").alias("statistic"), F.col("t"), F.col("df"),
-                        *[F.lit(None).cast("double").alias(z) for z in ("z_greater", "z_less", "z_two_sided")])
-
-    def u_rows(df: DataFrame, value: str, metric: str) -> DataFrame:
-        s = mann_whitney_stats(df, value, "exp_group", test, control)
-        return s.select(F.lit(metric).alias("metric"), F.lit("mann_whitney").alias("method"),
-                        F.col("u_a").alias("statistic"), F.lit(None).cast("double").alias("t"),
-                        F.lit(None).cast("double").alias("df"), "z_greater", "z_less", "z_two_sided")
-
+    # every metric of every method melted into one (metric, exp_group, x) frame: one keyed
+    # Welch aggregation and one keyed Mann–Whitney pass test them all; tails once at the end
     replicates = poisson_bootstrap(users, control, test, n_bootstrap, seed)
     boot = bootstrap_summary(replicates)
     # quirk D19 (compat rows): the reference also ran t and U tests on the replicate CTRs
     # as if they were observations, so those p-values depend on n_bootstrap
     rep_long = replicates.select(F.explode(F.array(
-        F.struct(F.lit(control).alias("exp_group"), F.col("ctr_control").alias("rep_ctr")),
-        F.struct(F.lit(test).alias("exp_group"), F.col("ctr_test").alias("rep_ctr")))).alias("r")
-    ).select("r.*")
-    parts = [t_rows(users, "ctr", "ctr"), u_rows(users, "ctr", "ctr"),
-             t_rows(sm, "smoothed_ctr", "smoothed_ctr"), u_rows(sm, "smoothed_ctr", "smoothed_ctr"),
-             t_rows(lin, "linearized_likes", "linearized_likes"),
-             u_rows(lin, "linearized_likes", "linearized_likes"),
-             t_rows(buckets, "bucket_ctr", "bucket_ctr"), u_rows(buckets, "bucket_ctr", "bucket_ctr"),
-             t_rows(users, "posts", "posts"), u_rows(users, "posts", "posts"),
-             t_rows(rep_long, "rep_ctr", "bootstrap_replicate_ctr"),
-             u_rows(rep_long, "rep_ctr", "bootstrap_replicate_ctr")]
-    stats = parts[0]
-    for p in parts[1:]:
-        stats = stats.unionByName(p)
+        F.struct(F.lit(control).alias("exp_group"), F.col("ctr_control").alias("x")),
+        F.struct(F.lit(test).alias("exp_group"), F.col("ctr_test").alias("x")))).alias("r")
+    ).select(F.lit("bootstrap_replicate_ctr").alias("metric"), "r.*")
+
+    def part(df: DataFrame, col: str, metric: str) -> DataFrame:
+        return df.select(F.lit(metric).alias("metric"), "exp_group", F.col(col).cast("double").alias("x"))
+
+    long = (part(users, "ctr", "ctr").unionByName(part(sm, "smoothed_ctr", "smoothed_ctr"))
+            .unionByName(part(lin, "linearized_likes", "linearized_likes"))
+            .unionByName(part(buckets, "bucket_ctr", "bucket_ctr"))
+            .unionByName(part(users, "posts", "posts")).unionByName(rep_long))
+    w = welch_stats(long, "x", "exp_group", test, control, ("metric",)).select(
+        "metric", F.lit("welch_t").alias("method"), F.col("t").alias("statistic"), "t", "df",
+        *[F.lit(None).cast("double").alias(z) for z in ("z_greater", "z_less", "z_two_sided")])
+    u = mann_whitney_stats(long, "x", "exp_group", test, control, ("metric",)).select(
+        "metric", F.lit("mann_whitney").alias("method"), F.col("u_a").alias("statistic"),
+        F.lit(None).cast("double").alias("t"), F.lit(None).cast("double").alias("df"),
+        "z_greater", "z_less", "z_two_sided")
+    stats = w.unionByName(u)
     stats = materialize(stats)                     # a dozen rows; tails computed once below
     is_t = F.col("method") == "welch_t"
     tails = stats.select(
