@@ -4,8 +4,8 @@ DAU/WAU/MAU use *coverage spans* instead of a distinct count per sliding
 window (``count(DISTINCT) OVER`` does not exist in Spark): per user, each active
 day covers the following horizon−1 days up to the next active day, so every
 (user, as-of day) pair is generated exactly once and a plain count per day is
-the distinct count.  The span step is a window per user over that user's
-distinct active days (bounded by the calendar).
+the distinct count.  The spans come from each user's sorted set of active days
+(one aggregation keyed by user, bounded by the calendar).
 """
 
 from __future__ import annotations
@@ -41,13 +41,18 @@ def filter_slice(df: DataFrame, **dims) -> DataFrame:
 def wau_mau_stickiness(events: DataFrame, start, end) -> DataFrame:
     """Per day in [start, end]: dau, wau (7 days), mau (30 days), stickiness = dau/mau."""
     s, e = as_date(start), as_date(end)
-    ud = (events.where(day().between(date_lit(s - _dt.timedelta(days=29)), date_lit(e)))
-          .select("user_id", day().alias("day")).distinct())
-    nxt = F.lead("day").over(Window.partitionBy("user_id").orderBy("day"))
-    span_end = F.least(F.date_add("day", 29), F.coalesce(F.date_sub(nxt, 1), F.date_add("day", 29)),
-                       date_lit(e))
-    cov = (ud.select("user_id", "day", span_end.alias("span_end"))
-           .select("day", F.explode(F.sequence("day", "span_end")).alias("as_of_day"))
+    days = (events.where(day().between(date_lit(s - _dt.timedelta(days=29)), date_lit(e)))
+            .groupBy("user_id").agg(F.array_sort(F.collect_set(day())).alias("days")))
+    n = F.size("days")
+    # each active day covers the as-of days up to the next active day (at most 30)
+    spans = F.transform("days", lambda dd, i: F.struct(
+        dd.alias("day"),
+        F.least(F.date_add(dd, 29), date_lit(e),
+                F.coalesce(F.when(i < n - 1, F.date_sub(F.element_at("days", i + 2), 1)),
+                           F.date_add(dd, 29))).alias("span_end")))
+    cov = (days.select(F.explode(spans).alias("sp"))
+           .select(F.col("sp.day").alias("day"),
+                   F.explode(F.sequence("sp.day", "sp.span_end")).alias("as_of_day"))
            .where(F.col("as_of_day") >= date_lit(s)))
     dist = F.datediff("as_of_day", "day")
     out = (cov.groupBy(F.col("as_of_day").alias("day"))
@@ -75,28 +80,34 @@ def audience_distribution(events: DataFrame, dim: str, start=None, end=None) ->
 
 def kpi_card(feed: DataFrame, on_day) -> DataFrame:
     """Total users, posts, views, likes, CTR, average views/likes per user and
-    1-day retention (share of the previous day's users active again on the day)."""
+    1-day retention (share of the previous day's users active again on the day).
+
+    One pass over the two days: grouping sets give per-user rows (activity flags
+    and today's counts) and per-post rows (seen today) from the same scan; one
+    global aggregation over those rows builds the card.
+    """
     d = as_date(on_day)
     prev = d - _dt.timedelta(days=1)
     f = feed.where(day().between(date_lit(prev), date_lit(d))).select(
-        "user_id", "post_id", "action", day().alias("day"))
-    per_user = (f.groupBy("user_id")
-                .agg(F.max((F.col("day") == date_lit(d)).cast("int")).alias("on_day"),
-                     F.max((F.col("day") == date_lit(prev)).cast("int")).alias("on_prev")))
-    ret = per_user.agg(
-        F.try_divide(F.count_if((F.col("on_day") == 1) & (F.col("on_prev") == 1)).cast("double"),
-                     F.count_if(F.col("on_prev") == 1).cast("double")).alias("retention_1d"))
-    today = f.where(F.col("day") == date_lit(d))
-    views = F.count_if(F.col("action") == "view")
-    likes = F.count_if(F.col("action") == "like")
-    users = F.countDistinct("user_id")
-    main = today.agg(users.alias("users"), F.countDistinct("post_id").alias("posts"),
-                     views.alias("views"), likes.alias("likes"),
-                     ratio(likes, views).alias("ctr"),
-                     ratio(views, users).alias("avg_views"),
-                     ratio(likes, users).alias("avg_likes"))
-    return main.select(date_lit(d).alias("day"), "*", ret.select("retention_1d").scalar()
-                       .alias("retention_1d"))
+        "user_id", "post_id", "action", (day() == date_lit(d)).alias("today"))
+    g = (f.groupingSets([["user_id"], ["post_id"]], "user_id", "post_id")
+         .agg(F.grouping_id().alias("gid"),
+              F.max(F.col("today").cast("int")).alias("on_day"),
+              F.max((~F.col("today")).cast("int")).alias("on_prev"),
+              F.count_if(F.col("today") & (F.col("action") == "view")).alias("v"),
+              F.count_if(F.col("today") & (F.col("action") == "like")).alias("l")))
+    is_user, is_post = F.col("gid") == 1, F.col("gid") == 2      # post_id / user_id rolled up
+    users = F.count_if(is_user & (F.col("on_day") == 1))
+    views = F.sum(F.when(is_user, F.col("v")))
+    likes = F.sum(F.when(is_user, F.col("l")))
+    return g.agg(
+        users.alias("users"), F.count_if(is_post & (F.col("on_day") == 1)).alias("posts"),
+        views.cast("long").alias("views"), likes.cast("long").alias("likes"),
+        ratio(likes, views).alias("ctr"), ratio(views, users).alias("avg_views"),
+        ratio(likes, users).alias("avg_likes"),
+        F.try_divide(F.count_if(is_user & (F.col("on_day") == 1) & (F.col("on_prev") == 1)).cast("double"),
+                     F.count_if(is_user & (F.col("on_prev") == 1)).cast("double")).alias("retention_1d")
+    ).select(date_lit(d).alias("day"), "*")
 
 
 def top_posts(feed: DataFrame, k: int = 10, by: str = "views", **slicers) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.functions.timefn import as_date, date_lit, day
@@ -37,16 +37,19 @@ def metric_drop_by_dimension(events: DataFrame, on_day, base: str = "day",
     d = as_date(on_day)
     b = d - _dt.timedelta(days=1 if base == "day" else 7)
     ev = events.where(day().isin(d, b))
+    # a NULL pseudo-dimension carries the overall DAU through the same single pass
     melted = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("dimension"), _dim_col(n).alias("value")) for n in dims]))
+        F.struct(F.lit(n).alias("dimension"), _dim_col(n).alias("value")) for n in dims],
+        F.struct(F.lit(None).cast("string").alias("dimension"), F.lit(None).cast("string").alias("value"))))
     pairs = (ev.select("user_id", day().alias("day"), melted.alias("dv"))
              .select("user_id", "day", "dv.dimension", "dv.value").distinct())
     agg = (pairs.groupBy("dimension", "value")
            .agg(F.count_if(F.col("day") == date_lit(d)).alias("users_day"),
                 F.count_if(F.col("day") == date_lit(b)).alias("users_base")))
-    tot = ev.select((F.countDistinct(F.when(day() == date_lit(d), F.col("user_id")))
-                     - F.countDistinct(F.when(day() == date_lit(b), F.col("user_id"))))).scalar()
     delta = F.col("users_day") - F.col("users_base")
-    return agg.select("dimension", "value", "users_day", "users_base", delta.alias("delta"),
-                      F.try_divide(delta.cast("double"), tot.cast("double")).alias("share_of_total_delta"),
-                      ((F.col("users_day") == 0) & (F.col("users_base") > 0)).alias("vanished"))
+    # the window runs over the aggregated result (one row per dimension value)
+    tot = F.max(F.when(F.col("dimension").isNull(), delta)).over(Window.partitionBy())
+    return (agg.select("*", tot.alias("_tot")).where(F.col("dimension").isNotNull())
+            .select("dimension", "value", "users_day", "users_base", delta.alias("delta"),
+                    F.try_divide(delta.cast("double"), F.col("_tot").cast("double")).alias("share_of_total_delta"),
+                    ((F.col("users_day") == 0) & (F.col("users_base") > 0)).alias("vanished")))

@@ -62,6 +62,7 @@ def smoothed_ctr(users: DataFrame, alpha: float = 5.0) -> DataFrame:
 
 def linearized_likes(users: DataFrame, control: int) -> DataFrame:
     """Likes − CTR_control · views (CTR_control = Σlikes/Σviews of the control)."""
+    users = materialize(users)                    # read by the scalar and by the projection
     ctrl = users.where(F.col("exp_group") == control).select(
         ratio(F.sum("likes"), F.sum("views"))).scalar()
     return users.withColumn("linearized_likes", F.col("likes") - ctrl * F.col("views"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.functions.timefn import as_date, date_lit, day
+from cohortia.session import materialize
 
 
 def user_day_sets(events: DataFrame, attrs: dict[str, str] | None = None,
@@ -59,8 +60,9 @@ def first_cohort_retention(feed: DataFrame) -> DataFrame:
 
     The first day is an uncorrelated scalar subquery (J9), evaluated once.
     """
-    first_day = feed.select(F.min(day())).scalar()
-    sets = user_day_sets(feed).where(F.col("birthday") == first_day)
+    sets = materialize(user_day_sets(feed))       # one row per user, read twice below
+    first_day = sets.select(F.min("birthday")).scalar()
+    sets = sets.where(F.col("birthday") == first_day)
     return (_explode_days(sets).groupBy("day")
             .agg(F.count(F.lit(1)).alias("num_users")))
 
@@ -129,9 +131,9 @@ def campaign_cohort_compare(feed: DataFrame, messages: DataFrame, as_of,
     Input is the distinct app-wide retention; the medians run over the
     aggregated cohort table (≤ window_days² rows).
     """
-    r = (app_retention_distinct(feed, messages, as_of, window_days)
-         .groupBy("birthday", "day").agg(F.sum("num_of_users").cast("long").alias("num_of_users"))
-         .withColumn("days_distance", F.datediff("day", "birthday")))
+    r = materialize(app_retention_distinct(feed, messages, as_of, window_days)
+                    .groupBy("birthday", "day").agg(F.sum("num_of_users").cast("long").alias("num_of_users"))
+                    .withColumn("days_distance", F.datediff("day", "birthday")))   # cohort table
     wc = Window.partitionBy("birthday")
     r = r.withColumn("cohort_size",
                      F.max(F.when(F.col("days_distance") == 0, F.col("num_of_users"))).over(wc))

@@ -45,7 +45,9 @@ def test_activity_is_one_shuffle(spark):
 
 @pytest.mark.parametrize("name,max_scans", [
     ("kendall_matrix", 1), ("mann_whitney_ctr", 1), ("describe_by_group", 1), ("qq_points", 1),
-    ("etl_fact", 2), ("audience_distribution", 1), ("user_day_activity", 2), ("retention_by_distance", 1)])
+    ("etl_fact", 2), ("audience_distribution", 1), ("user_day_activity", 2), ("retention_by_distance", 1),
+    ("kpi_card", 1), ("metric_drop_by_dimension", 1), ("first_cohort_retention", 1),
+    ("campaign_cohort_compare", 2), ("linearized_likes", 1), ("wau_mau_stickiness", 1)])
 def test_raw_events_are_read_once_per_event_table(spark, name, max_scans):
     """Reduced intermediates read by several branches are materialized, so the raw table
     is scanned at most once per event table (the adapter reads feed and messages from
