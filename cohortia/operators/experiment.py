@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia.functions.hashing import md5_bucket, poisson_weight, uniform_int
-from cohortia.functions.joins import sized_join
+from cohortia.functions.joins import BROADCAST_MAX_ROWS, sized_join
 from cohortia.functions.metrics import ratio
 from cohortia.functions.ranks import dense_index, prefix_sum
 from cohortia.functions.stats import norm_sf_col, t_pvalue_col, welch_columns
@@ -195,7 +195,7 @@ def bootstrap_summary(boot: DataFrame, level: float = 0.95) -> DataFrame:
 
 def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value: str = "ctr",
                   n_tests: int = 10000, n_samples: int = 500, null: str = "per_group",
-                  seed: int = 0) -> DataFrame:
+                  seed: int = 0, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """T4: per simulated test, Welch statistics of two samples drawn with replacement.
 
     ``null='per_group'`` draws sample a from group a and b from group b (as
@@ -217,7 +217,8 @@ def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value:
         pool = materialize(dense_index(pool.select("user_id", F.col(value).alias("x")), "user_id"))
         size = pool.select(F.count(F.lit(1))).scalar()
         draws = draws.select("sim", "sample", F.pmod(h, size).alias("idx"))
-        picked = sized_join(draws, pool.select("idx", "x"), "idx", materialize=False)
+        picked = sized_join(draws, pool.select("idx", "x"), "idx", max_rows=broadcast_max_rows,
+                            materialize=False)
     elif null == "per_group":
         pool = pool.select(F.when(F.col("exp_group") == a, 0).otherwise(1).alias("sample"),
                            "user_id", F.col(value).alias("x"))
@@ -227,7 +228,7 @@ def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value:
         draws = draws.join(F.broadcast(sizes), "sample").select(
             "sim", "sample", F.pmod(h, F.col("size")).alias("idx"))
         picked = sized_join(draws, pool.select("sample", "idx", "x"), ["sample", "idx"],
-                            materialize=False)
+                            max_rows=broadcast_max_rows, materialize=False)
     else:
         raise ValueError(null)
     st = (picked.groupBy("sim")

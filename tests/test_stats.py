@@ -138,3 +138,14 @@ def test_kendall_tau_b_matches_brute_force_with_ties_and_nulls(spark):
     for r in got.itertuples():
         ref = _brute_tau_b(pdf[r.x_col].to_numpy(float), pdf[r.y_col].to_numpy(float))
         assert r.tau == pytest.approx(ref, abs=1e-12)
+
+
+@pytest.mark.parametrize("null", ["per_group", "pooled"])
+def test_aa_shuffle_path_equals_broadcast_path(spark, events_small, null):
+    feed, _ = events_small
+    users = ex.experiment_user_metrics(feed, "2024-01-01", "2024-01-30", (2, 3))
+    a = ex.aa_simulation(spark, users, 2, 3, "ctr", 300, 50, null, 1).orderBy("sim").toPandas()
+    b = ex.aa_simulation(spark, users, 2, 3, "ctr", 300, 50, null, 1, broadcast_max_rows=0)
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan.split("Initial Plan")[0] or "ShuffledHashJoin" in plan
+    pd.testing.assert_frame_equal(a, b.orderBy("sim").toPandas())
