@@ -78,3 +78,29 @@ def run_app_report(feed: DataFrame, messages: DataFrame, as_of) -> dict[str, Dat
 def run_ab_report(feed: DataFrame, start, end, control: int, test: int, **kw) -> DataFrame:
     """Every method of the A/B analysis as rows (metric, method, statistic, p-values)."""
     return ex.experiment_report(feed, start, end, control, test, **kw)
+
+
+def run_audience_dashboard(feed: DataFrame, messages: DataFrame, as_of, period_days: int = 30,
+                           dims: tuple[str, ...] = ("age", "gender", "os", "source", "country")
+                           ) -> dict[str, DataFrame]:
+    """The dashboard data — DAU/WAU/MAU/stickiness, retention, audience
+    distributions, KPI card, live offsets, top posts/users and service interaction."""
+    import datetime as _dt
+    from cohortia.functions.timefn import as_date
+    from cohortia.operators import audience as aud
+    from cohortia.operators import retention
+    y = as_date(as_of) - _dt.timedelta(days=1)
+    start = y - _dt.timedelta(days=period_days - 1)
+    out = {
+        "wau_mau_stickiness": aud.wau_mau_stickiness(feed, start, y),
+        "retention": retention.retention_by_distance(feed),
+        "kpi_card": aud.kpi_card(feed, y),
+        "live_offsets": aud.live_offsets(feed, y),
+        "top_posts": aud.top_posts(feed, 10, "views", time_from=start),
+        "top_users": aud.top_users(feed, 10, "views", time_from=start),
+        "user_bubbles": aud.user_bubbles(feed, messages, start, y),
+    }
+    for d in dims:
+        out[f"distribution_{d}"] = aud.audience_distribution(feed, d, start, y)
+        out[f"interaction_{d}"] = aud.interaction_audience(feed, messages, d, start, y)
+    return out

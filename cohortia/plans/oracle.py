@@ -26,13 +26,13 @@ _DIMS = f"""
 ADAPTER_CTES = f"""
 feed_actions AS (
   SELECT user_id,
-    CAST(json_extract_string(props, '$.k') AS BIGINT) AS post_id,
+    TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS post_id,
     CASE WHEN event_type = 'view' THEN 'view' ELSE 'like' END AS action,
     CAST(ts AS TIMESTAMP) AS time,{_DIMS}
   FROM events WHERE event_type IN ('view', 'click')),
 message_actions AS (
   SELECT user_id,
-    CAST(json_extract_string(props, '$.k') AS BIGINT) AS reciever_id,
+    TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS reciever_id,
     CAST(ts AS TIMESTAMP) AS time,{_DIMS}
   FROM events WHERE event_type IN ('purchase', 'signup')),
 orders_activity AS (

@@ -56,7 +56,7 @@ def feed_actions(events: DataFrame) -> DataFrame:
     country, city, exp_group)."""
     return (events.where(F.col("event_type").isin(*FEED_TYPES))
             .select(F.col("user_id"),
-                    F.expr("CAST(get_json_object(props, '$.k') AS BIGINT) AS post_id"),
+                    F.expr("TRY_CAST(get_json_object(props, '$.k') AS BIGINT) AS post_id"),
                     F.expr("CASE WHEN event_type = 'view' THEN 'view' ELSE 'like' END AS action"),
                     F.expr("CAST(ts AS TIMESTAMP) AS time"),
                     *_user_dims()))
@@ -67,7 +67,7 @@ def message_actions(events: DataFrame) -> DataFrame:
     country, city, exp_group).  Attributes are those of the sender."""
     return (events.where(F.col("event_type").isin(*MESSAGE_TYPES))
             .select(F.col("user_id"),
-                    F.expr("CAST(get_json_object(props, '$.k') AS BIGINT) AS reciever_id"),
+                    F.expr("TRY_CAST(get_json_object(props, '$.k') AS BIGINT) AS reciever_id"),
                     F.expr("CAST(ts AS TIMESTAMP) AS time"),
                     *_user_dims()))
 

@@ -33,3 +33,11 @@ def test_alert_job_and_reports(spark, events_small):
     assert rep["table"].count() == 7 and rep["latest"].count() == 1
     app = jobs.run_app_report(feed, msgs, "2024-01-31")
     assert app["dau_by_status"].count() == 30
+
+
+def test_audience_dashboard(events_small):
+    feed, msgs = events_small
+    dash = jobs.run_audience_dashboard(feed, msgs, "2024-01-31")
+    assert dash["wau_mau_stickiness"].count() == 30
+    assert dash["kpi_card"].count() == 1
+    assert dash["distribution_os"].count() == 2
