@@ -227,6 +227,7 @@ def seasonal_decompose(series: DataFrame, ts: str = "day_h", value: str = "actio
     (one series per key; its length is bounded by the calendar).
     """
     keys = tuple(keys)
+    series = materialize(series.select(*keys, ts, value))   # one row per hour: span + densify
     span = series.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
     cal = span.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(ts))
     dense = cal.join(series.select(*keys, ts, value), [*keys, ts], "left") \

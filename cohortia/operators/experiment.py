@@ -53,6 +53,7 @@ def smoothed_ctr(users: DataFrame, alpha: float = 5.0) -> DataFrame:
     The per-group table has one row per experiment group, so the join is a
     broadcast of a handful of rows.
     """
+    users = materialize(users)                    # read by the group CTRs and by the join
     g = F.broadcast(group_ctr(users))
     return users.join(g, "exp_group").withColumn(
         "smoothed_ctr",
