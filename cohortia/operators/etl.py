@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions.timefn import date_lit, day
+from cohortia.session import materialize
 
 METRICS = ["views", "likes", "messages_received", "messages_sent", "users_received", "users_sent"]
 DIMS = ["gender", "age", "os"]
@@ -46,13 +47,23 @@ def etl_messenger_extract(messages: DataFrame, on_day, attribution: str = "recei
     """
     m = messages.where(day() == date_lit(on_day))
     if attribution == "sender_groups":
-        sent = (m.groupBy(day().alias("event_date"), F.col("user_id").alias("user"), *DIMS)
-                .agg(F.count("reciever_id").alias("messages_sent"),
-                     F.countDistinct("reciever_id").alias("users_sent")))
-        rec = (m.groupBy(day().alias("r_date"), F.col("reciever_id").alias("r_user"),
-                         *[F.col(c).alias("r_" + c) for c in DIMS])
-               .agg(F.count("user_id").alias("messages_received"),
-                    F.countDistinct("user_id").alias("users_received")))
+        # one pass: sender rows and receiver rows, both keyed with the *sender's* attributes
+        tagged = F.explode(F.array(
+            F.struct(F.lit(True).alias("sender"), F.col("user_id").alias("user"),
+                     F.col("reciever_id").alias("peer")),
+            F.struct(F.lit(False).alias("sender"), F.col("reciever_id").alias("user"),
+                     F.col("user_id").alias("peer"))))
+        # written once: both sides of the compat join read it (filters on ``sender``
+        # would otherwise be pushed below the aggregation and split it into two scans)
+        agg = materialize(m.select(day().alias("event_date"), *DIMS, tagged.alias("t"))
+                          .select("event_date", *DIMS, "t.*")
+                          .groupBy("sender", "event_date", "user", *DIMS)
+                          .agg(F.count("peer").alias("n"), F.countDistinct("peer").alias("u")))
+        sent = agg.where("sender").select("event_date", "user", *DIMS, F.col("n").alias("messages_sent"),
+                                          F.col("u").alias("users_sent"))
+        rec = agg.where(~F.col("sender") & F.col("user").isNotNull()).select(
+            F.col("user").alias("r_user"), F.col("n").alias("messages_received"),
+            F.col("u").alias("users_received"))
         j = sent.join(rec, sent["user"] == rec["r_user"], "full")
         return j.select(
             F.coalesce("event_date", F.lit("1970-01-01").cast("date")).alias("event_date"),
