@@ -20,23 +20,27 @@ def write_fact(df: DataFrame, path: str, partition_col: str = "event_date",
     """Write a date-partitioned parquet fact table, replacing only the dates in ``df``.
 
     Rows are clustered by date (one shuffle on the partition column, so each
-    date is written by few tasks) and sorted within files by ``sort_cols``,
-    the analogue of MergeTree's ORDER BY.
+    date is written by one task, or by ``files_per_partition`` tasks when a date
+    is large — a salt from the other columns spreads it) and sorted within
+    files by ``sort_cols``, the analogue of MergeTree's ORDER BY.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out = df.repartition(files_per_partition, partition_col) if files_per_partition else \
-        df.repartition(partition_col)
+    if files_per_partition:
+        others = [c for c in df.columns if c != partition_col]
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in others]), F.lit(files_per_partition))
+        out = df.repartition(partition_col, salt)
+    else:
+        out = df.repartition(partition_col)
     (out.sortWithinPartitions(partition_col, *sort_cols)
-        .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col).parquet(path))
 
 
 def write_fact_table(df: DataFrame, table: str, partition_col: str = "event_date") -> None:
     """Create-if-absent + load of a catalog table partitioned by date."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        (df.select(*spark.table(table).columns).write
+         .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
     else:
         df.write.partitionBy(partition_col).format("parquet").saveAsTable(table)
 
