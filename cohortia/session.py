@@ -78,3 +78,31 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               executor_memory_gb: float, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of parquet.
+
+    * scan splits: ``maxPartitionBytes`` = target_partition_mb, so a 100 TB scan is
+      ~400k tasks of 256 MB (decoded rows stay well inside a core's memory share);
+    * shuffle: the initial partition count covers the largest shuffle (bounded
+      above by the input size) at ~target_partition_mb each and is a multiple of
+      the core count; AQE coalesces small ones (advisory size) and splits skewed
+      partitions of joins;
+    * the memory share per core bounds the target: a partition must fit into
+      (executor memory × 0.6 unified fraction) / cores several times over.
+    """
+    cores = executors * cores_per_executor
+    per_core_mb = executor_memory_gb * 1024 * 0.6 / cores_per_executor
+    target = int(min(target_partition_mb, max(32, per_core_mb / 4)))
+    shuffle = max(2 * cores, int(input_bytes / (target * 1024 * 1024)))
+    shuffle = ((shuffle + cores - 1) // cores) * cores
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target}m",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
