@@ -86,17 +86,20 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
 
     * scan splits: ``maxPartitionBytes`` = target_partition_mb, so a 100 TB scan is
       ~400k tasks of 256 MB (decoded rows stay well inside a core's memory share);
-    * shuffle: the initial partition count covers the largest shuffle (bounded
-      above by the input size) at ~target_partition_mb each and is a multiple of
-      the core count; AQE coalesces small ones (advisory size) and splits skewed
-      partitions of joins;
+    * shuffle: every shuffle here follows column pruning and map-side partial
+      aggregation, so it carries a small fraction of the input (assumed ≤ 1/16);
+      the partition count covers that at ~target_partition_mb each, clamped to
+      2–8× the cores (more reducers would multiply shuffle blocks, M × R, with
+      no gain) and rounded to a multiple of the cores; AQE coalesces small
+      partitions (advisory size) and splits skewed partitions of joins;
     * the memory share per core bounds the target: a partition must fit into
       (executor memory × 0.6 unified fraction) / cores several times over.
     """
     cores = executors * cores_per_executor
     per_core_mb = executor_memory_gb * 1024 * 0.6 / cores_per_executor
     target = int(min(target_partition_mb, max(32, per_core_mb / 4)))
-    shuffle = max(2 * cores, int(input_bytes / (target * 1024 * 1024)))
+    shuffle = int(input_bytes / 16 / (target * 1024 * 1024))
+    shuffle = min(max(shuffle, 2 * cores), 8 * cores)
     shuffle = ((shuffle + cores - 1) // cores) * cores
     return {
         "spark.sql.files.maxPartitionBytes": f"{target}m",
