@@ -256,8 +256,10 @@ def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
     No pair of rows is ever generated.  All column pairs are melted into one
     (pair, x, y) frame and handled by the same keyed plan.  Rows are
-    compressed to distinct (x, y) points with weights; p is the dense rank of x
-    (a distributed prefix sum); the discordant weight D = Σ w_i·w_j over
+    compressed to distinct (x, y) points with weights; p is x − min(x) for an
+    integer x column (τ is symmetric, so a pair's integer column is put on the x
+    side) and otherwise the dense rank of x (a distributed prefix sum); the
+    discordant weight D = Σ w_i·w_j over
     x_i < x_j with y_i > y_j is a weighted inversion count, split by the
     merge-sort levels of p: at level L the pair (i, j) meets in block
     p >> (L+1), i on the left half and j on the right (equal x never meet).  Per (pair, level,
@@ -269,24 +271,41 @@ def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """
     from cohortia.functions.ranks import prefix_sum
 
+    # τ is symmetric: put an integer column on the x side when the pair has one, so
+    # x − min(x) is already an order-preserving position (no rank pass needed)
+    integral = {f.name for f in df.schema.fields
+                if f.dataType.typeName() in ("long", "integer", "short", "byte")}
+    plan = [((b, a) if a not in integral and b in integral else (a, b)) for a, b in pairs]
+    int_pairs = [i for i, (a, _) in enumerate(plan) if a in integral]
+    rank_pairs = [i for i in range(len(plan)) if i not in int_pairs]
     melted = F.explode(F.array(*[
         F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
-                 F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)]))
+                 F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(plan)]))
     d = df.select(melted.alias("t")).select("t.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    # distinct weighted points feed five branches below: written once, read by all
+    # distinct weighted points feed every branch below: written once, read by all
     pts = materialize(d.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w")))
-    # p = dense rank of x: points with equal x share p, so they never meet in a
-    # block half-pair — exactly right, since ties in x are neither concordant nor discordant
-    per_x = pts.groupBy("pair", "x").agg(F.lit(1).alias("one"), F.sum("w").alias("tx"))
-    x_rank = prefix_sum(per_x, "x", "one", ("pair",), out="p").select("pair", "x", "p")
-    pos = pts.join(x_rank, ["pair", "x"]).select("pair", "y", "w", "p")
-    # per pair: weights, joint ties, number of merge levels (one row per pair: bounded)
+    per_x = pts.groupBy("pair", "x").agg(F.sum("w").alias("tx"))
+    # per pair (one row per column pair: bounded): weights, joint ties, x range, levels
     per_pair = pts.groupBy("pair").agg(
         F.sum("w").cast("double").alias("n"), F.countDistinct("x").alias("n_x"),
+        F.min("x").alias("x_min"), F.max("x").alias("x_max"),
         F.sum(F.col("w").cast("double") * (F.col("w") - 1) / 2).alias("n3"))
-    levels = F.greatest(F.ceil(F.log2(F.col("n_x").cast("double"))).cast("int"), F.lit(1))
-    lv = pos.join(F.broadcast(per_pair.select("pair", levels.alias("levels"))), "pair").select(
-        "pair", "y", "w", "p", F.explode(F.sequence(F.lit(0), F.col("levels") - 1)).alias("level"))
+    span = F.when(F.col("pair").isin(*int_pairs) if int_pairs else F.lit(False),
+                  F.col("x_max") - F.col("x_min") + 1).otherwise(F.col("n_x").cast("double"))
+    levels = F.greatest(F.ceil(F.log2(span)).cast("int"), F.lit(1))
+    meta = F.broadcast(per_pair.select("pair", "x_min", levels.alias("levels")))
+    parts = []
+    if int_pairs:   # integer x: p = x − min(x); equal x share p, so they never meet
+        parts.append(pts.where(F.col("pair").isin(*int_pairs)).join(meta, "pair").select(
+            "pair", "y", "w", (F.col("x") - F.col("x_min")).cast("long").alias("p"), "levels"))
+    if rank_pairs:  # other x: p = dense rank of x (distributed prefix sum over distinct x)
+        ranks = prefix_sum(per_x.where(F.col("pair").isin(*rank_pairs)).withColumn("one", F.lit(1)),
+                           "x", "one", ("pair",), out="p").select("pair", "x", "p")
+        parts.append(pts.where(F.col("pair").isin(*rank_pairs)).join(ranks, ["pair", "x"])
+                     .join(meta, "pair").select("pair", "y", "w", "p", "levels"))
+    pos = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    lv = pos.select("pair", "y", "w", "p",
+                    F.explode(F.sequence(F.lit(0), F.col("levels") - 1)).alias("level"))
     lv = lv.select("pair", "level", "y", "w", F.expr("shiftright(p, level + 1)").alias("blk"),
                    F.expr("shiftright(p, level) & 1").alias("side"))
     cells = (lv.groupBy("pair", "level", "blk", "y")

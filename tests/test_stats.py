@@ -149,3 +149,16 @@ def test_aa_shuffle_path_equals_broadcast_path(spark, events_small, null):
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan.split("Initial Plan")[0] or "ShuffledHashJoin" in plan
     pd.testing.assert_frame_equal(a, b.orderBy("sim").toPandas())
+
+
+def test_kendall_integer_and_mixed_columns_match_brute_force(spark):
+    from cohortia.operators.eda import kendall_matrix
+    rng = np.random.default_rng(5)
+    n = 1200
+    pdf = pd.DataFrame({"i": rng.integers(-30, 2000, n), "j": rng.integers(0, 7, n)})
+    pdf["d"] = pdf.i * 0.01 + rng.normal(0, 3, n).round(1)
+    sdf = spark.createDataFrame(pdf).selectExpr("CAST(i AS BIGINT) AS i", "CAST(j AS INT) AS j", "d")
+    got = kendall_matrix(sdf, ["d", "i", "j"]).toPandas()
+    for r in got.itertuples():
+        ref = _brute_tau_b(pdf[r.x_col].to_numpy(float), pdf[r.y_col].to_numpy(float))
+        assert r.tau == pytest.approx(ref, abs=1e-12)
