@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from cohortia.functions.timefn import as_date, date_lit, monday
 
 
-def user_lifecycle_weekly(activity: DataFrame, as_of, strict_new: bool = False) -> DataFrame:
+def user_lifecycle_weekly(activity: DataFrame, as_of, strict_new: bool = False,
+                          approx_rsd: float | None = None) -> DataFrame:
     """(this_week, previous_week, num_users, status).
 
     For every user and active week w: ``retained`` if w−7 is active, else
@@ -23,6 +24,10 @@ def user_lifecycle_weekly(activity: DataFrame, as_of, strict_new: bool = False)
     ``new``.  For every active week w whose next week is not active: a ``gone``
     row (w+7, w) counted negative, except when w+7 is the Monday after
     ``as_of``'s week (that week has not happened yet).
+
+    Counts are exact (each user contributes one row per week and status); with
+    ``approx_rsd`` they use HyperLogLog++ (``approx_count_distinct``), the
+    analogue of the reference's approximate ``uniq`` (A7).
     """
     weeks = (activity.groupBy("user_id")
              .agg(F.array_sort(F.collect_set(monday("time"))).alias("weeks")))
@@ -51,9 +56,11 @@ def user_lifecycle_weekly(activity: DataFrame, as_of, strict_new: bool = False)
                     F.col("week").alias("previous_week"), F.lit("gone").alias("status"))
             .where(F.col("this_week") != next_monday))
 
+    n = (F.approx_count_distinct("user_id", approx_rsd) if approx_rsd is not None
+         else F.count(F.lit(1)))
     counts = (stay.unionByName(gone)
               .groupBy("this_week", "previous_week", "status")
-              .agg(F.count(F.lit(1)).alias("n")))
+              .agg(n.alias("n")))
     return counts.select("this_week", "previous_week",
                          F.when(F.col("status") == "gone", -F.col("n")).otherwise(F.col("n"))
                           .alias("num_users"),

@@ -46,3 +46,15 @@ def test_wau_mau_bounds(events_small):
     last = w.where(F.col("day") == dt.date(2024, 1, 30)).first()
     exact = feed.where(F.to_date("time").between("2024-01-01", "2024-01-30")).select("user_id").distinct().count()
     assert last.mau == exact
+
+
+def test_lifecycle_approx_counts_close_to_exact(spark):
+    from cohortia.sources.events import orders_activity
+    from tests.conftest import SF_SMALL
+    act_ = orders_activity(spark, SF_SMALL)
+    exact = lifecycle.user_lifecycle_weekly(act_, "2001-08-02").toPandas()
+    approx = lifecycle.user_lifecycle_weekly(act_, "2001-08-02", approx_rsd=0.02).toPandas()
+    m = exact.merge(approx, on=["this_week", "previous_week", "status"], suffixes=("_e", "_a"))
+    assert len(m) == len(exact)
+    rel = ((m.num_users_a - m.num_users_e).abs() / m.num_users_e.abs()).max()
+    assert rel <= 0.1
