@@ -9,15 +9,17 @@ they reach their bound, so memory does not grow with the vocabulary.
 
 from __future__ import annotations
 
+import gc
 import os
 
 import numpy as np
 import regex
 
 MARK = "~"
-CHUNK_CACHE, PIECE_CACHE, JOIN = 400_000, 400_000, 4096
-# fixed value: the pre-tokenizer pattern of the vocabulary file
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+CHUNK_CACHE, PIECE_CACHE, JOIN = 300_000, 400_000, 4096
+CUT = b"\xff" * 4          # no id: parts the chunks of a batch
+# fixed value: the pre-tokenizer pattern of the vocabulary file, and the line end that parts chunks
+PATTERN = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _OPEN: dict[str, WordEncoder] = {}
 
 
@@ -34,6 +36,7 @@ class WordEncoder:
             raise ValueError(f"{MARK!r} is not one token of {path}")
         self.chunks: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
+        gc.set_threshold(200_000, 20, 100)      # the caches hold no cycles; walking them often costs more than encoding
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -52,24 +55,23 @@ class WordEncoder:
 
     def _fill(self, chunks: list[str]) -> None:
         """Pieces of Latin-1 chunks are shared between chunks; others are encoded whole."""
-        split, need = {}, set()
-        for c in chunks:
-            try:
-                c.encode("latin-1")
-            except UnicodeEncodeError:
-                self.chunks[c] = self._plain(c)
-                continue
-            split[c] = p = PATTERN.findall(c.lower())
-            need.update(p)
+        joined = "\n".join(chunks)
+        try:
+            joined.encode("latin-1")
+        except UnicodeEncodeError:
+            wide = [c for c in chunks if c.isascii() is False and max(c) > "\xff"]
+            self.chunks.update((c, self._plain(c)) for c in wide)
+            chunks = sorted(set(chunks) - set(wide))
+            joined = "\n".join(chunks)
+        flat = PATTERN.findall(joined.lower())
         if len(self.pieces) > PIECE_CACHE:
             self.pieces.clear()
-        need -= self.pieces.keys()
+        need = set(flat) - self.pieces.keys() - {"\n"}
         easy = [p for p in need if MARK not in p]
         self.pieces.update(zip(easy, self._together(easy), strict=True))
         self.pieces.update((p, self._plain(p)) for p in need if MARK in p)
-        at = self.pieces
-        for c, p in split.items():
-            self.chunks[c] = at[p[0]] if len(p) == 1 else b"".join([at[x] for x in p])
+        self.pieces["\n"] = CUT
+        self.chunks.update(zip(chunks, b"".join(map(self.pieces.__getitem__, flat)).split(CUT), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
