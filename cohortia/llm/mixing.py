@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cohortia.llm.scratch import store
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 
 def n_words(text: Column) -> Column:
