@@ -1,6 +1,6 @@
 """Near-duplicate lines by a deletion-neighbourhood join, keeping the earliest.
 
-DataFrame functions only.  A line is its words, A-Z lower-cased; two lines match
+DataFrame functions only.  A line is its words in lower case; two lines match
 when at most one word is inserted, deleted or replaced between them.  Lines
 under ``min_words`` words are left alone.
 
@@ -27,11 +27,21 @@ from pyspark.sql import functions as F
 
 from cohortia.llm.scratch import store
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OTHER_SPACE = "\t\x0b\x0c\r"
+
+
+def _lines(text: Column) -> Column:
+    """Lines in lower case with plain blanks; the costly calls run only where they change something."""
+    low = F.lower(text)
+    odd = F.contains(low, F.lit("\t")) | F.contains(low, F.lit("\r")) | \
+        F.contains(low, F.lit("\x0b")) | F.contains(low, F.lit("\x0c"))
+    return F.split(F.when(odd, F.translate(low, OTHER_SPACE, " " * 4)).otherwise(low), "\n")
 
 
 def _norm(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), r"[\x20\x09-\x0D]+", " "))
+    """Words of a line of ``_lines``, one blank between them."""
+    line = F.trim(line)
+    return F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
 
 
 def _n_words(norm: Column) -> Column:
@@ -70,7 +80,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
     """
     text = F.coalesce(text_col, F.lit(""))
     lines = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"),
-                        F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+                        F.posexplode(_lines(text)).alias("pos", "line"))
     lines = lines.select("id", "th", "pos", _norm(F.col("line")).alias("x")).withColumn("n", _n_words(F.col("x")))
     lines = lines.where(F.col("n") >= min_words)
 
@@ -106,7 +116,7 @@ def repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
                         .alias("places")), "places")
     found = (docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("th"))
              .join(places, F.col("id").eqNullSafe(F.col("pid")) & (F.col("th") == F.col("pth")))
-             .select(F.split("text", "\n").alias("lines"), F.explode("places").alias("p"))
+             .select(_lines(F.col("text")).alias("lines"), F.explode("places").alias("p"))
              .select(F.split(_norm(F.col("lines")[F.col("p.pos")]), " ").alias("words"), "p.*")
              .dropDuplicates(["k", "k2"]))
     found = store(found, "words")
