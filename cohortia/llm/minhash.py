@@ -148,7 +148,8 @@ def minhash_dedup(docs: DataFrame, percent: int = 85, shingle: int = 5, id_col:
     dealt = candidates.join(sizes, F.col("component") == F.col("c")).withColumn(
         "block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = store(dealt.select(F.col("node"), "component", "blocks", "block"), "dealt")
-    sets = id_and_text.join(dealt, F.col("id") == F.col("node")).select("node", "component", "blocks", "block", "text")
+    # the same plan at every size: texts meet their places by a shuffle
+    sets = id_and_text.join(dealt.hint("merge"), F.col("id") == F.col("node")).select("node", "component", "blocks", "block", "text")
 
     def shingles(batches):
         for b in batches:
