@@ -56,6 +56,14 @@ def date_lit(d) -> Column:
     return F.lit(as_date(d))
 
 
+def on_days(col: str, *days) -> Column:
+    """The timestamp ``col`` falls on one of ``days``, as OR-ed half-open ranges that push to the scan."""
+    cond = F.lit(False)
+    for d in map(as_date, days):
+        cond = cond | ((F.col(col) >= F.lit(d)) & (F.col(col) < F.lit(d + _dt.timedelta(days=1))))
+    return cond
+
+
 def ts_lit(t) -> Column:
     return F.lit(as_timestamp(t)).cast("timestamp")
 

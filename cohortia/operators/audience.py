@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.functions.metrics import ratio
-from cohortia.functions.timefn import as_date, date_lit, day, hm, slot15
+from cohortia.functions.timefn import as_date, date_lit, day, hm, on_days, slot15
 
 
 def filter_slice(df: DataFrame, **dims) -> DataFrame:
@@ -144,7 +144,7 @@ def live_offsets(feed: DataFrame, on_day, offsets: tuple[int, ...] = (1, 7)) ->
     d = as_date(on_day)
     shifts = (0,) + tuple(offsets)
     days = [d - _dt.timedelta(days=o) for o in shifts]
-    f = feed.where(day().isin(*days)).select(
+    f = feed.where(on_days("time", *days)).select(
         "user_id", "action", slot15().alias("slot"),
         F.datediff(date_lit(d), day()).alias("shift"))
     f = f.where(F.col("shift").isin(*shifts))

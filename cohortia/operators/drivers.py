@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortia.functions.timefn import as_date, date_lit, day
+from cohortia.functions.timefn import as_date, date_lit, day, on_days
 
 DEFAULT_DIMS = ("country", "city", "os", "source", "hour")
 
@@ -36,7 +36,8 @@ def metric_drop_by_dimension(events: DataFrame, on_day, base: str = "day",
     """
     d = as_date(on_day)
     b = d - _dt.timedelta(days=1 if base == "day" else 7)
-    ev = events.where(day().isin(d, b))
+    # half-open ranges on the raw timestamp reach the scan; the day() form does not
+    ev = events.where(on_days("time", d, b))
     # a NULL pseudo-dimension carries the overall DAU through the same single pass
     melted = F.explode(F.array(*[
         F.struct(F.lit(n).alias("dimension"), _dim_col(n).alias("value")) for n in dims],

@@ -36,11 +36,20 @@ def write_fact(df: DataFrame, path: str, partition_col: str = "event_date",
 
 
 def write_fact_table(df: DataFrame, table: str, partition_col: str = "event_date") -> None:
-    """Create-if-absent + load of a catalog table partitioned by date."""
+    """Create-if-absent + load of a catalog table partitioned by date.
+
+    Only the dates in ``df`` are replaced; ``insertInto`` takes the overwrite mode from
+    the session, not from a writer option, so it is set for the write alone.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        (df.select(*spark.table(table).columns).write
-         .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
     else:
         df.write.partitionBy(partition_col).format("parquet").saveAsTable(table)
 
