@@ -30,7 +30,9 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_a_callable_and_most_have_oracles():
     from __spark_entry__ import oracle_sql, queries
-    qs, sq = queries(), oracle_sql()
+    from cohortia.plans.catalog import all_oracles, all_queries
+    assert set(oracle_sql()) <= set(queries())
+    qs, sq = all_queries(), all_oracles()
     assert set(sq) <= set(qs)
     assert len(sq) >= 0.9 * len(qs)
 

@@ -10,13 +10,13 @@ PYTHON_OK = {"aa_summary", "experiment_report", "welch_ttest_pvalues"}   # p-val
 
 
 def _batch_names():
-    from __spark_entry__ import queries
+    from cohortia.plans.catalog import all_queries as queries
     return sorted(n for n in queries() if not n.startswith("stream_") and n != "etl_fact_table")
 
 
 @pytest.mark.parametrize("name", _batch_names())
 def test_no_pairwise_join_and_python_only_for_pvalues(spark, name):
-    from __spark_entry__ import queries
+    from cohortia.plans.catalog import all_queries as queries
     plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
@@ -26,7 +26,7 @@ def test_no_pairwise_join_and_python_only_for_pvalues(spark, name):
 
 
 def test_date_filter_and_columns_reach_the_scan(spark):
-    from __spark_entry__ import queries
+    from cohortia.plans.catalog import all_queries as queries
     df = queries()["feed_daily_report"](spark, SF_SMALL)
     text = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     pushed = [line for line in text.split("\n") if line.startswith("PushedFilters")][0]
@@ -37,7 +37,7 @@ def test_date_filter_and_columns_reach_the_scan(spark):
 
 
 def test_activity_is_one_shuffle(spark):
-    from __spark_entry__ import queries
+    from cohortia.plans.catalog import all_queries as queries
     plan = queries()["user_day_activity"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
@@ -52,7 +52,7 @@ def test_raw_events_are_read_once_per_event_table(spark, name, max_scans):
     """Reduced intermediates read by several branches are materialized, so the raw table
     is scanned at most once per event table (the adapter reads feed and messages from
     the same file, hence 2 for two-table queries)."""
-    from __spark_entry__ import queries
+    from cohortia.plans.catalog import all_queries as queries
     df = queries()[name](spark, SF_SMALL)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
@@ -73,7 +73,7 @@ TWO_TABLES = {"user_day_activity", "user_slot_activity", "dau_by_status", "dau_b
 def test_no_registered_query_rescans_raw_tables(spark):
     """Audit of every batch query: the final AQE plan reads the raw table at most once
     per event table it uses (reduced intermediates are materialized instead)."""
-    from __spark_entry__ import queries
+    from cohortia.plans.catalog import all_queries as queries
     extra = {}
     for name, q in queries().items():
         if name.startswith("stream_") or name in ("etl_fact_table", "etl_fact_tsv"):
