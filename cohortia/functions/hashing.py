@@ -1,72 +1,79 @@
 """Deterministic pseudo-random draws and hash buckets.
 
 Resampling never calls ``rand()``: a draw is a pure function of its keys
-(seed, replicate/simulation, user/draw), so a lost executor recomputes the
-same draws and an SQL engine can reproduce them.  The generator mixes the
-keys with Park–Miller multiplications modulo the prime 2^31−1 and two
-xor-shifts (which break the linearity of the multiplications); every
-intermediate stays below 2^50, so it is exact in 64-bit arithmetic in both
-Spark (ANSI mode) and DuckDB.  ``spec`` lists the steps once and is rendered
-either as a Spark Column or as SQL text.
+(seed, group, user, replicate or draw number), so a lost executor recomputes
+the same draws and an SQL engine can reproduce them.  ``draw_state`` hashes the
+slow keys (seed, group, user) with md5 into two 31-bit states, once per row
+before replicates are generated; ``draw`` mixes each state with the fast key
+(replicate) by Park–Miller multiplications modulo the prime 2^31−1 and two
+xor-shifts, and joins both streams into one integer in [0, (2^31−1)²), 62 bits.
+Every intermediate stays below 2^62, exact in 64-bit arithmetic.
 """
 
 from __future__ import annotations
 
-import math
+from decimal import ROUND_CEILING, Decimal, localcontext
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MOD = 2147483647  # 2^31 − 1
+MOD = 2147483647        # 2^31 − 1
+DRAWS = MOD * MOD       # a draw is in [0, DRAWS)
 
-# Multipliers of the mixing steps.
-MIX = (16807, 69621, 40692, 48271)
+# Multipliers of the mixing steps of the two streams.
+MIX = ((16807, 69621, 40692, 48271), (48271, 40692, 16807, 69621))
 
 
-def uniform_int(k1: Column, k2: Column, k3: Column, seed: int) -> Column:
-    """Integer in [0, 2^31−1) from three integer keys and a seed (Spark)."""
-    m = F.lit(MOD)
-    x = (F.pmod(k1.cast("long"), m) * MIX[0] + F.pmod(k2.cast("long"), m) * MIX[1]
-         + F.pmod(k3.cast("long"), m) * MIX[2] + F.lit(int(seed) % MOD)) % m
-    x = (x * MIX[3]) % m
-    x = x.bitwiseXOR(F.shiftright(x, 15))
-    x = (x * MIX[3]) % m
-    x = x.bitwiseXOR(F.shiftright(x, 13))
-    return (x * MIX[1]) % m
-
-
-def uniform_int_sql(k1: str, k2: str, k3: str, seed: int) -> str:
-    """The same generator as SQL text (DuckDB)."""
-    def pm(e: str) -> str:
-        return f"((CAST({e} AS BIGINT) % {MOD} + {MOD}) % {MOD})"
-    x = f"(({pm(k1)} * {MIX[0]} + {pm(k2)} * {MIX[1]} + {pm(k3)} * {MIX[2]} + {int(seed) % MOD}) % {MOD})"
-    x = f"(({x} * {MIX[3]}) % {MOD})"
-    x = f"xor({x}, ({x} >> 15))"
-    x = f"(({x} * {MIX[3]}) % {MOD})"
-    x = f"xor({x}, ({x} >> 13))"
-    return f"(({x} * {MIX[1]}) % {MOD})"
-
+def draw_state(seed: int, *keys: Column) -> Column:
+    """Struct (a, b) of two integers in [0, 2^31−1) from a seed and any keys."""
+    h = F.md5(F.concat_ws("|", F.lit(str(int(seed))), *[k.cast("string") for k in keys]))
+    part = lambda at: F.conv(F.substring(h, at, 8), 16, 10).cast("long") % MOD
+    return F.struct(part(1).alias("a"), part(9).alias("b"))
 
-def poisson_thresholds(mean: float = 1.0, kmax: int = 10) -> list[int]:
-    """T_k = ceil(CDF_Poisson(k) · MOD) for k = 0..kmax−1; weight = #{k: x ≥ T_k}."""
-    out, acc, term = [], 0.0, math.exp(-mean)
-    for k in range(kmax):
-        acc += term
-        out.append(int(math.ceil(acc * MOD)))
-        term *= mean / (k + 1)
-    return out
 
-
-def poisson_weight(x: Column, mean: float = 1.0, kmax: int = 10) -> Column:
-    """Poisson(mean) draw by inverse CDF of the uniform integer ``x`` (capped at kmax)."""
-    w = F.lit(0)
-    for t in poisson_thresholds(mean, kmax):
-        w = w + (x >= F.lit(t)).cast("int")
-    return w
-
-
-def poisson_weight_sql(x: str, mean: float = 1.0, kmax: int = 10) -> str:
-    return "(" + " + ".join(f"CAST({x} >= {t} AS INTEGER)" for t in poisson_thresholds(mean, kmax)) + ")"
+def _stream(state: Column, key: Column, mix: tuple[int, ...]) -> Column:
+    x = (state + F.pmod(key.cast("long"), F.lit(MOD)) * mix[0]) % MOD
+    x = (x * mix[1]) % MOD
+    x = x.bitwiseXOR(F.shiftright(x, 15))
+    x = (x * mix[2]) % MOD
+    x = x.bitwiseXOR(F.shiftright(x, 13))
+    return (x * mix[3]) % MOD
+
+
+def draw(state: Column, key: Column) -> Column:
+    """Integer in [0, DRAWS) from a ``draw_state`` and one more integer key."""
+    return _stream(state["a"], key, MIX[0]) * MOD + _stream(state["b"], key, MIX[1])
+
+
+def draw_index(x: Column, size: Column) -> Column:
+    """Position in [0, size) from the draw ``x``; every position of a pool of any size can be
+    hit, with a relative bias below size / 2^62."""
+    return F.pmod(x, size.cast("long"))
+
+
+def poisson_thresholds(mean: float = 1.0) -> list[int]:
+    """T_k = ceil(CDF_Poisson(k) · DRAWS) for every k whose threshold is below DRAWS;
+    weight = #{k: x ≥ T_k}, so no weight that a draw can reach is cut off."""
+    with localcontext() as ctx:
+        ctx.prec = 60
+        acc, term, k, out = Decimal(0), Decimal(-mean).exp(), 0, []
+        while True:
+            acc += term
+            t = int((acc * DRAWS).to_integral_value(ROUND_CEILING))
+            if t >= DRAWS:
+                return out
+            out.append(t)
+            k += 1
+            term = term * Decimal(mean) / k
+
+
+def poisson_weight(x: Column, mean: float = 1.0) -> Column:
+    """Poisson(mean) weight by inverse CDF of the draw ``x``."""
+    thresholds = poisson_thresholds(mean)
+    w = F.when(x < F.lit(thresholds[0]), F.lit(0))
+    for k, t in enumerate(thresholds[1:], 1):
+        w = w.when(x < F.lit(t), F.lit(k))
+    return w.otherwise(F.lit(len(thresholds)))
 
 
 def md5_bucket(col: str | Column, n: int) -> Column:

@@ -14,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.functions.hashing import md5_bucket, poisson_weight, uniform_int
-from cohortia.functions.joins import BROADCAST_MAX_ROWS, sized_join
+from cohortia.functions.hashing import draw, draw_index, draw_state, md5_bucket, poisson_weight
 from cohortia.functions.metrics import ratio
 from cohortia.functions.ranks import dense_index, prefix_sum
 from cohortia.functions.stats import norm_sf_col, t_pvalue_col, welch_columns
@@ -162,15 +161,16 @@ def poisson_bootstrap(users: DataFrame, control: int, test: int, n_bootstrap: in
                       seed: int = 0) -> DataFrame:
     """T5: (replicate, ctr_control, ctr_test, diff = ctr_test − ctr_control).
 
-    Every user gets a Poisson(1) weight per replicate (inverse CDF of a hashed
-    uniform, capped at 10).  Replicates are generated next to each user with
+    Every user gets a Poisson(1) weight per replicate (inverse CDF of a 62-bit draw).
+    The user's keys are hashed once, before the replicates.  Replicates are generated next to each user with
     ``explode(sequence)`` and summed by (replicate, group) with partial
     aggregation, so the shuffle carries ≤ 2·n_bootstrap rows per map task.
     """
-    u = users.where(F.col("exp_group").isin(control, test)).select("exp_group", "user_id", "likes", "views")
+    u = users.where(F.col("exp_group").isin(control, test)).select(
+        "exp_group", "likes", "views", draw_state(seed, F.col("exp_group"), F.col("user_id")).alias("state"))
     r = u.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_bootstrap))).alias("replicate"))
-    w = poisson_weight(uniform_int(F.col("user_id"), F.col("replicate"), F.col("exp_group"), seed))
-    r = r.select("exp_group", "replicate", "likes", "views", w.alias("w"))
+    r = r.select("exp_group", "replicate", "likes", "views", draw(F.col("state"), F.col("replicate")).alias("x"))
+    r = r.select("exp_group", "replicate", "likes", "views", poisson_weight(F.col("x")).alias("w"))
     g = (r.groupBy("replicate")
          .agg(F.sum(F.when(F.col("exp_group") == control, F.col("w") * F.col("likes"))).alias("lc"),
               F.sum(F.when(F.col("exp_group") == control, F.col("w") * F.col("views"))).alias("vc"),
@@ -196,30 +196,28 @@ def bootstrap_summary(boot: DataFrame, level: float = 0.95) -> DataFrame:
 
 def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value: str = "ctr",
                   n_tests: int = 10000, n_samples: int = 500, null: str = "per_group",
-                  seed: int = 0, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  seed: int = 0) -> DataFrame:
     """T4: per simulated test, Welch statistics of two samples drawn with replacement.
 
     ``null='per_group'`` draws sample a from group a and b from group b (as
     written); ``'pooled'`` draws both from the union (a true A/A null).
     Users get a dense index per pool (distributed, ordered by user_id); each
-    draw (sim, sample, k) picks index = hash mod pool size and is matched to
-    its user by an equi-join — the pool is broadcast only when its measured
-    row count is under a bound, otherwise both sides are shuffled on the
-    index (``sized_join``).  The simulated
+    draw (sim, sample, k) picks an index from a 62-bit draw and is matched to its
+    user by an equi-join on the index, hashed on the pool's side.  The simulated
     draws are aggregated by (sim, sample) with partial sums.
     """
     pool = users.where(F.col("exp_group").isin(a, b) & F.col(value).isNotNull())
     draws = (spark.range(n_tests).withColumnRenamed("id", "sim")
              .select("sim", F.explode(F.array(F.lit(0), F.lit(1))).alias("sample"))
-             .select("sim", "sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("k")))
-    h = uniform_int(F.col("sim"), F.col("k"), F.col("sample"), seed)
+             .select("sim", "sample", draw_state(seed, F.col("sim"), F.col("sample")).alias("state"))
+             .select("sim", "sample", "state", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("k"))
+             .select("sim", "sample", draw(F.col("state"), F.col("k")).alias("x")))
     if null == "pooled":
         # one pool: index all users of both groups together
         pool = materialize(dense_index(pool.select("user_id", F.col(value).alias("x")), "user_id"))
         size = pool.select(F.count(F.lit(1))).scalar()
-        draws = draws.select("sim", "sample", F.pmod(h, size).alias("idx"))
-        picked = sized_join(draws, pool.select("idx", "x"), "idx", max_rows=broadcast_max_rows,
-                            materialize=False)
+        draws = draws.select("sim", "sample", draw_index(F.col("x"), size).alias("idx"))
+        picked = draws.join(pool.select("idx", "x").hint("shuffle_hash"), "idx")
     elif null == "per_group":
         pool = pool.select(F.when(F.col("exp_group") == a, 0).otherwise(1).alias("sample"),
                            "user_id", F.col(value).alias("x"))
@@ -227,9 +225,8 @@ def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value:
         sizes = pool.groupBy("sample").agg(F.count(F.lit(1)).alias("size"))
         # sizes has one row per sample (two rows): a broadcast of proven size
         draws = draws.join(F.broadcast(sizes), "sample").select(
-            "sim", "sample", F.pmod(h, F.col("size")).alias("idx"))
-        picked = sized_join(draws, pool.select("sample", "idx", "x"), ["sample", "idx"],
-                            max_rows=broadcast_max_rows, materialize=False)
+            "sim", "sample", draw_index(F.col("x"), F.col("size")).alias("idx"))
+        picked = draws.join(pool.select("sample", "idx", "x").hint("shuffle_hash"), ["sample", "idx"])
     else:
         raise ValueError(null)
     st = (picked.groupBy("sim")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from cohortia.functions.hashing import md5_bucket_sql, poisson_weight_sql, uniform_int_sql
+from cohortia.functions.hashing import md5_bucket_sql
 from cohortia.operators import experiment as ex
 from cohortia.plans.catalog import register
 from cohortia.sources.events import load_events
@@ -164,13 +166,39 @@ def q_mann_whitney_posts(spark, d):
     return ex.mann_whitney_stats(_users(spark, d, AB), "posts", "exp_group", AB[1], AB[0])
 
 
+# The draws once more, from their definition: p is the prime, d the number of draws.
+_P, _D = 2 ** 31 - 1, (2 ** 31 - 1) ** 2
+
+
+def _states_sql(*keys: str) -> str:
+    text = f"md5(concat_ws('|', '{SEED}', " + ", ".join(keys) + "))"
+    return ", ".join(f"('0x' || substr({text}, {at}, 8))::BIGINT % {_P} AS {name}"
+                     for at, name in ((1, "s1"), (9, "s2")))
+
+
+def _draw_sql(key: str) -> str:
+    def stream(state: str, start: int, first: int, second: int, last: int) -> str:
+        x = f"(({state} + {key} * {start}) % {_P} * {first} % {_P})"
+        x = f"(xor({x}, {x} >> 15) * {second} % {_P})"
+        return f"(xor({x}, {x} >> 13) * {last} % {_P})"
+    return f"{stream('s1', 16807, 69621, 40692, 48271)} * {_P} + {stream('s2', 48271, 40692, 16807, 69621)}"
+
+
+def _poisson_sql(u: str) -> str:
+    """#{k: u ≥ Σ_{j≤k} 1/(e·j!)} of a uniform ``u`` in [0, 1)."""
+    below = [sum(Fraction(1, math.factorial(j)) for j in range(k + 1)) for k in range(18)]
+    cases = " ".join(f"WHEN {u} < {float(b) / math.e!r} THEN {k}" for k, b in enumerate(below))
+    return f"CASE {cases} ELSE 18 END"
+
+
 def _bootstrap_sql() -> str:
     c, t = AB
-    h = uniform_int_sql("user_id", "replicate", "exp_group", SEED)
     return f"""
 WITH u AS ({_users_sql(AB)}),
-r AS (SELECT u.exp_group, u.likes, u.views, g.replicate, {poisson_weight_sql(h)} AS w
-      FROM u, (SELECT CAST(range AS INTEGER) AS replicate FROM range(1, {N_BOOT + 1})) g),
+v AS (SELECT exp_group, likes, views, {_states_sql("exp_group", "user_id")} FROM u),
+x AS (SELECT v.exp_group, v.likes, v.views, g.replicate, CAST({_draw_sql("g.replicate")} AS DOUBLE) / {_D} AS x
+      FROM v, (SELECT CAST(range AS INTEGER) AS replicate FROM range(1, {N_BOOT + 1})) g),
+r AS (SELECT exp_group, likes, views, replicate, {_poisson_sql("x")} AS w FROM x),
 s AS (SELECT replicate,
              sum(w * likes) FILTER (WHERE exp_group = {c}) AS lc, sum(w * views) FILTER (WHERE exp_group = {c}) AS vc,
              sum(w * likes) FILTER (WHERE exp_group = {t}) AS lt, sum(w * views) FILTER (WHERE exp_group = {t}) AS vt
@@ -202,15 +230,14 @@ def _aa_sql(null: str) -> str:
     a, b = AA
     pool_expr = "0" if null == "pooled" else f"CASE WHEN exp_group = {a} THEN 0 ELSE 1 END"
     draw_pool = "0" if null == "pooled" else "sample"
-    h = uniform_int_sql("sim", "k", "sample", SEED)
     return f"""
 WITH u AS ({_users_sql(AA)}),
 p0 AS (SELECT {pool_expr} AS pool, user_id, ctr AS x FROM u WHERE ctr IS NOT NULL),
 pool AS (SELECT pool, x, row_number() OVER (PARTITION BY pool ORDER BY user_id) - 1 AS idx FROM p0),
 sizes AS (SELECT pool, count(*) AS size FROM pool GROUP BY pool),
-d AS (SELECT s.range AS sim, smp.sample, k.range AS k
-      FROM range(0, {N_TESTS}) s, (VALUES (0), (1)) smp(sample), range(0, {N_SAMPLES}) k),
-dd AS (SELECT sim, sample, {draw_pool} AS pool, {h} AS h FROM d),
+d AS (SELECT s.range AS sim, smp.sample, {_states_sql("s.range", "smp.sample")}
+      FROM range(0, {N_TESTS}) s, (VALUES (0), (1)) smp(sample)),
+dd AS (SELECT sim, sample, {draw_pool} AS pool, {_draw_sql("k.range")} AS h FROM d, range(0, {N_SAMPLES}) k),
 picked AS (SELECT dd.sim, dd.sample, pool.x FROM dd JOIN sizes ON dd.pool = sizes.pool
            JOIN pool ON pool.pool = dd.pool AND pool.idx = dd.h % sizes.size),
 st AS (SELECT sim, count(x) FILTER (WHERE sample = 0) AS n_a, count(x) FILTER (WHERE sample = 1) AS n_b,

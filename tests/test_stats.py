@@ -99,14 +99,35 @@ def test_exact_quantiles_match_pandas(spark):
 
 
 def test_poisson_weights_have_poisson_moments(spark):
-    from cohortia.functions.hashing import poisson_weight, uniform_int
-    df = spark.range(200000).select(poisson_weight(uniform_int(F.col("id"), F.lit(3), F.lit(0), 11)).alias("w"))
+    from cohortia.functions.hashing import draw, draw_state, poisson_weight
+    df = (spark.range(200000).select(draw_state(11, F.col("id")).alias("s"))
+          .select(draw(F.col("s"), F.lit(3)).alias("x")).select(poisson_weight(F.col("x")).alias("w")))
     m = df.agg(F.avg("w").alias("m"), F.var_samp("w").alias("v"),
                F.avg((F.col("w") == 0).cast("double")).alias("p0")).first()
     assert m.m == pytest.approx(1.0, abs=0.01)
     assert m.v == pytest.approx(1.0, abs=0.02)
     assert m.p0 == pytest.approx(math.exp(-1), abs=0.005)
-    assert poisson_thresholds()[0] == math.ceil(math.exp(-1) * 2147483647)
+
+
+def test_poisson_weight_has_no_cap(spark):
+    from cohortia.functions.hashing import DRAWS, poisson_weight
+    t = poisson_thresholds()
+    assert t[0] / DRAWS == pytest.approx(math.exp(-1), abs=1e-15)
+    assert len(t) > 15 and t == sorted(set(t)) and t[-1] < DRAWS
+    rows = spark.createDataFrame([(0,), (t[0] - 1,), (t[0],), (t[9],), (t[-1] - 1,), (t[-1],), (DRAWS - 1,)], "x long")
+    got = [r.w for r in rows.select(poisson_weight(F.col("x")).alias("w")).collect()]
+    assert got == [0, 0, 1, 10, len(t) - 1, len(t), len(t)]
+
+
+def test_draw_index_reaches_all_of_a_pool_above_31_bits(spark):
+    from cohortia.functions.hashing import draw, draw_index, draw_state
+    size = 3 * 2 ** 31
+    x = (spark.range(20).select(draw_state(1, F.col("id")).alias("s"))
+         .select(F.explode(F.sequence(F.lit(0), F.lit(4999))).alias("k"), "s").select(draw(F.col("s"), F.col("k")).alias("x")))
+    third = x.select(F.floor(draw_index(F.col("x"), F.lit(size)) / 2 ** 31).alias("third"))
+    share = {r.third: r["count"] / 100_000 for r in third.groupBy("third").count().collect()}
+    assert set(share) == {0, 1, 2} and all(abs(v - 1 / 3) < 0.01 for v in share.values())
+    assert x.distinct().count() == 100_000
 
 
 def test_aa_pooled_false_positive_rate_near_alpha(spark, events_small):
@@ -141,14 +162,13 @@ def test_kendall_tau_b_matches_brute_force_with_ties_and_nulls(spark):
 
 
 @pytest.mark.parametrize("null", ["per_group", "pooled"])
-def test_aa_shuffle_path_equals_broadcast_path(spark, events_small, null):
+def test_aa_join_never_broadcasts_the_pool_or_the_draws(spark, events_small, null):
     feed, _ = events_small
     users = ex.experiment_user_metrics(feed, "2024-01-01", "2024-01-30", (2, 3))
-    a = ex.aa_simulation(spark, users, 2, 3, "ctr", 300, 50, null, 1).orderBy("sim").toPandas()
-    b = ex.aa_simulation(spark, users, 2, 3, "ctr", 300, 50, null, 1, broadcast_max_rows=0)
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan.split("Initial Plan")[0] or "ShuffledHashJoin" in plan
-    pd.testing.assert_frame_equal(a, b.orderBy("sim").toPandas())
+    sims = ex.aa_simulation(spark, users, 2, 3, "ctr", 300, 50, null, 1)
+    assert "ShuffledHashJoin" in sims._jdf.queryExecution().executedPlan().toString()
+    got = sims.toPandas()
+    assert len(got) == 300 and (got.n_a == 50).all() and (got.n_b == 50).all()
 
 
 def test_kendall_integer_and_mixed_columns_match_brute_force(spark):
