@@ -25,7 +25,8 @@ def metric_series_15min(feed: DataFrame, messages: DataFrame, as_of_ts,
 
     Slots from midnight ``horizon_days`` before ``as_of_ts`` up to, excluding,
     the slot containing ``as_of_ts`` (the incomplete slot is dropped, P6).
-    CTR = 100·likes/views, NULL when a slot has no views.
+    CTR = 100·likes/views: 0 in a slot without feed actions (as every feed counter), NULL
+    in a slot with feed actions but no views.
     """
     t = as_timestamp(as_of_ts)
     lo = F.date_sub(F.lit(t.date()), horizon_days).cast("timestamp")
@@ -44,9 +45,11 @@ def metric_series_15min(feed: DataFrame, messages: DataFrame, as_of_ts,
                 F.sum("v").cast("long").alias("views"),
                 F.sum("l").cast("long").alias("likes"),
                 F.countDistinct(F.when(~F.col("is_feed"), F.col("user_id"))).alias("users_messenger"),
-                F.sum("m").cast("long").alias("messages")))
+                F.sum("m").cast("long").alias("messages"),
+                F.count_if("is_feed").alias("_feed")))
+    ctr = F.when(F.col("_feed") == 0, F.lit(0.0)).otherwise(ratio("likes", "views") * 100)
     return agg.select("ts", day("ts").alias("day"), hm("ts").alias("hm"), "users_feed", "views",
-                      "likes", (ratio("likes", "views") * 100).alias("CTR"), "users_messenger",
+                      "likes", ctr.alias("CTR"), "users_messenger",
                       "messages")
 
 
@@ -57,12 +60,14 @@ def melt_series(series: DataFrame, metrics=SERIES_METRICS, ids=("ts", "day", "hm
 
 
 def anomaly_bounds(long: DataFrame, n: int = 6, a: float = 4.0,
-                   keys: tuple[str, ...] = ("metric",), order: str = "ts") -> DataFrame:
+                   keys: tuple[str, ...] = ("metric",), order: str = "ts",
+                   as_of_slot: bool = False) -> DataFrame:
     """IQR and sigma fences for every slot of every series.
 
     Row i uses the n previous rows (NULL unless all n are non-null), then each
     fence is smoothed by a centred mean over rows i−⌊n/2⌋ … i+⌊(n−1)/2⌋ that
-    ignores NULLs (pandas ``rolling(n, center=True, min_periods=1)``).
+    ignores NULLs (pandas ``rolling(n, center=True, min_periods=1)``).  ``as_of_slot``
+    leaves out the rows after i, as if every slot were judged when it was the last one.
     """
     w = Window.partitionBy(*keys).orderBy(order)
     prev = w.rowsBetween(-n, -1)
@@ -78,7 +83,7 @@ def anomaly_bounds(long: DataFrame, n: int = 6, a: float = 4.0,
                      (F.col("q75") + a * F.col("iqr")).alias("up_q0"),
                      (F.col("mean") - a * F.col("std")).alias("low_s0"),
                      (F.col("mean") + a * F.col("std")).alias("up_s0"))
-    centred = w.rowsBetween(-(n // 2), (n - 1) // 2)
+    centred = w.rowsBetween(-(n // 2), 0 if as_of_slot else (n - 1) // 2)
     out = raw.select(*[c for c in long.columns], "q25", "q75", "iqr", "mean", "std",
                      *[F.avg(c + "0").over(centred).alias(c)
                        for c in ("low_q", "up_q", "low_s", "up_s")])
@@ -115,26 +120,40 @@ def anomaly_alerts(bounds: DataFrame, combine: str = "iqr_else_sigma",
     NULL fences never alert.
     """
     w = Window.partitionBy(*keys).orderBy(order)
-    whole = Window.partitionBy(*keys)
     lower, upper, outside = _fences(combine)
     x = bounds.select(*keys, order, "hm", "value",
                       F.lag("value").over(w).alias("prev_value"),
                       lower.alias("lower"), upper.alias("upper"),
-                      F.coalesce(outside, F.lit(False)).alias("is_alert"),
-                      F.max(order).over(whole).alias("_last"),
-                      F.max_by("value", order).over(whole).alias("_last_value"))
-    x = x.withColumn("_eq", F.collect_list(F.when(F.col("value") == F.col("_last_value"),
-                                                  F.col("hm"))).over(whole))
-    x = x.where(F.col(order) == F.col("_last"))
-    out = x.select(*keys, order, "hm", "value", "prev_value",
-                   F.abs(1 - F.try_divide(F.col("value"), F.col("prev_value"))).alias("deviation"),
-                   "lower", "upper", "is_alert", F.array_sort("_eq").alias("equal_slots"))
+                      F.coalesce(outside, F.lit(False)).alias("is_alert"))
+    # one row per series: its last slot, and its slots once
+    x = x.groupBy(*keys).agg(
+        F.max_by(F.struct(order, "hm", "value", "prev_value", "lower", "upper", "is_alert"), order).alias("r"),
+        F.collect_list(F.struct("hm", "value")).alias("slots"))
+    same = F.filter("slots", lambda slot: slot["value"] == F.col("r.value"))
+    out = x.select(*keys, "r.*", F.array_sort(F.transform(same, lambda slot: slot["hm"])).alias("equal_slots"))
+    out = out.select(*keys, order, "hm", "value", "prev_value",
+                     F.abs(1 - F.try_divide(F.col("value"), F.col("prev_value"))).alias("deviation"),
+                     "lower", "upper", "is_alert", "equal_slots")
     return out.where("is_alert") if only_alerts else out
 
 
+def slot_verdicts(bounds: DataFrame, combine: str = "iqr_else_sigma", keys: tuple[str, ...] = ("metric",),
+                  order: str = "ts") -> DataFrame:
+    """The verdict for every slot: (keys…, ts, hm, value, prev_value, deviation, lower, upper, is_alert)."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    lower, upper, outside = _fences(combine)
+    x = bounds.select(*keys, order, "hm", "value", F.lag("value").over(w).alias("prev_value"),
+                      lower.alias("lower"), upper.alias("upper"), F.coalesce(outside, F.lit(False)).alias("is_alert"))
+    return x.select(*keys, order, "hm", "value", "prev_value",
+                    F.abs(1 - F.try_divide(F.col("value"), F.col("prev_value"))).alias("deviation"),
+                    "lower", "upper", "is_alert")
+
+
 def alert_messages(alerts: DataFrame) -> DataFrame:
-    """Alert rows rendered as text (metric, current value, deviation %)."""
+    """Alert rows rendered as text (metric, current value, deviation %, n/a after a 0)."""
     return alerts.where("is_alert").select(
         "metric", "ts",
-        F.format_string("Metric %s:\ncurrent value: %.2f\ndeviation from previous: %.2f%%",
-                        F.col("metric"), F.col("value"), F.col("deviation") * 100).alias("text"))
+        F.format_string("Metric %s:\ncurrent value: %.2f\ndeviation from previous: %s",
+                        F.col("metric"), F.col("value"),
+                        F.when(F.col("deviation").isNull(), "n/a")
+                         .otherwise(F.format_string("%.2f%%", F.col("deviation") * 100))).alias("text"))

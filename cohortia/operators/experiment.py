@@ -89,18 +89,20 @@ def welch_stats(df: DataFrame, value: str, group_col: str, a, b,
     """T1/T2 statistics in one aggregation per key: n, mean, var per sample, t, df.
 
     Sample ``a`` is the first argument of ``ttest_ind`` (t > 0 ⇔ mean_a > mean_b).
-    ``keys`` runs many tests at once (one row per key).
+    ``keys`` runs many tests at once (one row per key).  Rows without a value take no part
+    and are counted in ``n_dropped_a`` and ``n_dropped_b``.
     """
     v = F.col(value)
     ga, gb = F.col(group_col) == F.lit(a), F.col(group_col) == F.lit(b)
-    s = df.where(v.isNotNull()).groupBy(*keys).agg(
+    s = df.groupBy(*keys).agg(
+        F.count_if(ga & v.isNull()).alias("n_dropped_a"), F.count_if(gb & v.isNull()).alias("n_dropped_b"),
         F.count(F.when(ga, v)).alias("n_a"), F.count(F.when(gb, v)).alias("n_b"),
         F.avg(F.when(ga, v)).alias("mean_a"), F.avg(F.when(gb, v)).alias("mean_b"),
         F.var_samp(F.when(ga, v)).alias("var_a"), F.var_samp(F.when(gb, v)).alias("var_b"))
     t, dof = welch_columns(F.col("n_a"), F.col("mean_a"), F.col("var_a"),
                            F.col("n_b"), F.col("mean_b"), F.col("var_b"))
     return s.select(*keys, F.lit(str(a)).alias("group_a"), F.lit(str(b)).alias("group_b"),
-                    "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b", t.alias("t"), dof.alias("df"))
+                    "n_a", "n_b", "n_dropped_a", "n_dropped_b", "mean_a", "mean_b", "var_a", "var_b", t.alias("t"), dof.alias("df"))
 
 
 def with_t_pvalues(stats: DataFrame, t: str = "t", dof: str = "df") -> DataFrame:
@@ -274,7 +276,7 @@ def experiment_report(feed: DataFrame, start, end, control: int, test: int,
 
     # every metric of every method melted into one (metric, exp_group, x) frame: one keyed
     # Welch aggregation and one keyed Mann–Whitney pass test them all; tails once at the end
-    replicates = poisson_bootstrap(users, control, test, n_bootstrap, seed)
+    replicates = materialize(poisson_bootstrap(users, control, test, n_bootstrap, seed))
     boot = bootstrap_summary(replicates)
     # quirk D19 (compat rows): the reference also ran t and U tests on the replicate CTRs
     # as if they were observations, so those p-values depend on n_bootstrap

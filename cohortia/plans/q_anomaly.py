@@ -20,7 +20,7 @@ def _series_sql(as_of_ts: dt.datetime, horizon: int = 1) -> str:
 SELECT COALESCE(f.ts, m.ts) AS ts, CAST(COALESCE(f.ts, m.ts) AS DATE) AS day,
        strftime(COALESCE(f.ts, m.ts), '%H:%M') AS hm,
        COALESCE(f.users_feed, 0) AS users_feed, COALESCE(f.views, 0) AS views,
-       COALESCE(f.likes, 0) AS likes, f.CTR,
+       COALESCE(f.likes, 0) AS likes, CASE WHEN f.ts IS NULL THEN 0 ELSE f.CTR END AS CTR,
        COALESCE(m.users_messenger, 0) AS users_messenger, COALESCE(m.messages, 0) AS messages
 FROM (SELECT time_bucket(INTERVAL '15 minutes', time) AS ts, count(DISTINCT user_id) AS users_feed,
              count(user_id) FILTER (WHERE action = 'view') AS views,
@@ -41,9 +41,12 @@ def _long_sql(as_of_ts: dt.datetime) -> str:
 
 
 def _bounds_sql(as_of_ts: dt.datetime, n: int = N, a: float = A) -> str:
-    lo_off, hi_off = n // 2, (n - 1) // 2
+    return fences_sql(_long_sql(as_of_ts), n, a, n // 2, (n - 1) // 2)
+
+
+def fences_sql(long_sql: str, n: int, a: float, lo_off: int, hi_off: int) -> str:
     return f"""
-WITH l AS ({_long_sql(as_of_ts)}),
+WITH l AS ({long_sql}),
 b AS (SELECT *, count(value) OVER w AS cnt,
              quantile_cont(value, 0.25) OVER w AS q25_, quantile_cont(value, 0.75) OVER w AS q75_,
              avg(value) OVER w AS mean_, stddev_samp(value) OVER w AS std_
@@ -116,12 +119,29 @@ def q_anomaly_alerts_midday(spark, d):
     return anomaly.anomaly_alerts(anomaly.anomaly_bounds(long, N, A))
 
 
-@register("alert_messages")
-def q_alert_messages(spark, d):
-    """Text of the alerts raised for the last slot (rows-only: may be empty)."""
+TIGHT_A = 0.25        # narrow fences, so that slots of the given tables do raise alerts
+
+
+def _tight_alerts(spark, d):
     f, m = load_events(spark, d)
     long = anomaly.melt_series(anomaly.metric_series_15min(f, m, MIDDAY_TS))
-    return anomaly.alert_messages(anomaly.anomaly_alerts(anomaly.anomaly_bounds(long, N, A)))
+    return anomaly.anomaly_alerts(anomaly.anomaly_bounds(long, N, TIGHT_A))
+
+
+@register("anomaly_alerts_narrow", _alerts_sql(MIDDAY_TS, N, TIGHT_A),
+          doubles=("value", "prev_value", "deviation", "lower", "upper"))
+def q_anomaly_alerts_narrow(spark, d):
+    """Fences so narrow that alerts are raised."""
+    return _tight_alerts(spark, d)
+
+
+@register("alert_messages", f"""
+SELECT metric, ts, printf('Metric %s:' || chr(10) || 'current value: %.2f' || chr(10)
+       || 'deviation from previous: ', metric, value) || coalesce(printf('%.2f%%', deviation * 100), 'n/a') AS text
+FROM ({_alerts_sql(MIDDAY_TS, N, TIGHT_A)}) WHERE is_alert""")
+def q_alert_messages(spark, d):
+    """Text of the alerts raised for the last slot."""
+    return anomaly.alert_messages(_tight_alerts(spark, d))
 
 
 @register("anomaly_alerts_notebook", _alerts_sql(MIDDAY_TS, 5, 3.0),

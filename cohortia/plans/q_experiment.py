@@ -64,11 +64,13 @@ def _welch_sql(src: str, value: str, a, b) -> str:
 WITH d AS ({src}),
 s AS (SELECT count({value}) FILTER (WHERE exp_group = {a}) AS n_a,
              count({value}) FILTER (WHERE exp_group = {b}) AS n_b,
+             count(*) FILTER (WHERE exp_group = {a} AND {value} IS NULL) AS n_dropped_a,
+             count(*) FILTER (WHERE exp_group = {b} AND {value} IS NULL) AS n_dropped_b,
              avg({value}) FILTER (WHERE exp_group = {a}) AS mean_a,
              avg({value}) FILTER (WHERE exp_group = {b}) AS mean_b,
              var_samp({value}) FILTER (WHERE exp_group = {a}) AS var_a,
              var_samp({value}) FILTER (WHERE exp_group = {b}) AS var_b
-      FROM d WHERE {value} IS NOT NULL)
+      FROM d)
 SELECT '{a}' AS group_a, '{b}' AS group_b, *,
        (mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b) AS t,
        (var_a / n_a + var_b / n_b) * (var_a / n_a + var_b / n_b)

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
+from cohortia.operators.anomaly import SERIES_METRICS
 from cohortia.plans.catalog import register
+from cohortia.plans.q_anomaly import A, N, fences_sql
 from cohortia.session import ensure_checkpoint_dir
 from cohortia.streaming import metrics as sm
 
@@ -25,12 +25,12 @@ SELECT time, user_id, FALSE, 0, 0, CAST(reciever_id IS NOT NULL AS INTEGER) FROM
 
 def _run(spark, d, build, mode: str = "append"):
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/cohortia_stream_{uuid.uuid4().hex[:12]}"
-    ev = sm.read_event_stream(spark, d)
+    ev = sm.read_event_stream(spark, f"{d}/events.parquet")
     sm.run_to_table(build(ev), base + "/table", base + "/checkpoint", mode)
     return spark.read.parquet(base + "/table")
 
 
-@register("stream_metrics_15min", f"""
+_CLOSED_SLOTS = f"""
 WITH t AS ({_TAGGED}),
 wm AS (SELECT max(time) - INTERVAL 30 MINUTE AS wm FROM t),
 s AS (SELECT time_bucket(INTERVAL '15 minutes', time) AS ts,
@@ -39,9 +39,13 @@ s AS (SELECT time_bucket(INTERVAL '15 minutes', time) AS ts,
              count(DISTINCT user_id) FILTER (WHERE NOT is_feed) AS users_messenger,
              CAST(sum(m) AS BIGINT) AS messages
       FROM t GROUP BY 1)
-SELECT ts, users_feed, views, likes, CAST(likes AS DOUBLE) / nullif(views, 0) * 100 AS CTR,
+SELECT ts, users_feed, views, likes,
+       CASE WHEN users_feed = 0 THEN 0 ELSE CAST(likes AS DOUBLE) / nullif(views, 0) * 100 END AS CTR,
        users_messenger, messages
-FROM s, wm WHERE ts + INTERVAL 15 MINUTE <= wm.wm""", doubles=("CTR",))
+FROM s, wm WHERE ts + INTERVAL 15 MINUTE <= wm.wm"""
+
+
+@register("stream_metrics_15min", _CLOSED_SLOTS, doubles=("CTR",))
 def q_stream_metrics_15min(spark, d):
     return _run(spark, d, lambda ev: sm.stream_metrics_15min(sm.tagged_stream(ev), "30 minutes"))
 
@@ -78,20 +82,30 @@ def q_stream_sessions(spark, d):
 @register("stream_dedup", """
 SELECT event_id, user_id, event_type FROM events""")
 def q_stream_dedup(spark, d):
-    return _run(spark, d, lambda ev: sm.stream_dedup(ev).select("event_id", "user_id", "event_type"))
+    """The stream holds every event twice."""
+    return _run(spark, d, lambda ev: sm.stream_dedup(ev.unionByName(ev)).select("event_id", "user_id", "event_type"))
+
+
+_LONG = f"WITH s AS ({_CLOSED_SLOTS})\n" + "\nUNION ALL\n".join(
+    f"SELECT ts, CAST(ts AS DATE) AS day, strftime(ts, '%H:%M') AS hm, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM s"
+    for m in SERIES_METRICS)
 
 
-@register("stream_anomaly_alerts")
+@register("stream_anomaly_alerts", f"""
+WITH b AS ({fences_sql(_LONG, N, A, N // 2, 0)}),
+x AS (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value,
+             CASE WHEN low_q = 0 THEN low_s ELSE low_q END AS lower,
+             CASE WHEN up_q = 0 THEN up_s ELSE up_q END AS upper FROM b)
+SELECT metric, ts, hm, value, prev_value, abs(1 - value / nullif(prev_value, 0)) AS deviation, lower, upper,
+       COALESCE(value < lower OR value > upper, FALSE) AS is_alert
+FROM x""", doubles=("value", "prev_value", "deviation", "lower", "upper"))
 def q_stream_anomaly_alerts(spark, d):
-    """Closed slots → series table → batch detector in ``foreachBatch`` → alerts table
-    (verdicts of the last epoch; a rows-only check, the detector itself is oracle-tested)."""
+    """Closed slots → series table → detector in ``foreachBatch`` → a verdict for every closed slot."""
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/cohortia_alerts_{uuid.uuid4().hex[:12]}"
-    ev = sm.read_event_stream(spark, d)
+    ev = sm.read_event_stream(spark, f"{d}/events.parquet")
     stream = sm.stream_metrics_15min(sm.tagged_stream(ev), "30 minutes")
     q = (stream.writeStream.outputMode("append")
          .foreachBatch(sm.alert_batch_writer(base + "/series", base + "/alerts"))
          .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    alerts = spark.read.parquet(base + "/alerts")
-    last = alerts.select(F.max("epoch_id")).scalar()
-    return alerts.where(F.col("epoch_id") == last).drop("epoch_id")
+    return spark.read.parquet(base + "/alerts").drop("epoch_id")

@@ -11,20 +11,25 @@ supported on streams.  State is bounded by the watermark.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia.sources.events import FEED_TYPES, MESSAGE_TYPES, feed_actions, message_actions
 
 
-def read_event_stream(spark: SparkSession, directory: str, file_glob: str = "events*.parquet",
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream of the raw ``events`` table (schema taken from the files present)."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(directory).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream of the raw ``events`` table at ``path``, one file or a folder of part files.
+
+    ``max_files_per_trigger`` bounds a micro-batch; files must then arrive in event-time
+    order, since rows behind the watermark of an earlier batch are dropped.
+    """
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(directory)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return r.parquet(f"{folder}/{{{name}}}")       # as a pattern the path may be a file or a folder
 
 
 def tagged_stream(events: DataFrame) -> DataFrame:
@@ -50,7 +55,8 @@ def stream_metrics_15min(tagged: DataFrame, delay: str = "30 minutes") -> DataFr
                  F.count_if(~F.col("is_feed")).alias("users_messenger"),
                  F.sum("m").cast("long").alias("messages")))
     return slot.select(F.col("w.start").alias("ts"), "users_feed", "views", "likes",
-                       (F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")) * 100)
+                       F.when(F.col("users_feed") == 0, F.lit(0.0)).otherwise(
+                           F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")) * 100)
                        .alias("CTR"), "users_messenger", "messages")
 
 
@@ -90,21 +96,34 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, output_mode: str = "
 
 def alert_batch_writer(series_path: str, alerts_path: str, n: int = 6, a: float = 4.0,
                        horizon_slots: int = 192):
-    """``foreachBatch`` handler — append the closed slots to the series table, then
-    run the batch detector over its last ``horizon_slots`` slots and append the verdicts."""
-    from cohortia.operators.anomaly import anomaly_alerts, anomaly_bounds, melt_series
+    """``foreachBatch`` handler — a verdict for every slot that the batch closes, each
+    judged as of that slot, with the series of earlier batches as its history.
+
+    Slots close in time order, so earlier batches hold the earlier slots; ``horizon_slots``
+    is how far back they are read (fences need n + ⌊n/2⌋ rows).  Every batch writes
+    its own folder of both tables, so a batch that runs again replaces what it wrote.
+    """
+    from cohortia.operators.anomaly import anomaly_bounds, melt_series, slot_verdicts
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
-        batch.write.mode("append").parquet(series_path)
-        series = spark.read.parquet(series_path).dropDuplicates(["ts"])
-        last = series.select(F.max("ts")).scalar()
-        lo = F.timestamp_add("MINUTE", F.lit(-15 * horizon_slots), last)
-        recent = series.where(F.col("ts") > lo).withColumn("day", F.to_date("ts")) \
+        own = f"{series_path}/epoch_id={epoch_id}"
+        batch.write.mode("overwrite").parquet(own)
+        closed = spark.read.schema(batch.schema).parquet(own)
+        first = closed.agg(F.min("ts")).first()[0]
+        if first is None:
+            return
+        series = spark.read.schema(f"{_ddl(batch)}, epoch_id bigint").parquet(series_path)
+        before = series.where((F.col("epoch_id") < epoch_id) & (F.col("ts") < F.lit(first))
+                              & (F.col("ts") >= F.lit(first - dt.timedelta(minutes=15 * horizon_slots))))
+        recent = closed.unionByName(before.drop("epoch_id")).withColumn("day", F.to_date("ts")) \
             .withColumn("hm", F.date_format("ts", "HH:mm"))
-        alerts = anomaly_alerts(anomaly_bounds(melt_series(recent), n, a))
-        alerts.withColumn("epoch_id", F.lit(epoch_id)).write.mode("append").parquet(alerts_path)
+        verdicts = slot_verdicts(anomaly_bounds(melt_series(recent), n, a, as_of_slot=True))
+        verdicts.where(F.col("ts") >= F.lit(first)).write.mode("overwrite").parquet(
+            f"{alerts_path}/epoch_id={epoch_id}")
 
     return handle
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

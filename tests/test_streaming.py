@@ -40,3 +40,32 @@ def test_late_events_are_dropped_and_closed_slots_are_final(spark):
     assert r2.loc[pd.Timestamp("2024-01-10 10:00:00"), "views"] == 3                        # late row dropped
     assert r2.loc[pd.Timestamp("2024-01-10 10:00:00"), "users_feed"] == 3
     assert len(r2) > len(r1)                                                                 # more slots closed
+
+
+def test_slot_of_one_service_has_ctr_zero_and_alerts_cover_every_closed_slot(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cohortia.operators.anomaly import metric_series_15min
+    from cohortia.streaming.metrics import alert_batch_writer
+    feed = spark.createDataFrame([(1, "view", "2024-01-01 10:01:00"), (2, "like", "2024-01-01 10:31:00")],
+                                 "user_id long, action string, t string").withColumn("time", F.col("t").cast("timestamp"))
+    messages = spark.createDataFrame([(1, 2, "2024-01-01 10:16:00")], "user_id long, reciever_id long, t string") \
+        .withColumn("time", F.col("t").cast("timestamp"))
+    series = metric_series_15min(feed, messages, "2024-01-01 12:00:00")
+    got = {r.hm: r.CTR for r in series.collect()}
+    assert got == {"10:00": 0.0, "10:15": 0.0, "10:30": None}       # messages only: 0, likes only: NULL
+
+    slots = (spark.range(40).select((F.lit("2024-01-01").cast("timestamp") + F.make_interval(mins=(F.col("id") * 15).cast("int")))
+                                    .alias("ts"), "id")
+             .select("ts", *[(F.col("id") % 7 + F.when(F.col("id") == 30, 500).otherwise(0)).cast("double").alias(c)
+                             for c in ("users_feed", "views", "likes", "CTR", "users_messenger", "messages")]))
+    whole, parts = tmp_path / "whole", tmp_path / "parts"
+    alert_batch_writer(str(whole / "series"), str(whole / "alerts"))(slots, 0)
+    handle = alert_batch_writer(str(parts / "series"), str(parts / "alerts"))
+    cut = F.lit("2024-01-01 06:00:00").cast("timestamp")
+    for epoch, batch in ((0, slots.where(F.col("ts") < cut)), (1, slots.where(F.col("ts") >= cut)),
+                         (1, slots.where(F.col("ts") >= cut)), (2, slots.where("false"))):
+        handle(batch, epoch)
+    read = lambda d: sorted(map(str, spark.read.parquet(str(d / "alerts")).drop("epoch_id").collect()))
+    assert len(read(whole)) == 240 and read(whole) == read(parts)
+    assert spark.read.parquet(str(whole / "alerts")).where("is_alert").select("hm").distinct().count() >= 1
