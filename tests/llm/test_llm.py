@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortia.llm import (embedding_dedup, exact_dedup, line_dedup, minhash, mixing, packing, quality, token_counts,
-                          url_filters)
+from cohortia.llm import (embedding_dedup, exact_dedup, line_dedup, lm_scoring, minhash, mixing, packing, quality,
+                          token_counts, url_filters)
+from cohortia.llm.attention import AttentionModel
 from cohortia.llm.components import connected_components
 from cohortia.llm.queries import ORACLES, QUERIES, URL_RULES, tokenizer
 from cohortia.llm.tokens import WordEncoder
@@ -233,3 +234,39 @@ def test_lm_scores_add_up(spark, docs):
         assert r.n_tokens == len(tokens) and r.train_tokens == n and r.held_out == (d not in train)
         assert r.n_known == sum(w in count for w in tokens) and abs(r.base_score - want) < 1e-6 * max(1, abs(want))
         assert r.score < 0 and r.attention_score < 0
+
+
+def test_lm_scores_awkward_rows(spark, odd):
+    def scores(frame):
+        got = lm_scoring.score_documents(frame, tokenizer(), max_fit_docs=4, epochs=1).collect()
+        return sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.score) for r in got), key=str)
+    got = scores(odd)
+    assert [(d, n) for d, n, *_ in got] == [(1, 11), (2, 11), (2, 11), (3, 1), (4, 1), (6, 30_001), (7, 3), (8, 11), (None, 11)]
+    assert all(np.isfinite(r[-1]) and r[-1] < 0 for r in got)
+    assert scores(odd.limit(0)) == []
+    held = odd.where(lm_scoring.held_out("doc_id"))
+    assert all(r[2] == 0 and r[3] == 0 and np.isfinite(r[-1]) for r in scores(held))
+
+
+def test_attention_scores_each_id_once_and_causally():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 20, 90)
+    n = np.array([1, 60, 29])
+    ids[np.cumsum(n) - 1] = 20
+    model = AttentionModel(20, np.bincount(ids, minlength=21), np.arange(20) % 5, 3).fit(ids, n, ids % 3, 1)
+    logs, words = model.score(ids, n, ids % 3)
+    place, scored = model.windows(n)
+    w, before = model.w, np.append(model.begin, ids[:-1])
+    before[np.cumsum(n) - n] = model.begin
+    seen = []
+    for p, k in zip(place, scored, strict=True):        # every window by itself, position by position
+        at = np.flatnonzero(p >= 0)
+        x = w["e"][model.row[before[p[at]]]] + w["p"][at]
+        for i in range(len(at) - k, len(at)):
+            s = np.exp((x[:i + 1] @ w["k"]) @ (x[i] @ w["q"]) / np.sqrt(x.shape[1]))
+            h = x[i] + (s / s.sum()) @ (x[:i + 1] @ w["v"]) @ w["o"]
+            z, zw, j = h @ w["c"] + w["b"], h @ w["wc"] + w["wb"], p[at[i]]
+            seen.append(j)
+            assert abs(logs[j] - (z[model.cls[ids[j]]] - np.log(np.exp(z).sum()))) < 1e-4
+            assert abs(words[j] - (zw[ids[j] % 3] - np.log(np.exp(zw).sum()))) < 1e-4
+    assert sorted(seen) == list(range(90))
