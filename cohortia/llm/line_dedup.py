@@ -11,9 +11,11 @@ under ``min_words`` words are left alone.
   word, once with p and the length (equal keys: one word replaced) and once
   without (equal to a whole line: one word inserted or deleted).  Only places in
   the half that is not shared are emitted.
-* All lines of a key match, or match the key's whole line, so each is compared
-  with the earliest one only (a star) and no match is lost; the edit distance
-  of what was found is verified on the words themselves.
+* Lines that miss the same place of the same length all match, so each is
+  compared with the earliest one only (a star).  Lines that miss any place match
+  the key's whole line, but not each other: they are compared with that line,
+  and it with the earliest of them.  So no match is lost.  Each kind's find is
+  verified on the words themselves, then the earliest that passes is taken.
 
 A line is dropped when any earlier line (by document id, then line number)
 matches it, whether that one stays or not.  Keys are XORs of the hashes of
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from cohortia.llm.scratch import store
 
 OTHER_SPACE = "\t\x0b\x0c\r"
+REPLACED, REMOVED, WHOLE = 0, 1, 2      # kinds of keys
 
 
 def _lines(text: Column) -> Column:
@@ -133,29 +136,31 @@ def repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
     head, has = _head_size(F.col("n")), lambda bit: F.col("open").bitwiseAND(bit) != 0
     here = (has(1) & (F.col("i") >= head)) | (has(2) & (F.col("i") <= head))
 
-    def key(whole, *parts):
-        return F.struct(F.xxhash64(*parts).alias("key"), F.lit(whole).alias("whole"))
+    def key(kind, *parts):
+        return F.struct(F.xxhash64(*parts).alias("key"), F.lit(kind).alias("kind"))
 
     keys = F.array_compact(F.array(
-        F.when(here, key(False, F.lit("replaced"), "n", "i", without)),
-        F.when(here, key(False, F.lit("removed"), F.col("n") - 1, removed)),
-        F.when((has(4) | has(8)) & (F.col("i") == 0), key(True, F.lit("removed"), "n", F.col("all")))))
-    variants = store(each.select("k", "first", F.explode(keys).alias("v")).select("k", "first", "v.key", "v.whole"),
+        F.when(here, key(REPLACED, F.lit("replaced"), "n", "i", without)),
+        F.when(here, key(REMOVED, F.lit("removed"), F.col("n") - 1, removed)),
+        F.when((has(4) | has(8)) & (F.col("i") == 0), key(WHOLE, F.lit("removed"), "n", F.col("all")))))
+    variants = store(each.select("k", "first", F.explode(keys).alias("v")).select("k", "first", "v.key", "v.kind"),
                      "variants")
-    member = F.struct("first", "k")
+    member, kind = F.struct("first", "k"), F.col("kind")
+    # lines that miss any place only have the whole line in common
     hubs = (variants.groupBy("key").agg(
-        F.min(F.when(F.col("whole"), member)).alias("line"), F.min(F.when(~F.col("whole"), member)).alias("variant"),
-        F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").drop("lo", "hi"))
+        *[F.min(F.when(kind == x, member)).alias(c) for x, c in ((REPLACED, "replaced"), (REMOVED, "removed"), (WHOLE, "line"))],
+        F.min("k").alias("lo"), F.max("k").alias("hi"))
+        .where("lo <> hi and (replaced is not null or line is not null)").drop("lo", "hi"))
     met = variants.join(store(hubs, "hubs"), "key")
-    hub = F.when(F.col("whole") | F.col("line").isNull(), F.col("variant")).otherwise(F.col("line"))
+    hub = F.when(kind == REPLACED, F.col("replaced")).when(kind == REMOVED, F.col("line")).otherwise(F.col("removed"))
     near = (met.withColumn("hub", hub).where(F.col("hub.first") < F.col("first"))
-            .groupBy("k", "first").agg(F.min("hub").alias("hub")))
+            .groupBy("k", "first", "kind").agg(F.min("hub").alias("hub")))
     words = found.select(F.col("k").alias("wk"), F.col("first").alias("wf"), "words")
     near = near.join(words, (F.col("k") == F.col("wk")) & (F.col("first") == F.col("wf"))).drop("wk", "wf") \
         .withColumnRenamed("words", "own_words")
     near = near.join(words, (F.col("hub.k") == F.col("wk")) & (F.col("hub.first") == F.col("wf")))
     near = store(near.where(within_one_edit(F.col("own_words"), F.col("words")))
-                 .select(F.col("k").alias("nk"), F.col("first").alias("nf"), F.col("hub.first").alias("near")), "near")
+                 .groupBy(F.col("k").alias("nk"), F.col("first").alias("nf")).agg(F.min("hub.first").alias("near")), "near")
     verdicts = classes.select("k", "k2", "first").join(
         near, (F.col("k") == F.col("nk")) & (F.col("first") == F.col("nf")), "left")
     verdicts = store(verdicts.select(F.col("k").alias("vk"), F.col("k2").alias("vk2"), "first", "near"), "verdicts")

@@ -108,6 +108,34 @@ def test_line_dedup_equals_brute_force(docs, odd):
     assert line_dedup.drop_repeated_lines(odd.limit(0)).columns == odd.columns
 
 
+def test_line_dedup_false_candidate_hides_no_match(spark):
+    words = "a b c d e f g h i j k l".split()
+    for texts in ([words[:1] + words[2:], words, words[:4] + words[5:]],
+                  ["a b c d e f g h".split(), "b a c d e f g k".split(), "b a c d e f g h".split()]):
+        rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+        got = {(r.doc_id, r.keep_id, r.edits)
+               for r in line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        want = {(j, i, 1) for j, w in enumerate(texts) for i in [next((i for i in range(j) if _near(w, texts[i])), None)]
+                if i is not None}
+        assert got == want and max(want)[0] == 2
+    rng = np.random.default_rng(3)              # many false candidates: words from a small set, moved about
+    texts = []
+    for _ in range(40):
+        line = rng.choice(list("abc"), 9).tolist()
+        for _ in range(6):
+            i, j = rng.integers(0, 9, 2)
+            texts.append(line[:i] + line[i + 1:] if i % 2 else line[:j] + ["d"] + line[j:])
+    texts = [w for w in texts if len(w) >= 8]
+    want = {}
+    for j, w in enumerate(texts):
+        same, near = (next((i for i in range(j) if f(texts[i])), None) for f in (lambda v: v == w, lambda v: _near(w, v)))
+        if near is not None:
+            want[j] = (near, 1) if same is None else (same, 0)
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    got = line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: (r.keep_id, r.edits) for r in got} == want
+
+
 def test_minhash_equals_brute_force(docs, odd):
     sets = {}
     for r in docs.collect():
