@@ -2,7 +2,7 @@
 
 DataFrame functions only.  A line is its words in lower case; two lines match
 when at most one word is inserted, deleted or replaced between them.  Lines
-under ``min_words`` words are left alone.
+under ``min_words`` words match equal lines only.
 
 * Equal lines are folded first, so a line that fills the corpus is one class.
 * With one edit, the words before or the words after the middle are untouched:
@@ -72,10 +72,13 @@ def within_one_edit(x: Column, y: Column) -> Column:
     return F.when(size - less > 1, False).when(diff == 0, True).when(size == less, replaced).otherwise(removed)
 
 
-def repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text",
+                   equal_words: int | None = None) -> DataFrame:
     """One row per line that an earlier one matches: id, text_hash, line, keep_id,
     keep_line, edits (0: equal words).
 
+    Lines from ``min_words`` words on match within one edit, equal ones from ``equal_words``
+    on (``min_words`` if None; 1: every line with words).
     Null and empty texts and lines have no words and are never dropped.  Rows
     that repeat an id and a text share their lines' places, so they don't drop each
     other; rows with one id and different texts are ordered by the texts' hashes; a
@@ -85,10 +88,11 @@ def repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
     lines = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"),
                         F.posexplode(_lines(text)).alias("pos", "line"))
     lines = lines.select("id", "th", "pos", _norm(F.col("line")).alias("x")).withColumn("n", _n_words(F.col("x")))
-    lines = lines.where(F.col("n") >= min_words)
+    long = F.col("n") >= min_words
+    lines = lines.where(long if equal_words is None else long | (F.col("n") >= max(1, equal_words)))
 
     def half(c, side, part):
-        return F.xxhash64(F.lit(side), c, part)
+        return F.when(long, F.xxhash64(F.lit(side), c, part))
 
     n, more = F.col("n"), F.col("n") + 1
     h, hm = _head_size(n), _head_size(more)
@@ -103,8 +107,8 @@ def repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
         F.min("at").alias("first"), F.max("n").alias("n"),
         *[F.max(x).alias(x) for x in "abcd"]), "classes")
 
-    # Halves that two classes share.
-    halves = classes.select("k", F.explode(F.array(*[
+    # Halves that two classes share; short lines have none.
+    halves = classes.where(long).select("k", F.explode(F.array(*[
         F.struct(F.col(x).alias("half"), F.lit(1 << i).alias("which")) for i, x in enumerate("abcd")])).alias("h")) \
         .select("k", "h.half", "h.which")
     shared = store(halves.groupBy("half").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
@@ -183,13 +187,13 @@ def _last_words(norm: str, n: Column) -> Column:
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
-                        text_col: str = "text") -> DataFrame:
-    """``docs`` with the lines of ``repeated_lines`` taken out of their texts.
+                        text_col: str = "text", equal_words: int | None = 1) -> DataFrame:
+    """``docs`` with the lines of ``repeated_lines`` taken out of their texts, equal ones of every length.
 
     Documents that lose every line with words are left out: all they say is in
     earlier ones.  Documents that lose none pass unchanged, null and empty ones too.
     """
-    drops = (repeated_lines(docs, min_words, id_col, text_col)
+    drops = (repeated_lines(docs, min_words, id_col, text_col, equal_words)
              .groupBy(F.col(id_col).alias("__id"), F.col("text_hash").alias("__th"))
              .agg(F.collect_set("line").alias("__drop")))
     drops = store(drops, "drops")

@@ -42,8 +42,8 @@ def op2_exact_dedup(spark, sf_dir):
 
 
 def op3_line_dedup(spark, sf_dir):
-    """Lines that an earlier line matches within one word."""
-    return line_dedup.repeated_lines(_table(spark, sf_dir, "documents")).drop("text_hash")
+    """Lines that an earlier line matches within one word; short ones that equal an earlier line."""
+    return line_dedup.repeated_lines(_table(spark, sf_dir, "documents"), equal_words=1).drop("text_hash")
 
 
 def op4_quality(spark, sf_dir):

@@ -136,6 +136,20 @@ def test_line_dedup_false_candidate_hides_no_match(spark):
     assert {r.doc_id: (r.keep_id, r.edits) for r in got} == want
 
 
+def test_line_dedup_folds_short_equal_lines(spark, docs):
+    rows = sorted((r.doc_id, i, x.lower().split()) for r in docs.collect() for i, x in enumerate(r.text.split("\n")) if x.split())
+    first, want, short = {}, set(), 0
+    for d, i, w in rows:
+        if first.setdefault(" ".join(w), (d, i)) != (d, i):
+            want.add((d, i, *first[" ".join(w)]))
+            short += len(w) < 8
+    got = QUERIES["op3_line_dedup"](spark, TINY).where("edits = 0").collect()
+    assert {(r.doc_id, r.line, r.keep_id, r.keep_line) for r in got} == want and len(got) == len(want) and short
+    texts = [(1, LONG + "\nthe end\n\n"), (2, "The  End\n\nthe end of"), (3, "the end")]
+    out = line_dedup.drop_repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in out} == {1: texts[0][1], 2: "\nthe end of"}
+
+
 def test_minhash_equals_brute_force(docs, odd):
     sets = {}
     for r in docs.collect():
