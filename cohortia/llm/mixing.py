@@ -3,8 +3,9 @@
 DataFrame functions only.  Each source gets a target in words: its weight's
 share of all words, at most ``cap`` times what it has, the excess shared among the
 rest (water filling over the sources, closed form).  A source's documents are
-put in a random order per pass; whole passes are taken and then a prefix of the
-next one, plus a few documents whose sizes are nearest to what is still missing.
+put in a random order per pass; whole passes are taken, and of the next one, in its
+order, every document that fits into what is still missing; at last a document
+that goes over the target by less than is missing without it.
 The order's words are cut into blocks.  A binary tree divides the exact block
 counts of all sources among the output shards, each node drawing from the
 multivariate hypergeometric distribution, so a shard's composition is that of
@@ -15,6 +16,7 @@ of every source's blocks and shuffles its own rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -138,7 +140,7 @@ def splitting_tree(blocks: DataFrame, depth: int, seed: int) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int = 7, shard_depth: int = 4,
-                block_words: int = 8192, fill_rounds: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                block_words: int = 8192, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
     """One row per distinct (id, source, text): ``id``, ``source``, ``text_hash``, ``copies``,
     size, source_size, target, ``draws`` (array of (epoch, shard), one per time it is taken).
@@ -146,8 +148,8 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
     ``weigh`` adds ``weight`` to (source, source_size).  Null texts and empty texts have
     size 0; a null source is a source of its own; rows that repeat an id, a source and a
     text share one draw, which counts all of them (``copies``).  An empty table gives no
-    rows.  Documents aren't cut: what a source misses of its target is what no
-    remaining document fills better after ``fill_rounds`` picks.
+    rows.  Documents aren't cut: what a source misses of its target is less than any
+    document that it leaves out of the last pass, or half of that where one goes over it.
     """
     text = F.coalesce(text_col, F.lit(""))
     slim = store(docs.select(
@@ -179,25 +181,63 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
     rows = (rows.withColumn("inside", running)
             .join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("epoch") == F.col("e"))
                   & (F.col("bucket") == F.col("b"))).drop("s", "e", "b")
-            .withColumn("upto", F.col("before") + F.col("inside")).drop("before", "inside", "bucket")
+            .withColumn("upto", F.col("before") + F.col("inside")).drop("before", "inside")
             .withColumn("taken", (F.col("epoch") < F.col("passes")) | (F.col("upto") <= F.col("target"))))
     rows = store(rows, "order")
-    # Documents that best fill what is left of the target, one per source and round.
-    for _ in range(fill_rounds):
-        gaps = store(rows.groupBy("source", "target").agg(F.sum(F.when(F.col("taken"), F.col("words"))).alias("have"))
-                     .select(F.col("source").alias("s"),
-                             (F.col("target") - F.coalesce("have", F.lit(0))).alias("gap")), "gaps")
-        miss = F.abs(F.col("words") - F.col("gap"))
-        fill = (rows.where(~F.col("taken")).join(gaps, F.col("source").eqNullSafe(F.col("s")))
-                .where(miss < F.col("gap"))
-                .groupBy("source").agg(F.min(F.struct(miss, "o", "text_hash", "id", "epoch")).alias("x")))
-        fill = store(fill.select(F.col("source").alias("s"), F.col("x.id").alias("fid"),
-                                 F.col("x.text_hash").alias("fhash"), F.col("x.epoch").alias("fepoch")), "fill")
-        rows = (rows.join(fill, F.col("source").eqNullSafe(F.col("s")) & (F.col("text_hash") == F.col("fhash"))
-                          & F.col("id").eqNullSafe(F.col("fid")) & (F.col("epoch") == F.col("fepoch")), "left")
+    # Behind a document that doesn't fit, the order goes on with those that do.  What is missing
+    # is less than that document, so all that fit come behind it, and each round passes one more.
+    place = F.struct("o", "text_hash", "id")
+    gaps = store(rows.groupBy("source", "target").agg(F.sum(F.when(F.col("taken"), F.col("words"))).alias("have"),
+                                                      F.min(F.when(~F.col("taken"), place)).alias("cut"))
+                 .select(F.col("source").alias("s"), F.coalesce("have", F.lit(0)).alias("have"),
+                         (F.col("target") - F.coalesce("have", F.lit(0))).alias("gap"), "cut")
+                 .where("gap > 0 and cut is not null"), "gaps")
+    later = []
+    while not gaps.isEmpty():
+        fits = (rows.where(~F.col("taken") & (F.col("words") > 0)).join(gaps, F.col("source").eqNullSafe(F.col("s")))
+                .where((F.col("words") <= F.col("gap")) & (place > F.col("cut")))
+                .select("source", "epoch", "bucket", "o", "text_hash", "id", "words", "have", "gap"))
+        sums = fits.groupBy("source", "bucket").agg(F.sum("words").alias("sum"))
+        before = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(
+            F.sum("sum").over(Window.partitionBy("source").orderBy("bucket")
+                              .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+        # up to the next one that doesn't fit any more
+        found = store(fits.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+                      .where("before <= gap")
+                      .withColumn("more", F.col("before") + running).where("more - words <= gap")
+                      .select("source", "epoch", "o", "text_hash", "id", "have", "gap", "more"), "found")
+        later.append(found.where("more <= gap").select(
+            F.col("source").alias("s"), F.col("epoch").alias("fepoch"), F.col("text_hash").alias("fhash"),
+            F.col("id").alias("fid"), (F.col("have") + F.col("more")).alias("fupto")))
+        got = F.coalesce(F.max(F.when(F.col("more") <= F.col("gap"), F.col("more"))), F.lit(0))
+        gaps = store(found.groupBy("source", "have", "gap").agg(
+            got.alias("got"), F.max(F.when(F.col("more") > F.col("gap"), place)).alias("cut"))
+            .select(F.col("source").alias("s"), (F.col("have") + F.col("got")).alias("have"),
+                    (F.col("gap") - F.col("got")).alias("gap"), "cut").where("gap > 0 and cut is not null"), "gaps")
+
+    def same_row():
+        return (F.col("source").eqNullSafe(F.col("s")) & (F.col("text_hash") == F.col("fhash"))
+                & F.col("id").eqNullSafe(F.col("fid")) & (F.col("epoch") == F.col("fepoch")))
+
+    if later:
+        rows = (rows.join(reduce(DataFrame.unionByName, later), same_row(), "left")
                 .withColumn("taken", F.col("taken") | F.col("fepoch").isNotNull())
-                .drop("s", "fid", "fhash", "fepoch"))
-    # a filled-in document goes to the source's last block
+                .withColumn("upto", F.coalesce("fupto", "upto")).drop("s", "fid", "fhash", "fepoch", "fupto"))
+        rows = store(rows, "filled")
+    # Nothing fits any more: the smallest one that goes over the target, if that is nearer.
+    gaps = store(rows.groupBy("source", "target").agg(F.sum(F.when(F.col("taken"), F.col("words"))).alias("have"))
+                 .select(F.col("source").alias("s"),
+                         (F.col("target") - F.coalesce("have", F.lit(0))).alias("gap")), "gaps")
+    miss = F.abs(F.col("words") - F.col("gap"))
+    fill = (rows.where(~F.col("taken")).join(gaps, F.col("source").eqNullSafe(F.col("s")))
+            .where(miss < F.col("gap"))
+            .groupBy("source").agg(F.min(F.struct(miss, "o", "text_hash", "id", "epoch")).alias("x")))
+    fill = store(fill.select(F.col("source").alias("s"), F.col("x.id").alias("fid"),
+                             F.col("x.text_hash").alias("fhash"), F.col("x.epoch").alias("fepoch")), "fill")
+    rows = (rows.join(fill, same_row(), "left")
+            .withColumn("taken", F.col("taken") | F.col("fepoch").isNotNull())
+            .drop("s", "fid", "fhash", "fepoch"))
+    # a document over the target goes to the source's last block
     block = F.floor(F.least((F.col("upto") - F.col("words")).cast("double"),
                             F.greatest(F.col("target") - 1, F.lit(0.0))) / block_words).cast("long")
     rows = rows.withColumn("block", block)

@@ -248,6 +248,28 @@ def test_mixing(spark, docs, odd):
     assert mixing.mix_sources(odd.limit(0)).count() == 0
 
 
+def test_mixing_fills_behind_a_long_document(spark):
+    def weigh(sources):
+        return sources.withColumn("weight", F.when(F.col("source") == "a", 1).otherwise(3).cast("long"))
+
+    for base, long in ((0, 3000), (7000, 1500)):
+        rows = [(base, "a", "w " * long)] + [(base + i, "a", "w " * 4) for i in range(1, (5000 - long) // 4 + 1)] \
+            + [(base + 5000 + i, "b", "w " * 50) for i in range(60)]
+        got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string"), weigh).collect()
+        taken = {x: sum(r.size * len(r.draws) for r in got if r.source == x) for x in "ab"}
+        assert taken == {"a": 2000, "b": 6000} and {r.target for r in got} == {2000.0, 6000.0}
+
+
+def test_mixing_leaves_out_nothing_that_fits(docs):
+    by = {}
+    for r in mixing.mix_sources(docs).collect():
+        by.setdefault((r.source, r.target, r.source_size), []).append((r.size * r.copies, len(r.draws)))
+    for (_, target, size), rows in by.items():
+        missing, passes = target - sum(w * n for w, n in rows), target // size
+        left = [w for w, n in rows if w and n == passes and passes < 3]
+        assert not left or abs(missing) < min(left) and not (missing < 0 and -missing > min(left) / 2 + 1e-6)
+
+
 def test_hypergeometric_moments(spark):
     u = F.shiftrightunsigned(F.xxhash64("id"), 11) * 2.0 ** -53
     h = spark.range(4000).select(mixing.hypergeometric(F.lit(1000), F.lit(300), F.lit(200), u).alias("h"))
