@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.llm.scratch import store
@@ -58,11 +58,36 @@ def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
     return value[~lead], doc[~lead]
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame, max_docs: int, id_col: str = "doc_id") -> DataFrame:
-    """At most ``max_docs`` documents labelled good, by the order of a hash of their ids."""
-    good = (labels.where((F.col("quality") == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("t"))
-            .distinct().orderBy(F.xxhash64("t"), "t").limit(max_docs))
-    return docs.join(F.broadcast(good), F.col(id_col).cast("long") == F.col("t"), "left_semi")
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(t): the ids that ``labels`` marks as good."""
+    return (labels.where((F.col("quality") == 1) & F.col(id_col).isNotNull())
+            .select(F.col(id_col).cast("long").alias("t")).distinct())
+
+
+def trusted_sample(docs: DataFrame, labels: DataFrame, max_docs: int, id_col: str = "doc_id",
+                   lang_col: str = "lang") -> DataFrame:
+    """At most ``max_docs`` documents labelled good, by the order of a hash of their ids.
+
+    Half the sample is dealt to the languages (null is one) alike, as far as they have so many, the
+    rest by what they have left, so that a rare language has its share at any size.
+    """
+    good = store(docs.select(F.col(id_col).cast("long").alias("t"), F.col(lang_col).alias("lang"))
+                 .join(trusted_ids(labels, id_col).hint("merge"), "t").groupBy("t").agg(F.min("lang").alias("lang")), "good")
+    counts = good.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"))
+    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    alike = F.least("n", F.floor(F.lit(max_docs // 2) / F.count(F.lit(1)).over(everything)))
+    counts = counts.withColumn("total", F.sum("n").over(everything)).withColumn("alike", alike.cast("long"))
+    rest = (max_docs - F.sum("alike").over(everything)) / F.greatest(F.sum(F.col("n") - F.col("alike")).over(everything), F.lit(1))
+    quota = F.when(F.col("total") <= max_docs, F.col("n")).otherwise(
+        F.col("alike") + F.floor((F.col("n") - F.col("alike")) * rest))
+    # few more than the quota by a bound on the hash, so that no task ranks all documents of a language
+    quotas = store(counts.withColumn("quota", quota.cast("long")).select(
+        "l", "quota", ((F.col("quota") + 8 * F.sqrt("quota") + 40) / F.col("n")).alias("share")), "quotas")
+    u = F.shiftrightunsigned(F.xxhash64("t"), 11) * 2.0 ** -53
+    some = good.join(F.broadcast(quotas), F.col("lang").eqNullSafe(F.col("l"))).where(u < F.col("share"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(u, "t"))
+    ids = store(some.withColumn("rank", rank).where(F.col("rank") <= F.col("quota")).select("t"), "sample")
+    return docs.join(F.broadcast(ids), F.col(id_col).cast("long") == F.col("t"), "left_semi")
 
 
 def kneser_ney(counts: DataFrame, order: int) -> dict[int, tuple[DataFrame, DataFrame]]:
@@ -192,8 +217,8 @@ def classify_quality(docs: DataFrame, labels: DataFrame, order: int = 4, max_tra
                      text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row of ``docs``: id, lang, n_grams, perplexity, threshold, kept.
 
-    ``max_train_docs`` bounds the sample of labelled documents the model is fitted on; the
-    thresholds come from the same documents' perplexities, by language.  Perplexity is per byte, with ``prior`` bytes
+    ``max_train_docs`` bounds the sample of labelled documents the model is fitted on; means
+    and thresholds come from all documents labelled good, by language.  Perplexity is per byte, with ``prior`` bytes
     at the language's mean added, so that a few words aren't judged by chance.  Kept
     without a judgement: texts without words (null ones too), and languages (null is one)
     without a trusted document.  Rows that repeat an id share the mean of their
@@ -209,8 +234,8 @@ def classify_quality(docs: DataFrame, labels: DataFrame, order: int = 4, max_tra
     sums = sums.groupBy("id").agg(F.avg("n").alias("n"), F.avg("logp").alias("logp"))
     meta = own.select("id", "lang")
     scored = store(meta.join(sums.withColumnRenamed("id", "sid"), F.col("id").eqNullSafe(F.col("sid"))).drop("sid"), "scored")
-    good = trusted.select(F.col("id").alias("tid")).distinct()
-    good = scored.join(good, F.col("id") == F.col("tid"), "left_semi").where("n > 0")
+    good = trusted_ids(labels, id_col).hint("merge")
+    good = store(scored.where("n > 0").join(good, F.col("id") == F.col("t"), "left_semi"), "good-scores")
     mean = store(good.groupBy(F.col("lang").alias("l")).agg((F.sum("logp") / F.sum("n")).alias("mean")), "means")
     bits = -(F.col("logp") + prior * F.col("mean")) / (F.col("n") + prior)
     with_mean = good.join(mean, F.col("lang").eqNullSafe(F.col("l")))

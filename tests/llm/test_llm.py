@@ -209,6 +209,26 @@ def test_quality_keeps_clean_and_rejects_noise(spark, odd):
     assert quality.classify_quality(odd, none).where("kept").count() == odd.count()
 
 
+def test_quality_thresholds_cover_all_good_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rare = spark.createDataFrame([(10 ** 9 + i, f"zq xw {i} vvk jjq " * 9, "rare") for i in range(5)],
+                                 "doc_id long, text string, lang string")
+    d = d.select("doc_id", "text", "lang").unionByName(rare)
+    labels = labels.select("doc_id", "quality").unionByName(rare.select("doc_id", F.lit(1).cast("int").alias("quality")))
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    lang = {r.doc_id: r.lang for r in d.collect() if r.doc_id in good}
+    sample = [r.doc_id for r in quality.trusted_sample(d, labels, 60).collect()]
+    assert len(sample) == len(set(sample)) <= 60 and {lang[i] for i in sample} == set(lang.values())
+    got = quality.classify_quality(d, labels, max_train_docs=60, quantile=0.9, slack=1.0).collect()
+    by = {}
+    for r in got:
+        if r.doc_id in good and r.n_grams:
+            by.setdefault(r.lang, []).append((r.perplexity, r.threshold))
+    for rows in by.values():        # the quantile holds over all good documents, most of them outside the fit
+        assert sum(p <= t * (1 + 1e-9) for p, t in rows) == -(-9 * len(rows) // 10)
+
+
 def test_embeddings_against_brute_force(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(40, 16))
