@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over their whole tables, and the pipeline.
+"""The thirteen operators as registered queries over their whole tables, and the pipeline.
 
 Every query gets its rows through its operator; what is added here is the digest
 that the driver compares.  ``ORACLES`` has DuckDB SQL where SQL can express the
@@ -7,13 +7,16 @@ result on whole tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm import (embedding_dedup, exact_dedup, line_dedup, lm_scoring, minhash, mixing, packing, quality,
-                          token_counts, url_filters)
+from cohortia.llm import (embedding_dedup, exact_dedup, licenses, line_dedup, lm_scoring, minhash, mixing, packing,
+                          quality, spelling, token_counts, url_filters, vector_codes)
+from cohortia.llm.oracles import SPELLING, VECTOR_CODES
+from cohortia.llm.scratch import store
 
 
 def tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -83,6 +86,32 @@ def op10_mixing(spark, sf_dir):
                     (F.col("size") * F.size("draws")).cast("long").alias("taken")))
 
 
+def op11_vector_codes(spark, sf_dir):
+    """Code and errors of every vector, and a digest of the codebooks."""
+    codes, books = vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings"))
+    codes = store(codes, "codes")
+    digest = hashlib.sha256(",".join(str(x) for b in books for x in b.reshape(-1).tolist()).encode()).hexdigest()
+    errors = store(vector_codes.label_errors(codes), "label-errors").withColumnRenamed("label", "of")
+    return codes.join(errors, F.col("label").eqNullSafe(F.col("of"))).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op12_spelling(spark, sf_dir):
+    """Words of all documents, their near words, forms and roots."""
+    return spelling.spelling_groups(spelling.word_counts(_table(spark, sf_dir, "documents")))
+
+
+def op13_licenses(spark, sf_dir):
+    """Base places and all labels of every document."""
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    start = F.transform(base, lambda p: p["start"])
+    names = F.array_join(F.sort_array(F.array_distinct(F.transform(base, lambda p: p["label"]))), ",")
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(start).alias("first_word"),
+                        F.array_max(start).alias("last_word"), names.alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
 def pipeline(spark, sf_dir):
     """The stages of ``corpus_pipeline``, each reading what the one before has written."""
     import corpus_pipeline
@@ -91,7 +120,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_line_dedup, op4_quality, op5_token_counts, op6_minhash,
-                            op7_lm_scoring, op8_url_filters, op9_embedding_dedup, op10_mixing, pipeline)}
+                            op7_lm_scoring, op8_url_filters, op9_embedding_dedup, op10_mixing,
+                            op11_vector_codes, op12_spelling, op13_licenses, pipeline)}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
@@ -113,4 +143,6 @@ ORACLES = {
                 WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM q)
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM s""",
+    "op11_vector_codes": VECTOR_CODES,
+    "op12_spelling": SPELLING,
 }
