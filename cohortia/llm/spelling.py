@@ -115,7 +115,7 @@ def near_in_buckets(longer: np.ndarray, window: np.ndarray, key: np.ndarray, wor
             if k not in made:
                 at = rows[slice(*spans[k])]
                 code = [np.frombuffer(words[i].encode("utf-32-le"), "<u4") for i in at]
-                if max(c.max() for c in code) < 256:
+                if max((int(c.max()) for c in code if len(c)), default=0) < 256:
                     code = [c.astype(np.uint8) for c in code]
                 made[k] = (*_codes(code, int(n)), length[at], key[at])
             return made[k]
