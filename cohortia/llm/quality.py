@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.llm.scratch import store
-from cohortia.llm.tokens import in_steps
+from cohortia.llm.tokens import close_encoders, in_steps
 from cohortia.llm.words import to_bytes
 
 RUN_CHARS, RUN_DOCS = 4_000_000, 8192
@@ -36,26 +36,30 @@ _BLANK[[32, *range(9, 14)]] = True
 
 def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
     """(n-grams, document indexes) of all bytes of all texts: a text begins after a
-    blank context and ends with a blank; one without words has none."""
+    blank context and ends with a blank; one without words has none.
+
+    At most ``RUN_DOCS`` texts; the arrays hold few bytes per character, as a run is long."""
     raw = [to_bytes(t) for t in texts]
     pad = b" " * (order - 1)
     joined = np.frombuffer(b"".join([x for r in raw for x in (pad, r, b" ")] + [pad]), np.uint8).copy()
-    doc = np.repeat(np.arange(len(raw)), [len(r) + order for r in raw])
-    doc = np.append(doc, np.full(order - 1, len(raw)))
+    size = [len(r) + order for r in raw]
+    raw.clear()
+    doc = np.repeat(np.arange(len(size) + 1, dtype=np.uint16), [*size, order - 1])
     blank = _BLANK[joined]
     joined[blank] = 32
     # a blank after a blank is dropped, but for the context that begins a text
-    begin = np.cumsum([0, *(len(r) + order for r in raw)])
+    begin = np.cumsum([0, *size])
     lead = np.zeros(len(joined), bool)
     for j in range(order - 1):
         lead[begin[:-1] + j] = True
     lead[begin[-1]:] = True
-    double = blank & np.append(False, blank[:-1]) & ~lead
-    joined, doc, lead = joined[~double], doc[~double], lead[~double]
-    value = np.zeros(len(joined), np.uint64)
+    keep = ~blank | ~np.append(False, blank[:-1]) | lead
+    joined, doc, own = joined[keep], doc[keep], ~lead[keep]
+    del blank, lead, keep
+    value = np.zeros(len(joined), np.uint32 if order <= 4 else np.uint64)
     for j in range(order):                              # the gram that ends at each byte
-        value[order - 1:] |= joined[order - 1 - j:len(joined) - j].astype(np.uint64) << np.uint64(8 * j)
-    return value[~lead], doc[~lead]
+        value[order - 1:] |= joined[order - 1 - j:len(joined) - j].astype(value.dtype) << value.dtype.type(8 * j)
+    return value[own], doc[own]
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -130,11 +134,12 @@ def gram_scores(wanted: DataFrame, model: dict, order: int, alphabet: int = 256)
 
 def _distinct_grams(order: int):
     def run(batches):
+        close_encoders()
         for b in batches:
             texts = b.column(0).to_pylist()
             for lo, hi in in_steps(texts, RUN_DOCS, RUN_CHARS):
                 u, n = np.unique(grams(texts[lo:hi], order)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["gram", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int64)), pa.array(n)], ["gram", "c"])
     return run
 
 
@@ -149,6 +154,7 @@ def perplexities(docs: DataFrame, model: dict, order: int, id_col: str = "doc_id
     columns = ["run", "shard", "data", "ids", "n"]
 
     def send(batches):
+        close_encoders()
         part, run = TaskContext.get().partitionId(), -1
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -156,12 +162,19 @@ def perplexities(docs: DataFrame, model: dict, order: int, id_col: str = "doc_id
                 run += 1
                 gram, doc = grams(texts[lo:hi], order)
                 n = np.bincount(doc, minlength=hi - lo)
-                key, count = np.unique((gram << np.uint64(13)) | doc.astype(np.uint64), return_counts=True)
-                gram, doc = key >> np.uint64(13), (key & np.uint64(8191)).astype("<u2")
-                shard = gram % np.uint64(shards)
+                key = gram.astype(np.uint64) << np.uint64(13)
+                key |= doc
+                del gram, doc
+                key.sort()
+                first = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+                count = np.diff(np.append(first, len(key))).astype(np.uint32)
+                key = key[first]
+                shard = ((key >> np.uint64(13)) % np.uint64(shards)).astype(np.uint32)
                 order_ = np.argsort(shard, kind="stable")
-                gram, doc, count, shard = gram[order_], doc[order_], count[order_], shard[order_]
-                cut = np.searchsorted(shard, np.arange(shards + 1))
+                cut = np.searchsorted(shard[order_], np.arange(shards + 1))
+                key, count = key[order_], count[order_]
+                del first, shard, order_
+                gram, doc = key >> np.uint64(13), (key & np.uint64(8191)).astype("<u2")
                 data = []
                 for a, z in zip(cut[:-1], cut[1:], strict=True):
                     first = np.flatnonzero(np.diff(gram[a:z], prepend=np.uint64(2 ** 64 - 1)))
@@ -224,9 +237,11 @@ def classify_quality(docs: DataFrame, labels: DataFrame, order: int = 4, max_tra
     without a trusted document.  Rows that repeat an id share the mean of their
     sums.  Other columns aren't read; empty tables give no rows, or keep all.
     """
-    spark = docs.sparkSession
+    if not 1 <= order <= 6:
+        raise ValueError("an n-gram and a document number share 64 bits: order is 1 to 6")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    trusted = store(trusted_sample(own, labels.withColumnRenamed(id_col, "id"), max_train_docs, "id"), "trusted")
+    labels = labels.select(F.col(id_col).alias("id"), "quality")
+    trusted = store(trusted_sample(own, labels, max_train_docs, "id"), "trusted")
     counts = store(trusted.select("text").mapInArrow(_distinct_grams(order), "gram long, c long")
                    .groupBy("gram").agg(F.sum("c").alias("c")), "counts")
     model = kneser_ney(counts, order)
@@ -234,7 +249,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, order: int = 4, max_tra
     sums = sums.groupBy("id").agg(F.avg("n").alias("n"), F.avg("logp").alias("logp"))
     meta = own.select("id", "lang")
     scored = store(meta.join(sums.withColumnRenamed("id", "sid"), F.col("id").eqNullSafe(F.col("sid"))).drop("sid"), "scored")
-    good = trusted_ids(labels, id_col).hint("merge")
+    good = trusted_ids(labels, "id").hint("merge")
     good = store(scored.where("n > 0").join(good, F.col("id") == F.col("t"), "left_semi"), "good-scores")
     mean = store(good.groupBy(F.col("lang").alias("l")).agg((F.sum("logp") / F.sum("n")).alias("mean")), "means")
     bits = -(F.col("logp") + prior * F.col("mean")) / (F.col("n") + prior)

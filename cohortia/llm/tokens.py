@@ -2,9 +2,11 @@
 
 For tokenizers that drop white space (``word_bpe_49k``): text between blanks is
 encoded on its own and the pieces are concatenated, which gives the ids of the
-whole text.  Misses are encoded together, parted by a one-token mark, because a
-call per word costs more than the merge itself.  The caches are emptied when
-they reach their bound, so memory does not grow with the vocabulary.
+whole text, special tokens in it included.  Arrow splits a batch, reduces it to its
+distinct words and lays out the ids of all its words.  Pieces of missing Latin-1 words
+go to the merges directly; other scripts are encoded together, parted by a one-token
+mark, because a call per word costs more than the merge itself.  A cache that reaches its bound becomes the older generation,
+from which words in use move to the new one, so memory does not grow with the vocabulary.
 """
 
 from __future__ import annotations
@@ -13,36 +15,64 @@ import gc
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 MARK = "~"
-CHUNK_CACHE, PIECE_CACHE, JOIN = 300_000, 400_000, 4096
+CHUNK_CACHE, PIECE_CACHE, JOIN = 150_000, 150_000, 4096
 CUT = b"\xff" * 4          # no id: parts the chunks of a batch
 # fixed value: the pre-tokenizer pattern of the vocabulary file, and the line end that parts chunks
 PATTERN = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_OPEN: dict[str, WordEncoder] = {}
+TAIL = r"([\pL\pN])([,.;:!?]+)(\s)"      # marks that are a piece of their own
+_OPEN: dict[tuple[str, bool], WordEncoder] = {}
+
+
+class _Cache:
+    """Two generations of at most ``bound`` entries, and what one batch adds."""
+
+    def __init__(self, bound: int, first: dict[str, bytes]):
+        self.bound, self.first, self.new, self.old = bound, first, dict(first), {}
+
+    def missing(self, words) -> set[str]:
+        """Words without an entry; the others are in the new generation afterwards."""
+        if len(self.new) > self.bound:
+            self.new, self.old = dict(self.first), self.new
+        out = set(words).difference(self.new)
+        kept = out.intersection(self.old)
+        self.new.update(zip(kept, map(self.old.__getitem__, kept), strict=True))
+        return out - kept
 
 
 class WordEncoder:
-    """``encode(texts)``: little-endian uint32 ids of each text, as bytes."""
+    """``encode(texts)``: little-endian uint32 ids of each text, as bytes.
 
-    def __init__(self, path: str):
+    With ``special`` (the tokenizer's default) the name of a special token in a text gives
+    its id, without it the ids of its letters.  Texts may be in any script.
+    """
+
+    def __init__(self, path: str, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()] if special else []
         self.mark = self.tok.encode(MARK, add_special_tokens=False).ids
-        if len(self.mark) != 1:
-            raise ValueError(f"{MARK!r} is not one token of {path}")
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        if len(self.mark) != 1 or any(len(s.split()) != 1 for s in self.special):
+            raise ValueError(f"{path}: {MARK!r} is not one token, or a special token holds white space")
+        # texts whose ids hang on case or on what follows a letter: combining marks (the dotted I becomes one) and special tokens
+        self.cased = "|".join([r"\pM|İ", *(f"(?i:{regex.escape(x)})" for x in self.special)])
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(256)}     # bytes as the merges spell them
+        self.chunks = _Cache(CHUNK_CACHE, {"": b""})
+        self.pieces = _Cache(PIECE_CACHE, {"\n": CUT})
         gc.set_threshold(200_000, 20, 100)      # the caches hold no cycles; walking them often costs more than encoding
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _together(self, words: list[str]) -> list[bytes]:
-        """Ids of words without white space; the mark's own id parts them."""
+        """Ids of words without blanks, special tokens or the mark; the mark's own id parts them."""
         out = []
         for at in range(0, len(words), JOIN):
             part = words[at:at + JOIN]
@@ -53,42 +83,63 @@ class WordEncoder:
             out += [raw[b:e] for b, e in zip(begins, ends, strict=True)]
         return out
 
-    def _fill(self, chunks: list[str]) -> None:
+    def _merge(self, pieces: list[str]) -> list[bytes]:
+        """Ids of lower-case Latin-1 pieces."""
+        merge, ids, ends = self.tok.model.tokenize, [], []
+        for p in pieces:
+            ids += [t.id for t in merge(p if p.isascii() and p.isprintable() else p.translate(self.letters))]
+            ends.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        return [raw[a:z] for a, z in zip([0, *ends], ends, strict=False)]
+
+    def _fill(self, chunks: set[str]) -> None:
         """Pieces of Latin-1 chunks are shared between chunks; others are encoded whole."""
-        joined = "\n".join(chunks)
-        try:
-            joined.encode("latin-1")
-        except UnicodeEncodeError:
-            wide = [c for c in chunks if c.isascii() is False and max(c) > "\xff"]
-            self.chunks.update((c, self._plain(c)) for c in wide)
-            chunks = sorted(set(chunks) - set(wide))
-            joined = "\n".join(chunks)
-        flat = PATTERN.findall(joined.lower())
-        if len(self.pieces) > PIECE_CACHE:
-            self.pieces.clear()
-        need = set(flat) - self.pieces.keys() - {"\n"}
-        easy = [p for p in need if MARK not in p]
-        self.pieces.update(zip(easy, self._together(easy), strict=True))
-        self.pieces.update((p, self._plain(p)) for p in need if MARK in p)
-        self.pieces["\n"] = CUT
-        self.chunks.update(zip(chunks, b"".join(map(self.pieces.__getitem__, flat)).split(CUT), strict=True))
+        known, joined = self.chunks.new, "\n".join(chunks)
+        odd = [x for x in self.special if x in joined]
+        hard = [c for c in chunks if any(x in c for x in odd)] if odd else []
+        if not joined.isascii():
+            wide = [c for c in chunks if not c.isascii() and max(c) > "\xff"]
+            hard += [c for c in wide if MARK in c]
+            easy = list(set(wide).difference(hard))
+            known.update(zip(easy, self._together(easy), strict=True))
+            chunks = chunks.difference(wide)
+        known.update((c, self._plain(c)) for c in hard)
+        rest = list(chunks.difference(hard))
+        if rest:
+            flat = PATTERN.findall("\n".join(rest).lower())
+            need = list(self.pieces.missing(flat))
+            self.pieces.new.update(zip(need, self._merge(need), strict=True))
+            known.update(zip(rest, b"".join(map(self.pieces.new.__getitem__, flat)).split(CUT), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.chunks) > CHUNK_CACHE:
-            self.chunks = {"": b""}
-        miss = set().union(*parts) - self.chunks.keys() if parts else set()
+        if not texts:
+            return []
+        column = pa.array([t or "" for t in texts], pa.large_string())
+        if not pc.any(pc.match_substring_regex(column, self.cased)).as_py():
+            # fewer distinct words: marks at a word's end apart, and one case
+            column = pc.ascii_lower(pc.replace_substring_regex(column, TAIL, r"\1 \2\3"))
+        parts = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()     # far faster than to_pylist
+        miss = self.chunks.missing(words)
         if miss:
-            self._fill(sorted(miss))
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+            self._fill(miss)
+        ids = pa.array(list(map(self.chunks.new.__getitem__, words)), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[parts.offsets.to_numpy()].tolist()
+        raw = ids.buffers()[2].to_pybytes() if ends[-1] else b""
+        return [raw[a:z] for a, z in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, special: bool = True) -> WordEncoder:
     """The worker process's encoder for a vocabulary file."""
-    if path not in _OPEN:
-        _OPEN[path] = WordEncoder(path)
-    return _OPEN[path]
+    if (path, special) not in _OPEN:
+        _OPEN[path, special] = WordEncoder(path, special)
+    return _OPEN[path, special]
+
+
+def close_encoders() -> None:
+    """Empty the worker's caches, for a task whose worker goes on with other work."""
+    _OPEN.clear()
 
 
 def in_steps(texts: list, step: int = 512, chars: int = 4_000_000):

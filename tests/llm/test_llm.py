@@ -37,9 +37,36 @@ def docs(spark):
 
 def test_encoder_gives_the_tokenizers_ids(docs):
     texts = [r.text for r in docs.select("text").limit(60).collect()]
-    texts += ["", "  a~b ~~ x~", "naïve café's don't ☃ 中文 ΑΣ İx\tq\r\nz\x1cy", "~"]
+    texts += ["", "  a~b ~~ x~", "naïve café's don't ☃ 中文 ΑΣ İx\tq\r\nz\x1cy", "~", "a <|endoftext|> b<|startoftext|>c <|EndOfText|>"]
+    for special in (True, False):
+        from tokenizers import Tokenizer
+        plain = Tokenizer.from_file(tokenizer())
+        plain.encode_special_tokens = not special
+        want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert WordEncoder(tokenizer(), special).encode(texts) == want
+        assert [WordEncoder(tokenizer(), special).encode([t])[0] for t in texts[60:]] == want[60:]
+    assert 49407 in np.frombuffer(WordEncoder(tokenizer()).encode(["a <|endoftext|> b"])[0], "<u4")
+
+
+def test_encoder_of_single_texts_in_any_script():
+    alone = ["Привет, мир!", "中文", "☃", "👩\u200d👧 ok", "ΑΣ, ς.", "İ! I\u0307 J\u030c", "\u0301x e\u0301,", "~☃ 中~", "\xa0\u3000\x85", "\x00 \x1c!", None]
     enc = WordEncoder(tokenizer())
-    assert WordEncoder(tokenizer()).encode(texts) == [enc._plain(t) for t in texts]
+    for t in alone:
+        assert WordEncoder(tokenizer()).encode([t]) == [enc._plain(t or "")]
+    rng = np.random.default_rng(9)
+    parts = ["ab", "É", " ", "~", "<|endoftext|>", "☃", "中", "кот", "\u0301", "\n", "'ll", "12", "½", "ß", "İ", "ﬁ", "Ａ", "!", ",", "Å", "\x1c"]
+    for _ in range(400):
+        t = "".join(rng.choice(parts, rng.integers(1, 12)))
+        assert enc.encode([t]) == [enc._plain(t)], t
+
+
+def test_encoder_caches_keep_what_is_in_use():
+    enc = WordEncoder(tokenizer())
+    enc.chunks.bound = enc.pieces.bound = 5
+    for i in range(40):
+        t = f"same words, word{i} Ünï{i} новое{i}"
+        assert enc.encode([t, t]) == [enc._plain(t)] * 2
+        assert len(enc.chunks.new) + len(enc.chunks.old) < 40
 
 
 def test_packing_round_trip(spark, docs, odd):
@@ -354,3 +381,60 @@ def test_attention_scores_each_id_once_and_causally():
             assert abs(logs[j] - (z[model.cls[ids[j]]] - np.log(np.exp(z).sum()))) < 1e-4
             assert abs(words[j] - (zw[ids[j] % 3] - np.log(np.exp(zw).sum()))) < 1e-4
     assert sorted(seen) == list(range(90))
+
+
+def _plain_kneser_ney(texts, order):
+    """Interpolated modified Kneser-Ney over bytes: {gram: probability} by direct counting."""
+    top = {}
+    for t in texts:
+        b = b" " * (order - 1) + b" ".join(t.lower().encode().split()) + b" "
+        if t.split():
+            for i in range(order - 1, len(b)):
+                g = b[i - order + 1:i + 1]
+                top[g] = top.get(g, 0) + 1
+    counts = {order: top}
+    for k in range(order - 1, 0, -1):
+        counts[k] = {}
+        for g in counts[k + 1]:
+            counts[k][g[1:]] = counts[k].get(g[1:], 0) + 1
+    cut = {}
+    for k, c in counts.items():
+        t = [sum(v == i for v in c.values()) for i in (1, 2, 3, 4)]
+        y = t[0] / (t[0] + 2 * t[1]) if t[0] else 0.5
+        cut[k] = [min(float(i + 1), max(0.0, i + 1 - (i + 2) * y * t[i + 1] / t[i])) if t[i] and t[i + 1] else 0.5 for i in range(3)]
+
+    def p(gram, k=order):
+        if not k:
+            return 1 / 256
+        low = p(gram, k - 1)
+        g, x = gram[len(gram) - k:], gram[len(gram) - k:-1]
+        same = [(h, c) for h, c in counts[k].items() if h[:-1] == x]
+        total = sum(c for _, c in same)
+        if not total:
+            return low
+        d = lambda c: cut[k][min(c, 3) - 1]
+        c = counts[k].get(g, 0)
+        return (c - d(c) if c else 0) / total + sum(d(c) for _, c in same) / total * low
+    return p
+
+
+def test_perplexities_equal_plain_kneser_ney(spark):
+    texts = ["the cat sat on the mat", "The cat  ate the rat\n", "a mat sat", "that hat, that cat", "été à la mer"]
+    other = [*texts, "the bat zzz", "", None, "  a\tcat"]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(5)], "doc_id long, quality int, id int")
+    frame = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(other)], "doc_id long, text string, lang string")
+    for order in (2, 4):
+        p = _plain_kneser_ney(texts, order)
+        want = {}
+        for i, t in enumerate(other):
+            b = b" ".join((t or "").lower().encode().split()) + b" " if (t or "").split() else b""
+            b = b" " * (order - 1) + b
+            logs = [np.log10(p(b[j - order + 1:j + 1])) for j in range(order - 1, len(b))]
+            want[i] = (len(logs), 10 ** (-sum(logs) / len(logs)) if logs else None)
+        got = quality.classify_quality(frame, labels, order=order, prior=0).collect()
+        for r in got:
+            n, perplexity = want[r.doc_id]
+            assert r.n_grams == n and (r.perplexity is None if perplexity is None else abs(r.perplexity / perplexity - 1) < 1e-9), (r, want)
+    for order in (0, 7):
+        with pytest.raises(ValueError):
+            quality.classify_quality(frame, labels, order=order)
