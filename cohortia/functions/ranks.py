@@ -1,12 +1,13 @@
 """Distributed prefix sums, dense indexes and exact quantiles.
 
 A global ``Window.orderBy`` without ``partitionBy`` moves every row into one
-task.  Instead the ordered column is cut into ``buckets`` value ranges
-(min/max are exact aggregates, so the cut is deterministic and identical on
-recomputation; ranges are equal on a log1p scale so heavy tails spread out), each range's total is summed, the totals' running offsets
-are computed over the tiny (keys × buckets) table, and the running sum inside
-a range is a window partitioned by (keys, bucket).  Every task holds one
-value range, never the whole column.
+task.  Instead the ordered column is cut into ``buckets`` ranges at its own
+quantiles, found by one pass of a mergeable quantile sketch, so that ranges hold
+about the same number of rows whatever the distribution.  The cuts are fixed in the
+plan as one literal: the totals of the ranges and the windows inside them see the
+same ranges.  Each range's total is summed, the totals' running offsets are computed
+over the tiny (keys × buckets) table, and the running sum inside a range is a
+window partitioned by (keys, bucket).  Every task holds one range, never the whole column.
 
 The inputs here are already de-duplicated (one row per distinct value, or
 per user), so a hot value cannot overload a range.
@@ -17,39 +18,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortia.functions.metrics import scalars
 from cohortia.session import materialize
 
 DEFAULT_BUCKETS = 1024
+ACCURACY = 10           # a cut is off by less than 1 / (ACCURACY * buckets) of the rows on either side
 
 
-def _spread(c: Column) -> Column:
-    """Monotone sign(v)·log1p(|v|): order-preserving, so range cuts stay exact, but a
-    heavy tail or one extreme outlier no longer squeezes the bulk into one range."""
-    v = c.cast("double")
-    return F.signum(v) * F.log1p(F.abs(v))
+def range_cuts(df: DataFrame, order_col: str, buckets: int = DEFAULT_BUCKETS) -> Column:
+    """Array literal of the distinct cuts (fewer than ``buckets``) between ranges of about the
+    same number of rows; only the cuts reach the driver."""
+    kind = df.schema[order_col].dataType.simpleString()
 
+    def literal(values) -> Column:          # one foldable expression, however many values
+        return F.split(F.lit(",".join(str(v) for v in values)), ",")
 
-def _bucket(col: Column, lo: Column, hi: Column, buckets: int) -> Column:
-    t, tlo, thi = _spread(col), _spread(lo), _spread(hi)
-    pos = F.try_divide(t - tlo, thi - tlo) * buckets
-    return F.least(F.greatest(F.coalesce(F.floor(pos), F.lit(0)), F.lit(0)),
-                   F.lit(buckets - 1)).cast("int")
+    probs = literal(i / buckets for i in range(1, buckets)).cast("array<double>")
+    cuts = df.agg(F.array_distinct(F.percentile_approx(order_col, probs, ACCURACY * buckets))).first()[0] or []
+    return literal(cuts).cast(f"array<{kind}>") if cuts else F.array().cast(f"array<{kind}>")
+
+
+def range_index(col: str | Column, cuts: Column) -> Column:
+    """Number of ``cuts`` that are ≤ the value, by halving: 0 for values before the first cut."""
+    c = F.col(col) if isinstance(col, str) else col
+    lo, hi = F.lit(0), F.size(cuts)
+
+    def halve(state, _):
+        mid = ((state["lo"] + state["hi"]) / 2).cast("int")
+        done = state["lo"] >= state["hi"]
+        right = F.get(cuts, mid) <= c
+        return F.struct(F.when(~done & right, mid + 1).otherwise(state["lo"]).alias("lo"),
+                        F.when(~done & ~right, mid).otherwise(state["hi"]).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 1.0)).cast("int"))
+    return F.aggregate(steps, F.struct(lo.alias("lo"), hi.alias("hi")), halve, lambda s: s["lo"])
 
 
 def prefix_sum(df: DataFrame, order_col: str, sum_col: str, keys: tuple[str, ...] = (),
                out: str = "cum_before", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``out`` = Σ ``sum_col`` over rows of the same ``keys`` with a smaller
-    ``order_col`` (``order_col`` must be unique within ``keys``)."""
+    ``order_col`` (``order_col`` must be unique within ``keys``).
+
+    The cuts are those of the whole column: a range of one key is part of a range of all rows,
+    so no window holds more than that, and keys of few rows need no cuts of their own.
+    ``df`` is read by the sketch, the totals and the windows: pass a written frame.
+    """
     keys = tuple(keys)
-    rng = df.groupBy(*keys).agg(F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"))
-    if keys:
-        x = df.join(rng, list(keys))
-    else:
-        r = scalars(df, _lo=F.min(order_col), _hi=F.max(order_col))
-        x = df.select("*", r["_lo"].alias("_lo"), r["_hi"].alias("_hi"))
-    x = x.withColumn("_b", _bucket(F.col(order_col), F.col("_lo"), F.col("_hi"), buckets)) \
-         .drop("_lo", "_hi")
+    x = df.withColumn("_b", range_index(order_col, range_cuts(df, order_col, buckets)))
     tot = x.groupBy(*keys, "_b").agg(F.sum(sum_col).alias("_bt"))
     off = tot.select(*keys, "_b", F.coalesce(
         F.sum("_bt").over(Window.partitionBy(*keys).orderBy("_b")

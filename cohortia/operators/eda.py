@@ -299,7 +299,7 @@ def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
         parts.append(pts.where(F.col("pair").isin(*int_pairs)).join(meta, "pair").select(
             "pair", "y", "w", (F.col("x") - F.col("x_min")).cast("long").alias("p"), "levels"))
     if rank_pairs:  # other x: p = dense rank of x (distributed prefix sum over distinct x)
-        ranks = prefix_sum(per_x.where(F.col("pair").isin(*rank_pairs)).withColumn("one", F.lit(1)),
+        ranks = prefix_sum(materialize(per_x.where(F.col("pair").isin(*rank_pairs)).select("pair", "x", F.lit(1).alias("one"))),
                            "x", "one", ("pair",), out="p").select("pair", "x", "p")
         parts.append(pts.where(F.col("pair").isin(*rank_pairs)).join(ranks, ["pair", "x"])
                      .join(meta, "pair").select("pair", "y", "w", "p", "levels"))
@@ -308,10 +308,10 @@ def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
                     F.explode(F.sequence(F.lit(0), F.col("levels") - 1)).alias("level"))
     lv = lv.select("pair", "level", "y", "w", F.expr("shiftright(p, level + 1)").alias("blk"),
                    F.expr("shiftright(p, level) & 1").alias("side"))
-    cells = (lv.groupBy("pair", "level", "blk", "y")
-             .agg(F.sum(F.when(F.col("side") == 0, F.col("w")).otherwise(0)).alias("lw"),
-                  F.sum(F.when(F.col("side") == 1, F.col("w")).otherwise(0)).alias("rw"))
-             .withColumn("neg_y", -F.col("y")))
+    cells = materialize(lv.groupBy("pair", "level", "blk", "y")
+                        .agg(F.sum(F.when(F.col("side") == 0, F.col("w")).otherwise(0)).alias("lw"),
+                             F.sum(F.when(F.col("side") == 1, F.col("w")).otherwise(0)).alias("rw"))
+                        .withColumn("neg_y", -F.col("y")))
     above = prefix_sum(cells, "neg_y", "lw", ("pair", "level", "blk"), out="left_above")
     disc = above.groupBy("pair").agg(F.sum(F.col("rw").cast("double") * F.col("left_above")).alias("D"))
     n1 = per_x.groupBy("pair").agg(F.sum(F.col("tx").cast("double") * (F.col("tx") - 1) / 2).alias("n1"))

@@ -208,7 +208,7 @@ def aa_simulation(spark: SparkSession, users: DataFrame, a: int, b: int, value:
     user by an equi-join on the index, hashed on the pool's side.  The simulated
     draws are aggregated by (sim, sample) with partial sums.
     """
-    pool = users.where(F.col("exp_group").isin(a, b) & F.col(value).isNotNull())
+    pool = materialize(users.where(F.col("exp_group").isin(a, b) & F.col(value).isNotNull()).select("exp_group", "user_id", value))
     draws = (spark.range(n_tests).withColumnRenamed("id", "sim")
              .select("sim", F.explode(F.array(F.lit(0), F.lit(1))).alias("sample"))
              .select("sim", "sample", draw_state(seed, F.col("sim"), F.col("sample")).alias("state"))
