@@ -65,14 +65,15 @@ def prefix_sum(df: DataFrame, order_col: str, sum_col: str, keys: tuple[str, ...
     keys = tuple(keys)
     x = df.withColumn("_b", range_index(order_col, range_cuts(df, order_col, buckets)))
     tot = x.groupBy(*keys, "_b").agg(F.sum(sum_col).alias("_bt"))
-    off = tot.select(*keys, "_b", F.coalesce(
+    off = tot.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_ob"), F.coalesce(
         F.sum("_bt").over(Window.partitionBy(*keys).orderBy("_b")
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    x = x.join(off, [*keys, "_b"])
+    same = [F.col("_b") == F.col("_ob"), *[F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]]
+    x = x.join(off, same)               # a null key is a key
     inner = Window.partitionBy(*keys, "_b").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, -1)
     return (x.withColumn(out, F.col("_off") + F.coalesce(F.sum(sum_col).over(inner), F.lit(0)))
-            .drop("_b", "_off"))
+            .drop("_b", "_ob", "_off", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def dense_index(df: DataFrame, order_col: str, keys: tuple[str, ...] = (), out: str = "idx",

@@ -127,6 +127,28 @@ def norm_sf_col(z: Column) -> Column:
     return _norm_sf_udf(z.cast("double"))
 
 
+def exact_u_counts(n: Column, m: Column) -> Column:
+    """Array over u = 0…n·m: in how many of the C(n+m, n) orders of two samples without ties
+    U is u.  The counts are the coefficients of Π_{i=1..n} (1 − q^(m+i)) / (1 − q^i), folded factor
+    by factor: a multiplication takes away the entry m+i places before, a division adds
+    up with the entry i places before.  Meant for small samples: n·m + 1 entries."""
+    one = F.transform(F.sequence(F.lit(0), (n * m).cast("int")), lambda u: F.when(u == 0, 1).otherwise(0).cast("long"))
+
+    def factor(a, i):
+        less = F.transform(a, lambda x, u: x - F.coalesce(F.get(a, u - (m + i).cast("int")), F.lit(0)))
+        return F.aggregate(less, F.array().cast("array<bigint>"), lambda done, x: F.concat(
+            done, F.array(x + F.coalesce(F.get(done, F.size(done) - i), F.lit(0)))))
+
+    return F.aggregate(F.sequence(F.lit(1), n.cast("int")), one, factor)
+
+
+def exact_u_sf(n: Column, m: Column, u: Column) -> Column:
+    """P(U ≥ u) of samples of n and m values without ties."""
+    counts = exact_u_counts(n, m)
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda s, x: s + x)
+    return total(F.slice(counts, F.ceil(u).cast("int") + 1, F.size(counts))) / total(counts).cast("double")
+
+
 def welch_columns(n_a: Column, m_a: Column, v_a: Column, n_b: Column, m_b: Column,
                   v_b: Column) -> tuple[Column, Column]:
     """Welch t and Satterthwaite df from per-group count, mean and sample variance."""

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia.functions.hashing import draw, draw_index, draw_state, md5_bucket, poisson_weight
-from cohortia.functions.metrics import ratio
+from cohortia.functions.metrics import ratio, scalars
 from cohortia.functions.ranks import dense_index, prefix_sum
-from cohortia.functions.stats import norm_sf_col, t_pvalue_col, welch_columns
+from cohortia.functions.stats import exact_u_sf, norm_sf_col, t_pvalue_col, welch_columns
 from cohortia.functions.timefn import date_lit, day
 from cohortia.session import materialize
 
@@ -117,44 +117,75 @@ def welch_ttest(df: DataFrame, value: str, group_col: str, a, b) -> DataFrame:
 
 # ---------------------------------------------------------------- Mann–Whitney U
 
+def _u_statistics(df: DataFrame, value: str, group_col: str, a, b, keys: tuple[str, ...]) -> DataFrame:
+    """(keys…, n_a, n_b, u_a, tie_term, n_dropped_a, n_dropped_b): one row per key with a value."""
+    v = F.col(value)
+    ga, gb = F.col(group_col) == F.lit(a), F.col(group_col) == F.lit(b)
+    cnt = materialize(df.where(ga | gb).groupBy(*keys, value).agg(F.count_if(ga).alias("n1"), F.count_if(gb).alias("n2")))
+    cum = prefix_sum(cnt.where(v.isNotNull()), value, "n2", keys, out="c2")
+    s = cum.groupBy(*keys).agg(
+        F.sum("n1").alias("n_a"), F.sum("n2").alias("n_b"),
+        F.sum(F.col("n1") * (F.col("c2") + F.col("n2") / 2.0)).alias("u_a"),
+        F.sum(F.pow((F.col("n1") + F.col("n2")).cast("double"), 3)
+              - (F.col("n1") + F.col("n2"))).alias("tie_term"))
+    # rows without a value are one row per key of the counts
+    none = cnt.where(v.isNull())
+    if not keys:
+        d = scalars(none, a=F.coalesce(F.sum("n1"), F.lit(0)), b=F.coalesce(F.sum("n2"), F.lit(0)))
+        return s.select("*", d["a"].alias("n_dropped_a"), d["b"].alias("n_dropped_b"))
+    none = none.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("n1").alias("_n1"), F.col("n2").alias("_n2"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return s.join(none, same, "left").select(
+        *s.columns, F.coalesce("_n1", F.lit(0)).alias("n_dropped_a"), F.coalesce("_n2", F.lit(0)).alias("n_dropped_b"))
+
+
 def mann_whitney_stats(df: DataFrame, value: str, group_col: str, a, b,
-                       keys: tuple[str, ...] = ()) -> DataFrame:
+                       keys: tuple[str, ...] = (), details: bool = False) -> DataFrame:
     """T3 statistics: U_a = Σ_v n_a(v)·(n_b(<v) + n_b(v)/2), tie-corrected σ, z values.
 
     Distinct values and their per-sample counts come from one partial
     aggregation (written once: every pass below reads it); n_b(<v) is a
     distributed prefix sum.  z uses SciPy's asymptotic form with continuity
     correction: for 'greater' U = U_a, for 'less' U = U_b, for 'two-sided'
-    U = max(U_a, U_b).  ``keys`` runs many tests at once (one row per key).
+    U = max(U_a, U_b).  ``keys`` runs many tests at once (one row per key).  ``details`` adds
+    ``tied`` (does a value occur twice?) and the numbers of rows without a value, which take no part.
     """
     keys = tuple(keys)
-    v = F.col(value)
-    ga, gb = F.col(group_col) == F.lit(a), F.col(group_col) == F.lit(b)
-    cnt = materialize(df.where(v.isNotNull() & (ga | gb)).groupBy(*keys, value)
-                      .agg(F.count_if(ga).alias("n1"), F.count_if(gb).alias("n2")))
-    cum = prefix_sum(cnt, value, "n2", keys, out="c2")
-    s = cum.groupBy(*keys).agg(
-        F.sum("n1").alias("n_a"), F.sum("n2").alias("n_b"),
-        F.sum(F.col("n1") * (F.col("c2") + F.col("n2") / 2.0)).alias("u_a"),
-        F.sum(F.pow((F.col("n1") + F.col("n2")).cast("double"), 3)
-              - (F.col("n1") + F.col("n2"))).alias("tie_term"))
+    s = _u_statistics(df, value, group_col, a, b, keys)
     n_a, n_b = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = n_a + n_b
     mu = n_a * n_b / 2.0
-    sigma = F.sqrt(n_a * n_b / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
+    sigma = F.sqrt(n_a * n_b / 12.0 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
     u_b = n_a * n_b - F.col("u_a")
+    more = [(F.col("tie_term") > 0).alias("tied"), "n_dropped_a", "n_dropped_b"] if details else []
     s = s.select(*keys, F.lit(str(a)).alias("group_a"), F.lit(str(b)).alias("group_b"),
-                 "n_a", "n_b", "u_a", u_b.alias("u_b"), mu.alias("mu"), sigma.alias("sigma"))
+                 "n_a", "n_b", "u_a", u_b.alias("u_b"), mu.alias("mu"), sigma.alias("sigma"), *more)
     z = lambda u: F.try_divide(u - F.col("mu") - 0.5, F.col("sigma"))
     return s.select("*", z(F.col("u_a")).alias("z_greater"), z(F.col("u_b")).alias("z_less"),
                     z(F.greatest("u_a", "u_b")).alias("z_two_sided"))
 
 
-def mann_whitney(df: DataFrame, value: str, group_col: str, a, b) -> DataFrame:
-    s = mann_whitney_stats(df, value, group_col, a, b)
-    return s.select("*", norm_sf_col(F.col("z_greater")).alias("p_greater"),
-                    norm_sf_col(F.col("z_less")).alias("p_less"),
-                    F.least(F.lit(1.0), 2 * norm_sf_col(F.col("z_two_sided"))).alias("p_two_sided"))
+def with_exact_u_pvalues(stats: DataFrame, exact_max: int = 8) -> DataFrame:
+    """Add exact_greater / exact_less / exact_two_sided to detailed U statistics: the share of
+    all orders of both samples with such a U.  Null with ties, an empty sample, or more than ``exact_max`` values in either."""
+    usable = ~F.col("tied") & (F.least("n_a", "n_b") > 0) & (F.greatest("n_a", "n_b") <= exact_max)
+    up = exact_u_sf(F.col("n_a"), F.col("n_b"), F.col("u_a"))
+    down = exact_u_sf(F.col("n_a"), F.col("n_b"), F.col("u_b"))
+    s = stats.select("*", F.when(usable, up).alias("exact_greater"), F.when(usable, down).alias("exact_less"))
+    return s.select("*", F.least(F.lit(1.0), 2 * F.least("exact_greater", "exact_less")).alias("exact_two_sided")) \
+        .withColumn("exact_two_sided", F.when(F.col("exact_greater").isNotNull(), F.col("exact_two_sided")))
+
+
+def mann_whitney(df: DataFrame, value: str, group_col: str, a, b, keys: tuple[str, ...] = (),
+                 exact_max: int = 8) -> DataFrame:
+    """U test with p-values: exact for samples without ties of at most ``exact_max`` values
+    each, the normal approximation beyond; ``exact`` tells which, ``n_dropped_*`` what took no part."""
+    s = with_exact_u_pvalues(mann_whitney_stats(df, value, group_col, a, b, keys, details=True), exact_max)
+    p = lambda name, tail: F.coalesce(f"exact_{name}", tail).alias(f"p_{name}")
+    return s.select("*", F.col("exact_greater").isNotNull().alias("exact"),
+                    p("greater", norm_sf_col(F.col("z_greater"))), p("less", norm_sf_col(F.col("z_less"))),
+                    p("two_sided", F.least(F.lit(1.0), 2 * norm_sf_col(F.col("z_two_sided"))))) \
+        .drop("exact_greater", "exact_less", "exact_two_sided")
 
 
 # ---------------------------------------------------------------- resampling

@@ -168,6 +168,40 @@ def q_mann_whitney_posts(spark, d):
     return ex.mann_whitney_stats(_users(spark, d, AB), "posts", "exp_group", AB[1], AB[0])
 
 
+# Small tie-free samples: mean second of the day of each user's feed actions, by country and city.
+_SECONDS_SQL = f"""
+SELECT country, city, exp_group, user_id, avg(hour(time) * 3600 + minute(time) * 60 + second(time)) AS seconds
+FROM feed_actions WHERE CAST(time AS DATE) BETWEEN DATE '{START}' AND DATE '{END}' AND exp_group IN ({AB[0]}, {AB[1]})
+GROUP BY country, city, exp_group, user_id"""
+
+
+@register("mann_whitney_exact", f"""
+WITH d AS ({_SECONDS_SQL}),
+pairs AS (SELECT x.country, x.city, count(*) FILTER (WHERE x.seconds > y.seconds) + count(*) FILTER (WHERE x.seconds = y.seconds) / 2 AS u_a
+          FROM d x JOIN d y ON x.country = y.country AND x.city = y.city AND x.exp_group = {AB[1]} AND y.exp_group = {AB[0]}
+          GROUP BY x.country, x.city),
+k AS (SELECT country, city, count(*) FILTER (WHERE exp_group = {AB[1]}) AS n_a, count(*) FILTER (WHERE exp_group = {AB[0]}) AS n_b,
+             count(DISTINCT seconds) < count(*) AS tied FROM d GROUP BY country, city),
+s AS (SELECT k.*, coalesce(u_a, 0.0) AS u_a FROM k LEFT JOIN pairs USING (country, city)),
+sizes AS (SELECT DISTINCT n_a, n_b FROM s WHERE NOT tied AND n_a BETWEEN 1 AND 8 AND n_b BETWEEN 1 AND 8),
+-- every order of two samples is a set of places of the first: U counts the places before them that it leaves free
+orders AS (SELECT n_a, n_b, list_sum(list_transform(range(n_a + n_b), lambda i: i * ((x >> i) & 1))) - n_a * (n_a - 1) // 2 AS u
+           FROM sizes, range(65536) AS t(x) WHERE x < (1 << (n_a + n_b)) AND bit_count(x) = n_a),
+share AS (SELECT s.country, s.city, avg(CAST(u >= u_a AS DOUBLE)) AS up, avg(CAST(u <= u_a AS DOUBLE)) AS down
+          FROM s JOIN orders USING (n_a, n_b) WHERE NOT tied GROUP BY s.country, s.city)
+SELECT s.country, s.city, n_a, n_b, u_a, tied, up AS exact_greater, down AS exact_less,
+       CASE WHEN up IS NOT NULL THEN least(1.0, 2 * least(up, down)) END AS exact_two_sided
+FROM s LEFT JOIN share USING (country, city)""", doubles=("u_a", "exact_greater", "exact_less", "exact_two_sided"))
+def q_mann_whitney_exact(spark, d):
+    f, _ = load_events(spark, d)
+    f = f.where(F.to_date("time").between(F.lit(START), F.lit(END)) & F.col("exp_group").isin(*AB))
+    users = f.groupBy("country", "city", "exp_group", "user_id").agg(
+        F.avg(F.hour("time") * 3600 + F.minute("time") * 60 + F.second("time")).alias("seconds"))
+    stats = ex.mann_whitney_stats(users, "seconds", "exp_group", AB[1], AB[0], ("country", "city"), details=True)
+    return ex.with_exact_u_pvalues(stats).select("country", "city", "n_a", "n_b", "u_a", "tied", "exact_greater", "exact_less",
+                                                 "exact_two_sided")
+
+
 # The draws once more, from their definition: p is the prime, d the number of draws.
 _P, _D = 2 ** 31 - 1, (2 ** 31 - 1) ** 2
 
