@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cohortia.functions.metrics import ratio, scalars
@@ -247,6 +247,71 @@ def seasonal_decompose(series: DataFrame, ts: str = "day_h", value: str = "actio
                       (F.col("observed") - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
+def local_line(y: Column, weight: Column, x: Column, window: WindowSpec) -> Column:
+    """Weighted least-squares line through the rows of ``window``, at the row's own ``x``.
+
+    Five window sums, shifted to the row, give the line in closed form.  Where the weights leave
+    fewer than two places it is the weighted mean, where they leave none the plain mean."""
+    s0, s1, s2, b0, b1 = (F.sum(v).over(window) for v in (weight, weight * x, weight * x * x, weight * y, weight * x * y))
+    a1, a2, c1 = s1 - x * s0, s2 - 2 * x * s1 + x * x * s0, b1 - x * b0
+    det = s0 * a2 - a1 * a1
+    return F.when(det > 1e-6 * s0 * s0, F.try_divide(a2 * b0 - a1 * c1, det)).otherwise(
+        F.coalesce(F.try_divide(b0, s0), F.avg(y).over(window)))
+
+
+def robust_decompose(series: DataFrame, ts: str = "day_h", value: str = "actions", keys: tuple[str, ...] = (),
+                     period: int = 24, trend_span: int = 24, cycles: int = 7, inner: int = 2,
+                     robust_rounds: int = 2) -> DataFrame:
+    """T10, robust: (keys…, ts, observed, trend, seasonal, resid, weight) of hourly series.
+
+    Hours without rows count as 0 (dense calendar per key).  ``inner`` times in turn, the trend is
+    the local line of what the season leaves, ``trend_span`` hours either way, and the season the local
+    line of what the trend leaves at the same hour of the period, ``cycles`` periods either way,
+    centred per period from the first hour on (an unfinished one belongs to the last).  After each of ``robust_rounds`` rounds an hour's weight becomes
+    (1 − (r / 6·median|r|)²)² of its residual r, 0 from six medians on, and all is fitted
+    again: an outlier loses its say in trend and season and stays in its own residual.
+
+    A series is one key's hours, bounded by the calendar; keys are dealt over the tasks, and no
+    series leaves the JVM.  Each round is written once, as the median and the next fit both read it.
+    Null values count as 0 and repeated hours are added up; an empty series has no rows.
+    """
+    keys = tuple(keys)
+    series = materialize(series.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.sum(value).alias("_v")))
+    span = series.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+    cal = span.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                      F.posexplode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias("_t", "_ts"))
+    same = [F.col(ts) == F.col("_ts"), *[F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]]
+    x = cal.join(series, same, "left").select(
+        *[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], F.col("_ts").alias(ts), F.col("_t").cast("double").alias("_t"),
+        F.coalesce("_v", F.lit(0)).cast("double").alias("observed"), F.lit(0.0).alias("trend"), F.lit(0.0).alias("seasonal"),
+        F.lit(1.0).alias("weight"))
+    whole = F.floor(F.count(F.lit(1)).over(Window.partitionBy(*keys)) / period)
+    x = x.withColumn("_c", F.least(F.floor(F.col("_t") / period), F.greatest(whole - 1, F.lit(0))))
+    near = Window.partitionBy(*keys).orderBy("_t").rowsBetween(-trend_span, trend_span)
+    phase = Window.partitionBy(*keys, "_p").orderBy("_t").rowsBetween(-cycles, cycles)
+    r, t, w = F.col("observed") - F.col("trend") - F.col("seasonal"), F.col("_t"), F.col("weight")
+    for step in range(robust_rounds + 1):
+        for _ in range(inner):
+            x = x.withColumn("trend", local_line(F.col("observed") - F.col("seasonal"), w, t, near))
+            x = x.withColumn("_p", F.pmod(t, F.lit(float(period))))
+            x = x.withColumn("seasonal", local_line(F.col("observed") - F.col("trend"), w, t, phase))
+            x = x.withColumn("seasonal", F.col("seasonal") - F.avg("seasonal").over(Window.partitionBy(*keys, "_c")))
+        if step == robust_rounds:
+            break
+        x = materialize(x)
+        limit = x.groupBy(*keys).agg((6 * F.median(F.abs(r))).alias("_s"))
+        if keys:
+            limit = limit.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_s")
+            same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+            x = x.join(limit, same).drop(*[f"_k{i}" for i in range(len(keys))])
+        else:
+            x = x.withColumn("_s", limit.scalar())
+        share = F.try_divide(F.abs(r), F.col("_s"))
+        x = x.withColumn("weight", F.when(F.col("_s") == 0, (r == 0).cast("double")).when(
+            share < 1, F.pow(1 - share * share, F.lit(2.0))).otherwise(0.0)).drop("_s")
+    return x.select(*keys, ts, "observed", "trend", "seasonal", r.alias("resid"), "weight")
+
+
 # ---------------------------------------------------------------- Kendall rank correlation
 
 def kendall_pairs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:

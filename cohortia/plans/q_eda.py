@@ -240,6 +240,49 @@ def q_seasonal_decompose(spark, d):
     return eda.seasonal_decompose(eda.hourly_activity(_posts(spark, d)), "day_h", "actions")
 
 
+def _robust_sql(key: str, inner: int = 2, robust_rounds: int = 2) -> str:
+    """The rounds of the robust decomposition as a chain of tables, one local regression each."""
+    def line(y: str, w: str) -> str:        # regr by moments about the row itself
+        m = {n: f"sum({v}) OVER {w}" for n, v in (("s0", "weight"), ("s1", "weight * t"), ("s2", "weight * t * t"),
+                                                  ("b0", f"weight * ({y})"), ("b1", f"weight * t * ({y})"))}
+        return "SELECT *, " + ", ".join(f"{v} AS {n}" for n, v in m.items()) + f", avg({y}) OVER {w} AS plain"
+
+    at = """CASE WHEN s0 * (s2 - 2 * t * s1 + t * t * s0) - (s1 - t * s0) * (s1 - t * s0) > 1e-6 * s0 * s0
+        THEN ((s2 - 2 * t * s1 + t * t * s0) * b0 - (s1 - t * s0) * (b1 - t * b0))
+             / (s0 * (s2 - 2 * t * s1 + t * t * s0) - (s1 - t * s0) * (s1 - t * s0))
+        ELSE coalesce(b0 / nullif(s0, 0), plain) END"""
+    steps, last = [], "x0"
+    for k in range(1, (robust_rounds + 1) * inner + 1):
+        steps.append(f"""
+t{k} AS (SELECT k, h, t, c, observed, weight, seasonal, {at} AS trend FROM ({line('observed - seasonal', 'w')} FROM {last}
+    WINDOW w AS (PARTITION BY k ORDER BY t ROWS BETWEEN 24 PRECEDING AND 24 FOLLOWING))),
+s{k} AS (SELECT k, h, t, c, observed, weight, trend, {at} AS s FROM ({line('observed - trend', 'w')} FROM t{k}
+    WINDOW w AS (PARTITION BY k, t % 24 ORDER BY t ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING))),
+x{k} AS MATERIALIZED (SELECT k, h, t, c, observed, weight, trend, s - avg(s) OVER (PARTITION BY k, c) AS seasonal FROM s{k})""")
+        last = f"x{k}"
+        if k % inner == 0 and k < (robust_rounds + 1) * inner:
+            steps.append(f"""
+w{k} AS MATERIALIZED (SELECT x.* REPLACE (CASE WHEN m = 0 THEN CAST(observed = trend + seasonal AS DOUBLE)
+        WHEN abs(observed - trend - seasonal) < m THEN power(1 - power(abs(observed - trend - seasonal) / m, 2), 2) ELSE 0.0 END AS weight)
+    FROM {last} x JOIN (SELECT k, 6 * median(abs(observed - trend - seasonal)) AS m FROM {last} GROUP BY k) USING (k))""")
+            last = f"w{k}"
+    return f"""
+WITH e AS (SELECT {key} AS k, date_trunc('hour', time) AS h, count(user_id) AS n FROM feed_actions GROUP BY 1, 2),
+cal AS (SELECT k, unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM e GROUP BY k),
+x0 AS MATERIALIZED (SELECT cal.k, cal.h, CAST(row_number() OVER (PARTITION BY cal.k ORDER BY cal.h) - 1 AS DOUBLE) AS t,
+       least((row_number() OVER (PARTITION BY cal.k ORDER BY cal.h) - 1) // 24, greatest(count(*) OVER (PARTITION BY cal.k) // 24 - 1, 0)) AS c,
+       CAST(coalesce(n, 0) AS DOUBLE) AS observed, 0.0::DOUBLE AS seasonal, 1.0::DOUBLE AS weight
+       FROM cal LEFT JOIN e ON cal.k = e.k AND cal.h = e.h),{','.join(steps)}
+SELECT k AS {key}, h AS day_h, observed, trend, seasonal, observed - trend - seasonal AS resid, weight FROM {last}"""
+
+
+@register("seasonal_decompose_robust", _robust_sql("country"), doubles=("observed", "trend", "seasonal", "resid", "weight"))
+def q_seasonal_decompose_robust(spark, d):
+    f = _posts(spark, d)
+    hourly = f.groupBy("country", F.date_trunc("hour", "time").alias("day_h")).agg(F.count("user_id").alias("actions"))
+    return eda.robust_decompose(hourly, "day_h", "actions", ("country",))
+
+
 @register("preview_events")
 def q_preview_events(spark, d):
     """S3: ``SELECT * … LIMIT 5`` over the feed (the limit is the feature; no oracle
