@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions.metrics import ratio
 from cohortia.functions.timefn import as_date, date_lit, day, hm, on_days, slot15
+from cohortia.session import materialize
 
 
 def filter_slice(df: DataFrame, **dims) -> DataFrame:
@@ -68,14 +69,13 @@ def audience_distribution(events: DataFrame, dim: str, start=None, end=None) ->
         ev = ev.where(day() >= date_lit(start))
     if end is not None:
         ev = ev.where(day() <= date_lit(end))
-    # one pass: rollup gives per-value and overall distinct users together
-    r = (ev.rollup(F.col(dim).alias("value"))
-         .agg(F.countDistinct("user_id").alias("users"), F.grouping_id().alias("_g")))
-    total = F.max(F.when(F.col("_g") == 1, F.col("users"))).over(Window.partitionBy())
-    # the window runs over the rolled-up result: one row per value of ``dim``
-    return (r.select("value", "users", "_g", total.alias("_total")).where(F.col("_g") == 0)
-            .select(F.lit(dim).alias("dimension"), "value", "users",
-                    F.try_divide(F.col("users").cast("double"), F.col("_total")).alias("share")))
+    # one pass: rollup gives per-value and overall distinct users together; written once, as
+    # the values read the overall row
+    r = materialize(ev.rollup(F.col(dim).alias("value"))
+                    .agg(F.countDistinct("user_id").alias("users"), F.grouping_id().alias("_g")))
+    total = r.where(F.col("_g") == 1).select("users").scalar()
+    return r.where(F.col("_g") == 0).select(
+        F.lit(dim).alias("dimension"), "value", "users", F.try_divide(F.col("users").cast("double"), total).alias("share"))
 
 
 def kpi_card(feed: DataFrame, on_day) -> DataFrame:

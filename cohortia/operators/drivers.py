@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions.timefn import as_date, date_lit, day, on_days
+from cohortia.session import materialize
 
 DEFAULT_DIMS = ("country", "city", "os", "source", "hour")
 
@@ -44,13 +45,13 @@ def metric_drop_by_dimension(events: DataFrame, on_day, base: str = "day",
         F.struct(F.lit(None).cast("string").alias("dimension"), F.lit(None).cast("string").alias("value"))))
     pairs = (ev.select("user_id", day().alias("day"), melted.alias("dv"))
              .select("user_id", "day", "dv.dimension", "dv.value").distinct())
-    agg = (pairs.groupBy("dimension", "value")
-           .agg(F.count_if(F.col("day") == date_lit(d)).alias("users_day"),
-                F.count_if(F.col("day") == date_lit(b)).alias("users_base")))
+    # one row per dimension value, written once, as the values read the overall row
+    agg = materialize(pairs.groupBy("dimension", "value")
+                      .agg(F.count_if(F.col("day") == date_lit(d)).alias("users_day"),
+                           F.count_if(F.col("day") == date_lit(b)).alias("users_base")))
     delta = F.col("users_day") - F.col("users_base")
-    # the window runs over the aggregated result (one row per dimension value)
-    tot = F.max(F.when(F.col("dimension").isNull(), delta)).over(Window.partitionBy())
-    return (agg.select("*", tot.alias("_tot")).where(F.col("dimension").isNotNull())
+    tot = agg.where(F.col("dimension").isNull()).select(delta.cast("double")).scalar()
+    return (agg.where(F.col("dimension").isNotNull())
             .select("dimension", "value", "users_day", "users_base", delta.alias("delta"),
-                    F.try_divide(delta.cast("double"), F.col("_tot").cast("double")).alias("share_of_total_delta"),
+                    F.try_divide(delta.cast("double"), tot).alias("share_of_total_delta"),
                     ((F.col("users_day") == 0) & (F.col("users_base") > 0)).alias("vanished")))

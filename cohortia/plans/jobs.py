@@ -1,6 +1,6 @@
 """The reference's scheduled entry points as single Spark jobs.
 
-* ``run_alerts``     — E1: 15-minute series → fences → verdicts, appended to an alerts table;
+* ``run_alerts``     — E1: 15-minute series → fences → verdicts, the slot's alerts replaced;
 * ``run_daily_etl``  — E2: extracts → merge → slices + fact, each day's partition replaced;
 * ``run_feed_report`` / ``run_app_report`` — the daily report rows and chart series;
 * ``run_ab_report``  — E3: every experiment method in one table.
@@ -11,9 +11,12 @@ collected except the handful of alert rows a caller may want to print.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortia.functions.timefn import as_timestamp
 from cohortia.operators import activity as act
 from cohortia.operators import anomaly, etl
 from cohortia.operators import experiment as ex
@@ -23,12 +26,14 @@ from cohortia.sources.sinks import report_rows, write_fact
 def run_alerts(feed: DataFrame, messages: DataFrame, as_of_ts, alerts_path: str | None = None,
                n: int = 6, a: float = 4.0, combine: str = "iqr_else_sigma") -> DataFrame:
     """Verdicts for the last complete slot of each metric; rows with ``is_alert``
-    are appended to ``alerts_path`` (parquet, partitioned by day) when given."""
+    replace the slot's own folder of ``alerts_path`` (parquet, by day and slot) when given, so
+    that a job that runs again, or finds no alert any more, leaves no older rows behind."""
     series = anomaly.metric_series_15min(feed, messages, as_of_ts)
     verdicts = anomaly.anomaly_alerts(anomaly.anomaly_bounds(anomaly.melt_series(series), n, a), combine)
     if alerts_path:
-        (verdicts.where("is_alert").withColumn("day", F.to_date("ts"))
-         .write.mode("append").partitionBy("day").parquet(alerts_path))
+        t = as_timestamp(as_of_ts)
+        slot = t - dt.timedelta(minutes=t.minute % 15 + 15, seconds=t.second, microseconds=t.microsecond)
+        verdicts.where("is_alert").write.mode("overwrite").parquet(f"{alerts_path}/day={slot:%Y-%m-%d}/slot={slot:%H%M}")
     return verdicts
 
 

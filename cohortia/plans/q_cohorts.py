@@ -3,70 +3,62 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from cohortia.operators import audience as aud
-from cohortia.operators import drivers, lifecycle, retention
+from cohortia.operators import drivers, lifecycle, retention, sketches
 from cohortia.plans.catalog import AS_OF, YESTERDAY, register
+from cohortia.session import ensure_checkpoint_dir
 from cohortia.sources.events import load_events, orders_activity
 
 A = AS_OF.isoformat()
 Y = YESTERDAY.isoformat()
 ORDERS_AS_OF = dt.date(2001, 8, 2)
+SOURCE_AS_OF = dt.date(2024, 1, 21)     # its 20 days hold birthdays in the test data
 PERIOD = (dt.date(2024, 1, 1), YESTERDAY)
 
 
-@register("retention_by_distance", """
-WITH users_days AS (
-  SELECT CAST(l.time AS DATE) AS day, l.user_id, r.birthday,
-         CAST(date_diff('day', r.birthday, CAST(l.time AS DATE)) AS INTEGER) AS days_distance
-  FROM feed_actions l
-  LEFT JOIN (SELECT user_id, min(CAST(time AS DATE)) AS birthday FROM feed_actions GROUP BY user_id) r
-    ON l.user_id = r.user_id),
-c AS (SELECT birthday AS cohort, days_distance, count(DISTINCT user_id) AS num_of_users
-      FROM users_days GROUP BY 1, 2)
-SELECT cohort, days_distance, num_of_users,
-       CAST(num_of_users AS DOUBLE)
-         / max(CASE WHEN days_distance = 0 THEN num_of_users END) OVER (PARTITION BY cohort)
-         AS retention_rate
-FROM c""", doubles=("retention_rate",))
+def _user_days_sql(table: str = "feed_actions") -> str:
+    """One row per user and active day, with the user's first day and (largest) source."""
+    return f"""
+SELECT user_id, day, min(day) OVER w AS birthday, max(src) OVER w AS source
+FROM (SELECT user_id, CAST(time AS DATE) AS day, max(source) AS src FROM {table} GROUP BY user_id, CAST(time AS DATE))
+WINDOW w AS (PARTITION BY user_id)"""
+
+
+@register("retention_by_distance", f"""
+WITH d AS ({_user_days_sql()}),
+size AS (SELECT birthday, count(DISTINCT user_id) AS size FROM d GROUP BY birthday)
+SELECT d.birthday AS cohort, CAST(d.day - d.birthday AS INTEGER) AS days_distance, count(*) AS num_of_users,
+       CAST(count(*) AS DOUBLE) / any_value(size) AS retention_rate
+FROM d JOIN size ON size.birthday = d.birthday GROUP BY d.birthday, d.day""", doubles=("retention_rate",))
 def q_retention_by_distance(spark, d):
     f, _ = load_events(spark, d)
     return retention.retention_by_distance(f)
 
 
-@register("first_cohort_retention", """
-WITH u AS (
-  SELECT CAST(l.time AS DATE) AS day, l.user_id, r.birthday
-  FROM feed_actions l
-  LEFT JOIN (SELECT user_id, min(CAST(time AS DATE)) AS birthday FROM feed_actions GROUP BY user_id) r
-    ON l.user_id = r.user_id
-  WHERE r.birthday = (SELECT min(CAST(time AS DATE)) FROM feed_actions))
-SELECT day, count(DISTINCT user_id) AS num_users FROM u GROUP BY day""")
+@register("first_cohort_retention", f"""
+WITH d AS ({_user_days_sql()})
+SELECT day, count(*) AS num_users FROM d WHERE birthday = (SELECT min(day) FROM d) GROUP BY day""")
 def q_first_cohort_retention(spark, d):
     f, _ = load_events(spark, d)
     return retention.first_cohort_retention(f)
 
 
 def _retention_source_sql(table: str, lo: str, hi: str, bound_days: bool, strings: bool) -> str:
-    day_cond = f" AND day BETWEEN {lo} AND {hi}" if bound_days else ""
-    b = "CAST(birthday AS VARCHAR)" if strings else "birthday"
-    dd = "CAST(day AS VARCHAR)" if strings else "day"
+    shown = "CAST({0} AS VARCHAR) AS {0}" if strings else "{0}"
     return f"""
-SELECT {b} AS birthday, {dd} AS day, source, count(DISTINCT user_id) AS num_of_users
-FROM (SELECT l.user_id, CAST(l.time AS DATE) AS day, r.birthday, r.source
-      FROM {table} l
-      LEFT JOIN (SELECT user_id, min(CAST(time AS DATE)) AS birthday, max(source) AS source
-                 FROM {table} GROUP BY user_id) r ON l.user_id = r.user_id
-      WHERE r.birthday BETWEEN {lo} AND {hi}) c
-WHERE TRUE{day_cond}
-GROUP BY 1, 2, 3"""
+SELECT {shown.format('birthday')}, {shown.format('day')}, source, count(*) AS num_of_users
+FROM (SELECT birthday, day, source FROM ({_user_days_sql(table)})
+      WHERE birthday >= {lo} AND birthday <= {hi}{f" AND day >= {lo} AND day <= {hi}" if bound_days else ""}) c
+GROUP BY ALL"""
 
 
 @register("retention_by_source", _retention_source_sql(
-    "feed_actions", f"DATE '{A}' - 20", f"DATE '{A}'", False, True))
+    "feed_actions", f"DATE '{SOURCE_AS_OF}' - 20", f"DATE '{SOURCE_AS_OF}'", False, True))
 def q_retention_by_source(spark, d):
     f, _ = load_events(spark, d)
-    return retention.retention_by_source(f, AS_OF, 20)
+    return retention.retention_by_source(f, SOURCE_AS_OF, 20)
 
 
 @register("retention_by_source_30d", _retention_source_sql(
@@ -134,23 +126,23 @@ def q_campaign_cohort_compare(spark, d):
     return retention.campaign_cohort_compare(f, m, AS_OF, 30)
 
 
-def _lifecycle_sql(table: str, as_of: str) -> str:
-    weeks = f"""(SELECT user_id, list(DISTINCT CAST(date_trunc('week', time) AS DATE)) AS weeks_visited
-               FROM {table} GROUP BY user_id)"""
+def _lifecycle_sql(table: str, as_of: str, strict: bool = False) -> str:
+    """A user's active weeks in order; a week follows the one before it or a gap."""
+    back = "resurrected" if strict else "new"
     return f"""
-SELECT this_week, previous_week, -count(DISTINCT user_id) AS num_users, status FROM (
-  SELECT user_id, this_week, this_week - 7 AS previous_week,
-         CASE WHEN list_contains(weeks_visited, this_week) THEN 'retained' ELSE 'gone' END AS status
-  FROM (SELECT user_id, weeks_visited, unnest(weeks_visited) + 7 AS this_week FROM {weeks} w1) a) g
-WHERE status = 'gone'
-GROUP BY this_week, previous_week, status
-HAVING this_week != CAST(date_trunc('week', DATE '{as_of}') AS DATE) + 7
-UNION ALL
-SELECT this_week, previous_week, CAST(count(DISTINCT user_id) AS BIGINT) AS num_users, status FROM (
-  SELECT user_id, this_week, this_week - 7 AS previous_week,
-         CASE WHEN list_contains(weeks_visited, this_week - 7) THEN 'retained' ELSE 'new' END AS status
-  FROM (SELECT user_id, weeks_visited, unnest(weeks_visited) AS this_week FROM {weeks} w2) b) n
-GROUP BY this_week, previous_week, status"""
+WITH uw AS (SELECT DISTINCT user_id, CAST(date_trunc('week', time) AS DATE) AS w FROM {table}),
+x AS (SELECT user_id, w, lag(w) OVER (PARTITION BY user_id ORDER BY w) AS pw,
+             lead(w) OVER (PARTITION BY user_id ORDER BY w) AS nw FROM uw),
+rows_ AS (
+  SELECT user_id, w AS this_week, w - 7 AS previous_week,
+         CASE WHEN pw = w - 7 THEN 'retained' WHEN pw IS NULL THEN 'new' ELSE '{back}' END AS status
+  FROM x
+  UNION ALL
+  SELECT user_id, w + 7, w, 'gone' FROM x
+  WHERE (nw IS NULL OR nw != w + 7) AND w != CAST(date_trunc('week', DATE '{as_of}') AS DATE))
+SELECT this_week, previous_week,
+       CASE WHEN status = 'gone' THEN -count(*) ELSE count(*) END AS num_users, status
+FROM rows_ GROUP BY this_week, previous_week, status"""
 
 
 @register("user_lifecycle_weekly", _lifecycle_sql("feed_actions", A))
@@ -164,26 +156,12 @@ def q_user_lifecycle_weekly_orders(spark, d):
     return lifecycle.user_lifecycle_weekly(orders_activity(spark, d), ORDERS_AS_OF)
 
 
-@register("user_lifecycle_strict_orders", f"""
-WITH uw AS (SELECT DISTINCT user_id, CAST(date_trunc('week', time) AS DATE) AS w FROM orders_activity),
-x AS (SELECT user_id, w, lag(w) OVER (PARTITION BY user_id ORDER BY w) AS pw,
-             lead(w) OVER (PARTITION BY user_id ORDER BY w) AS nw FROM uw),
-rows_ AS (
-  SELECT user_id, w AS this_week, w - 7 AS previous_week,
-         CASE WHEN pw = w - 7 THEN 'retained' WHEN pw IS NULL THEN 'new' ELSE 'resurrected' END AS status
-  FROM x
-  UNION ALL
-  SELECT user_id, w + 7, w, 'gone' FROM x
-  WHERE (nw IS NULL OR nw != w + 7)
-    AND w + 7 != CAST(date_trunc('week', DATE '{ORDERS_AS_OF.isoformat()}') AS DATE) + 7)
-SELECT this_week, previous_week,
-       CASE WHEN status = 'gone' THEN -count(*) ELSE count(*) END AS num_users, status
-FROM rows_ GROUP BY this_week, previous_week, status""")
+@register("user_lifecycle_strict_orders", _lifecycle_sql("orders_activity", ORDERS_AS_OF.isoformat(), strict=True))
 def q_user_lifecycle_strict_orders(spark, d):
     return lifecycle.user_lifecycle_weekly(orders_activity(spark, d), ORDERS_AS_OF, strict_new=True)
 
 
-@register("wau_mau_stickiness", f"""
+_WAU_MAU_SQL = f"""
 WITH ud AS (SELECT DISTINCT user_id, CAST(time AS DATE) AS day FROM feed_actions),
 days AS (SELECT CAST(range AS DATE) AS day
          FROM range(TIMESTAMP '{PERIOD[0]}', TIMESTAMP '{PERIOD[1]}' + INTERVAL 1 DAY, INTERVAL 1 DAY))
@@ -194,12 +172,40 @@ SELECT d.day,
        CAST(count(DISTINCT u.user_id) FILTER (WHERE u.day = d.day) AS DOUBLE)
          / count(DISTINCT u.user_id) AS stickiness
 FROM days d JOIN ud u ON u.day BETWEEN d.day - 29 AND d.day
-GROUP BY d.day""", doubles=("stickiness",))
+GROUP BY d.day"""
+
+
+@register("wau_mau_stickiness", _WAU_MAU_SQL, doubles=("stickiness",))
 def q_wau_mau_stickiness(spark, d):
     f, _ = load_events(spark, d)
     return aud.wau_mau_stickiness(f, *PERIOD)
 
 
+def _stored_sketches(spark, d):
+    """Daily sketches of the feed, written as the daily job would and read back."""
+    f, _ = load_events(spark, d)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sketches_{uuid.uuid4().hex}"
+    made = sketches.daily_user_sketches(f)
+    made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
+@register("wau_mau_from_sketches", _WAU_MAU_SQL, doubles=("stickiness",))
+def q_wau_mau_from_sketches(spark, d):
+    """Estimates; all but exact at the oracle's numbers of users."""
+    return sketches.active_users_from_sketches(_stored_sketches(spark, d), *PERIOD)
+
+
+@register("weekly_change_from_sketches", """
+WITH uw AS (SELECT DISTINCT user_id, CAST(date_trunc('week', time) AS DATE) AS w FROM feed_actions),
+x AS (SELECT w, count(*) AS users, count(*) FILTER (WHERE (user_id, w - 7) IN (SELECT user_id, w FROM uw)) AS retained
+      FROM uw GROUP BY w)
+SELECT x.w AS this_week, x.users, x.retained, x.users - x.retained AS new, coalesce(b.users, 0) - x.retained AS gone
+FROM x LEFT JOIN x b ON b.w = x.w - 7""")
+def q_weekly_change_from_sketches(spark, d):
+    return sketches.weekly_change_from_sketches(_stored_sketches(spark, d))
+
+
 @register("audience_distribution", """
 SELECT 'age' AS dimension, age AS value, count(DISTINCT user_id) AS users,
        CAST(count(DISTINCT user_id) AS DOUBLE) / (SELECT count(DISTINCT user_id) FROM feed_actions) AS share

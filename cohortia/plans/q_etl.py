@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from cohortia.operators import etl
 from cohortia.plans.catalog import YESTERDAY, register
 from cohortia.session import ensure_checkpoint_dir
@@ -142,7 +144,7 @@ def q_etl_fact_table(spark, d):
     """The fact is written to a date-partitioned table (twice, to show the
     re-run replaces the day instead of appending) and read back."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/cohortia_fact_{abs(hash(d)) % 10**8}"
+    path = f"{base}/cohortia_fact_{uuid.uuid4().hex}"
     fact = etl.etl_fact(_merged(spark, d))
     write_fact(fact, path)
     write_fact(fact, path)
@@ -155,7 +157,7 @@ def q_etl_fact_tsv(spark, d):
     """The fact exported as TSV with a header, read back with the fact schema."""
     from cohortia.sources.sinks import export_tsv
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/cohortia_fact_tsv_{abs(hash(d)) % 10**8}"
+    path = f"{base}/cohortia_fact_tsv_{uuid.uuid4().hex}"
     fact = etl.etl_fact(_merged(spark, d))
     export_tsv(fact, path)
     return spark.read.schema(fact.schema).option("sep", "\t").option("header", True).csv(path)

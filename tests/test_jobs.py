@@ -29,6 +29,11 @@ def test_alert_job_and_reports(spark, events_small):
     feed, msgs = events_small
     v = jobs.run_alerts(feed, msgs, "2024-01-30 12:07:30", _scratch(spark, "alerts"))
     assert v.count() == 6
+    path = _scratch(spark, "alerts")
+    for _ in range(2):                                          # a retry replaces its slot
+        v = jobs.run_alerts(feed, msgs, "2024-01-30 12:07:30", path, n=2, a=0.01)
+    back = spark.read.schema(v.schema).parquet(f"{path}/day=2024-01-30/slot=1145")
+    assert back.count() == v.where("is_alert").count() > 0
     rep = jobs.run_feed_report(feed, "2024-01-31")
     assert rep["table"].count() == 7 and rep["latest"].count() == 1
     app = jobs.run_app_report(feed, msgs, "2024-01-31")
