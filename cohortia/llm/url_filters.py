@@ -42,32 +42,51 @@ def rule_of(host: Column, path: Column, rules: Rules) -> Column:
 
 
 def _absolute(link: Column, base: Column) -> Column:
-    """``link`` as found on the page ``base``; null when it can't be resolved."""
+    """``link`` as found on the page ``base``; null when it can't be resolved or leads to the page itself."""
     scheme = F.regexp_extract(base, r"^([^:/?#]+)://", 1)
     site = F.regexp_extract(base, r"^([^:/?#]+://[^/?#]*)", 1)
     folder = F.regexp_extract(base, r"^([^:/?#]+://[^?#]*/)[^/?#]*", 1)
-    return (F.when(link == "", None)
+    return (F.when((link == "") | link.startswith("#"), None)
             .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
             .when(site == "", None)
             .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
             .when(link.startswith("/"), F.concat(site, link))
-            .when(link.startswith("#") | link.startswith("?"), None)
+            .when(link.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), link))
             .otherwise(F.concat(F.when(folder == "", F.concat(site, F.lit("/"))).otherwise(folder), link)))
 
 
+def _without_dots(path: Column) -> Column:
+    """``.`` and ``..`` resolved in a path that begins with a slash."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda done, p: (
+        F.when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(p == ".", done).otherwise(F.concat(done, F.array(p)))))
+    end = F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), end)).otherwise(path)
+
+
 def url_key(url: Column) -> Column:
-    """An URL as a node: without its fragment."""
-    return F.regexp_extract(url, r"^([^#]*)", 1)
+    """An URL as a node: scheme and host in lower case (A-Z), an empty path as ``/``, dots
+    resolved, without its fragment.  What has no ``://`` stays as it is, without its fragment."""
+    part = lambda i: F.regexp_extract(url, r"^([^:/?#]+://[^/?#]*)([^?#]*)([^#]*)", i)
+    path = F.when(part(2) == "", "/").otherwise(_without_dots(part(2)))
+    return F.when(part(1) == "", F.regexp_extract(url, r"^([^#]*)", 1)).otherwise(
+        F.concat(F.translate(part(1), UPPER, LOWER), path, part(3)))
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Edges (a, b): page -> canonical link, page -> target of a refresh redirect."""
+    """Edges (a, b): page -> every canonical link (``rel`` may list more), page -> target of every refresh redirect."""
     html = F.coalesce(html_col, F.lit(""))
-    link = F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0)
-    meta = F.regexp_extract(html, r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0)
-    canonical = F.regexp_extract(link, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
-    refresh = F.regexp_extract(meta, r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    found = pages.select(F.col(url_col).alias("a"), F.explode(F.array(canonical, refresh)).alias("b")).where("b <> ''")
+
+    def tags(pattern: str) -> Column:
+        return F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+
+    rel = r"""(?is)\srel\s*=\s*("([^"]*\s)?canonical(\s[^"]*)?"|'([^']*\s)?canonical(\s[^']*)?'|canonical[\s/>])"""
+    canonical = F.transform(F.filter(tags(r"(?is)<link\b[^>]*>"), lambda t: t.rlike(rel)),
+                            lambda t: F.regexp_extract(t, r"""(?is)\shref\s*=\s*["']?\s*([^"'\s>]+)""", 1))
+    refresh = F.transform(F.filter(tags(r"(?is)<meta\b[^>]*>"), lambda t: t.rlike(r"""(?is)\shttp-equiv\s*=\s*["']?\s*refresh\b""")),
+                          lambda t: F.regexp_extract(t, r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>]+)""", 1))
+    found = pages.select(F.col(url_col).alias("a"), F.explode(F.concat(canonical, refresh)).alias("b")).where("b <> ''")
     return (found.select(url_key(F.col("a")).alias("a"),
                          url_key(_absolute(F.replace("b", F.lit("&amp;"), F.lit("&")), F.col("a"))).alias("b"))
             .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct())
@@ -80,7 +99,8 @@ def filter_urls(pages: DataFrame, rules: Rules, redirects: DataFrame | None = No
     ``redirects`` (a, b) adds edges that the pages' html doesn't show.  ``rules`` is a list
     that fits into a plan (thousands).  A null URL, or one without ``://``, has
     an empty host and path, fits no rule and is allowed.  Repeated URLs share a node; equal
-    rules on one host and path: block sorts last and wins.  An empty table gives no rows.
+    rules on one host and path: block sorts last and wins.  Html of any length is searched whole;
+    null or empty html has no links; other columns aren't read.  An empty table gives no rows.
     """
     edges = page_links(pages, url_col, html_col)
     if redirects is not None:
