@@ -97,6 +97,29 @@ SELECT *, (u_a - mu - 0.5) / sigma AS z_greater, (u_b - mu - 0.5) / sigma AS z_l
        (greatest(u_a, u_b) - mu - 0.5) / sigma AS z_two_sided FROM m"""
 
 
+# Tails by Simpson's rule in an even number of steps.  With T = √df · tan θ Student's density becomes
+# cos^(df−1) θ on (−π/2, π/2), whose whole integral is √π Γ(df/2) / Γ((df+1)/2).
+_STEPS = 1000
+
+
+def _simpson_sql(density: str, upper: str) -> str:
+    """∫₀^upper of ``density``, an expression of the lambda's place ``p``."""
+    weight = f"CASE WHEN i IN (0, {_STEPS}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    at = density.replace("{p}", f"({upper} * i / {_STEPS})")
+    return f"({upper} / {3 * _STEPS} * list_sum(list_transform(range({_STEPS + 1}), lambda i: {weight} * {at})))"
+
+
+def _t_sf_sql(t: str, dof: str) -> str:
+    """P(T > t)."""
+    whole = f"(sqrt(pi()) * exp(lgamma({dof} / 2) - lgamma(({dof} + 1) / 2)))"
+    return f"abs(0.5 - {_simpson_sql(f'power(cos({{p}}), {dof} - 1)', f'atan({t} / sqrt({dof}))')} / {whole})"
+
+
+def _norm_sf_sql(z: str) -> str:
+    """P(Z > z)."""
+    return f"abs(0.5 - {_simpson_sql('exp(-{p} * {p} / 2)', z)} / sqrt(2 * pi()))"
+
+
 _W = ("mean_a", "mean_b", "var_a", "var_b", "t", "df")
 _U = ("u_a", "u_b", "mu", "sigma", "z_greater", "z_less", "z_two_sided")
 
@@ -298,22 +321,65 @@ def q_aa_simulation_pooled(spark, d):
                             "pooled", SEED)
 
 
-@register("aa_summary")
+@register("aa_summary", f"""
+WITH st AS ({_aa_sql("pooled")}),
+p AS (SELECT 2 * {_t_sf_sql("abs(t)", "df")} AS p FROM st)
+SELECT CAST(least(floor(p * 20), 19) AS INTEGER) AS bin, least(floor(p * 20), 19) / 20 AS lo,
+       (least(floor(p * 20), 19) + 1) / 20 AS hi, count(*) AS n,
+       (SELECT 100 * avg(CAST(p <= 0.05 AS DOUBLE)) FROM p) AS share_le_alpha_pct
+FROM p GROUP BY ALL""", doubles=("lo", "hi", "share_le_alpha_pct"))
 def q_aa_summary(spark, d):
-    """p-value histogram and share ≤ 0.05 (p-values need the t distribution: no SQL oracle)."""
+    """p-value histogram and share ≤ 0.05."""
     sims = ex.aa_simulation(spark, _users(spark, d, AA), AA[0], AA[1], "ctr", N_TESTS, N_SAMPLES,
                             "pooled", SEED)
     return ex.aa_summary(sims)
 
 
-@register("experiment_report")
+def _report_sql() -> str:
+    c, t = AB
+    long = f"""
+SELECT 'ctr' AS metric, exp_group, ctr AS x FROM ({_users_sql(AB)})
+UNION ALL SELECT 'posts', exp_group, posts FROM ({_users_sql(AB)})
+UNION ALL SELECT 'smoothed_ctr', exp_group, smoothed_ctr FROM ({_smoothed_sql(AB)})
+UNION ALL SELECT 'linearized_likes', exp_group, linearized_likes FROM ({_linearized_sql(c, AB)})
+UNION ALL SELECT 'bucket_ctr', exp_group, bucket_ctr FROM ({_buckets_sql(AB)})
+UNION ALL SELECT 'bootstrap_replicate_ctr', {c}, ctr_control FROM boot
+UNION ALL SELECT 'bootstrap_replicate_ctr', {t}, ctr_test FROM boot"""
+    metrics = ("ctr", "posts", "smoothed_ctr", "linearized_likes", "bucket_ctr", "bootstrap_replicate_ctr")
+    one = lambda m: f"SELECT exp_group, x FROM long WHERE metric = '{m}'"
+    welch = " UNION ALL ".join(f"SELECT '{m}' AS metric, t, df FROM ({_welch_sql(one(m), 'x', t, c)})" for m in metrics)
+    mann = " UNION ALL ".join(f"SELECT '{m}' AS metric, u_a, z_greater, z_less, z_two_sided FROM ({_mw_sql(one(m), 'x', t, c)})"
+                              for m in metrics)
+    return f"""
+WITH boot AS MATERIALIZED ({_bootstrap_sql()}),
+long AS MATERIALIZED ({long}),
+w AS ({welch}),
+u AS ({mann})
+SELECT metric, 'welch_t' AS method, t AS statistic, 2 * {_t_sf_sql("abs(t)", "df")} AS p_two_sided,
+       {_t_sf_sql("t", "df")} AS p_greater, {_t_sf_sql("(-t)", "df")} AS p_less FROM w
+UNION ALL
+SELECT metric, 'mann_whitney', u_a, least(1.0, 2 * {_norm_sf_sql("z_two_sided")}),
+       {_norm_sf_sql("z_greater")}, {_norm_sf_sql("z_less")} FROM u
+UNION ALL
+SELECT 'global_ctr', 'poisson_bootstrap', avg(ctr_test) - avg(ctr_control), NULL,
+       1 - avg(CAST(diff > 0 AS DOUBLE)), avg(CAST(diff > 0 AS DOUBLE)) FROM boot"""
+
+
+_P_VALUES = ("p_two_sided", "p_greater", "p_less")
+
+
+@register("experiment_report", _report_sql(), doubles=("statistic", *_P_VALUES))
 def q_experiment_report(spark, d):
-    """Every method of the A/B analysis with p-values (no SQL oracle: needs t / normal tails)."""
+    """Every method of the A/B analysis with p-values."""
     f, _ = load_events(spark, d)
     return ex.experiment_report(f, START, END, AB[0], AB[1], 5.0, 50, N_BOOT, SEED)
 
 
-@register("welch_ttest_pvalues")
+@register("welch_ttest_pvalues", f"""
+WITH w AS ({_welch_sql(_users_sql(AB), "ctr", AB[1], AB[0])})
+SELECT group_a, group_b, t, df, 2 * {_t_sf_sql("abs(t)", "df")} AS p_two_sided,
+       {_t_sf_sql("t", "df")} AS p_greater, {_t_sf_sql("(-t)", "df")} AS p_less, 1 AS tests
+FROM w""", doubles=("t", "df", *_P_VALUES))
 def q_welch_ttest_pvalues(spark, d):
     """Welch test with p-values for the three alternatives."""
     return ex.welch_ttest(_users(spark, d, AB), "ctr", "exp_group", AB[1], AB[0]).select(
