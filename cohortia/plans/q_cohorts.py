@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 
 from cohortia.operators import audience as aud
-from cohortia.operators import drivers, lifecycle, retention, sketches
+from cohortia.operators import drivers, lifecycle, retention, retention_bitmaps, sketches
 from cohortia.plans.catalog import AS_OF, YESTERDAY, register
 from cohortia.session import ensure_checkpoint_dir
 from cohortia.sources.events import load_events, orders_activity
@@ -26,17 +26,30 @@ FROM (SELECT user_id, CAST(time AS DATE) AS day, max(source) AS src FROM {table}
 WINDOW w AS (PARTITION BY user_id)"""
 
 
-@register("retention_by_distance", f"""
+_RETENTION_SQL = f"""
 WITH d AS ({_user_days_sql()}),
 size AS (SELECT birthday, count(DISTINCT user_id) AS size FROM d GROUP BY birthday)
 SELECT d.birthday AS cohort, CAST(d.day - d.birthday AS INTEGER) AS days_distance, count(*) AS num_of_users,
        CAST(count(*) AS DOUBLE) / any_value(size) AS retention_rate
-FROM d JOIN size ON size.birthday = d.birthday GROUP BY d.birthday, d.day""", doubles=("retention_rate",))
+FROM d JOIN size ON size.birthday = d.birthday GROUP BY d.birthday, d.day"""
+
+
+@register("retention_by_distance", _RETENTION_SQL, doubles=("retention_rate",))
 def q_retention_by_distance(spark, d):
     f, _ = load_events(spark, d)
     return retention.retention_by_distance(f)
 
 
+@register("retention_incremental", _RETENTION_SQL, doubles=("retention_rate",))
+def q_retention_incremental(spark, d):
+    """Bitmaps of all days but the last, then the last day added to them."""
+    f, _ = load_events(spark, d)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortia_retention_{uuid.uuid4().hex}"
+    retention_bitmaps.build_retention(f, path, YESTERDAY - dt.timedelta(days=1))
+    retention_bitmaps.add_day(f, path, YESTERDAY)
+    return retention_bitmaps.stored_retention(spark, path)
+
+
 @register("first_cohort_retention", f"""
 WITH d AS ({_user_days_sql()})
 SELECT day, count(*) AS num_users FROM d WHERE birthday = (SELECT min(day) FROM d) GROUP BY day""")
