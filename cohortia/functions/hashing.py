@@ -76,6 +76,21 @@ def poisson_weight(x: Column, mean: float = 1.0) -> Column:
     return w.otherwise(F.lit(len(thresholds)))
 
 
+def poisson_table(mean: float) -> tuple[int, list[int]]:
+    """(low, thresholds): a draw x > 0 gives the weight low + #{t in thresholds: x ≥ t}, which is
+    the inverse CDF; weights below ``low`` have less chance than one draw."""
+    t = poisson_thresholds(mean)
+    low = sum(v <= 1 for v in t)
+    return low, t[low:]
+
+
+def count_not_above(values: Column, x: Column, steps: Column) -> Column:
+    """#{v in the sorted array ``values``: v ≤ x} by bisection; ``steps`` is the array of the
+    powers of two, largest first, that the search adds up."""
+    return F.aggregate(steps, F.lit(0), lambda pos, step: F.when(
+        F.get(values, pos + step - 1) <= x, pos + step).otherwise(pos))
+
+
 def md5_bucket(col: str | Column, n: int) -> Column:
     """Hash bucket in [0, n): first 32 bits of md5(decimal text of col), mod n.
 

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.functions.hashing import draw, draw_index, draw_state, md5_bucket, poisson_weight
+from cohortia.functions.hashing import (count_not_above, draw, draw_index, draw_state, md5_bucket, poisson_table,
+                                        poisson_weight)
 from cohortia.functions.metrics import ratio, scalars
 from cohortia.functions.ranks import dense_index, prefix_sum
 from cohortia.functions.stats import exact_u_sf, norm_sf_col, t_pvalue_col, welch_columns
@@ -204,6 +205,11 @@ def poisson_bootstrap(users: DataFrame, control: int, test: int, n_bootstrap: in
     r = u.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_bootstrap))).alias("replicate"))
     r = r.select("exp_group", "replicate", "likes", "views", draw(F.col("state"), F.col("replicate")).alias("x"))
     r = r.select("exp_group", "replicate", "likes", "views", poisson_weight(F.col("x")).alias("w"))
+    return _replicate_ctr(r, control, test)
+
+
+def _replicate_ctr(r: DataFrame, control: int, test: int) -> DataFrame:
+    """CTR of both groups by replicate from weighted rows (replicate, exp_group, likes, views, w)."""
     g = (r.groupBy("replicate")
          .agg(F.sum(F.when(F.col("exp_group") == control, F.col("w") * F.col("likes"))).alias("lc"),
               F.sum(F.when(F.col("exp_group") == control, F.col("w") * F.col("views"))).alias("vc"),
@@ -214,6 +220,49 @@ def poisson_bootstrap(users: DataFrame, control: int, test: int, n_bootstrap: in
                     (ratio("lt", "vt") - ratio("lc", "vc")).alias("diff"))
 
 
+PIECE_BITS = 12     # a cell's users are drawn in pieces of 1, 2, 4 … 4,096 users
+
+
+def bootstrap_pieces(users: DataFrame, control: int, test: int) -> DataFrame:
+    """(exp_group, likes, views, bits, copy): each cell of users with equal counts, split into
+    pieces of 2^bits users: the bits of its size, and as many pieces of 4,096 as it holds."""
+    cells = (users.where(F.col("exp_group").isin(control, test)).groupBy("exp_group", "likes", "views")
+             .agg(F.count(F.lit(1)).alias("n")))
+    large = F.shiftright("n", PIECE_BITS)
+    piece = lambda bits, copy: F.struct(bits.cast("int").alias("bits"), copy.cast("long").alias("copy"))
+    small = F.filter(F.transform(F.sequence(F.lit(0), F.lit(PIECE_BITS - 1)), lambda b: piece(b, F.lit(0))),
+                     lambda x: F.getbit("n", x["bits"]) == 1)
+    big = F.when(large > 0, F.transform(F.sequence(F.lit(1).cast("long"), large), lambda c: piece(F.lit(PIECE_BITS), c)))
+    pieces = cells.select("exp_group", "likes", "views", F.explode(F.concat(small, F.coalesce(big, F.filter(small, lambda x: F.lit(False))))).alias("p"))
+    return pieces.select("exp_group", "likes", "views", "p.bits", "p.copy")
+
+
+def poisson_bootstrap_cells(users: DataFrame, control: int, test: int, n_bootstrap: int = 2000,
+                            seed: int = 0) -> DataFrame:
+    """T5 as ``poisson_bootstrap``, whose rows follow distinct cells instead of users.
+
+    n users with equal likes and views weigh Poisson(n) together, since weights of single users
+    are Poisson(1).  Poisson(n) is the sum of a draw for every bit of n (one for each 4,096
+    users above), each by inverse CDF of a 62-bit draw without a cap, found by bisection.  Rows:
+    replicates × pieces, at most 12 + n / 4,096 for a cell.  Pieces are spread over tasks before
+    replicates are made, so a cell with a third of all users is not one task's.
+    """
+    spark = users.sparkSession
+    rows = []
+    for bits in range(PIECE_BITS + 1):
+        low, thresholds = poisson_table(2 ** bits)
+        rows.append((bits, low, thresholds, [2 ** i for i in reversed(range(len(thresholds).bit_length()))]))
+    tables = spark.createDataFrame(rows, "bits int, low int, thresholds array<bigint>, steps array<int>")   # 13 rows
+    p = bootstrap_pieces(users, control, test).repartition("exp_group", "likes", "views", "bits", "copy")
+    p = p.select("exp_group", "likes", "views", "bits",
+                 draw_state(seed, F.col("exp_group"), F.col("likes"), F.col("views"), F.col("bits"), F.col("copy")).alias("state"))
+    r = p.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_bootstrap))).alias("replicate"))
+    r = r.select("exp_group", "likes", "views", "replicate", "bits", draw(F.col("state"), F.col("replicate")).alias("x"))
+    r = r.join(F.broadcast(tables), "bits")
+    r = r.withColumn("w", F.col("low") + count_not_above(F.col("thresholds"), F.col("x"), F.col("steps")))
+    return _replicate_ctr(r, control, test)
+
+
 def bootstrap_summary(boot: DataFrame, level: float = 0.95) -> DataFrame:
     """Mean / median per arm, percentile interval of diff and share of diff > 0.
 

@@ -285,6 +285,37 @@ def q_bootstrap_summary(spark, d):
     return ex.bootstrap_summary(ex.poisson_bootstrap(_users(spark, d, AB), AB[0], AB[1], N_BOOT, SEED))
 
 
+def _cells_sql() -> str:
+    c, t = AB
+    top = 2 ** ex.PIECE_BITS
+    return f"""
+WITH u AS ({_users_sql(AB)}),
+cells AS (SELECT exp_group, likes, views, count(*) AS n FROM u GROUP BY ALL),
+pieces AS (SELECT exp_group, likes, views, b AS bits, 0 AS copy FROM cells, range({ex.PIECE_BITS}) AS s(b) WHERE (n >> b) & 1 = 1
+           UNION ALL SELECT exp_group, likes, views, {ex.PIECE_BITS}, unnest(range(1, n // {top} + 1)) FROM cells),
+-- the distribution of a piece, up to 12 deviations and 30 beyond its mean
+pmf AS (SELECT bits, k, exp(k * ln(1 << bits) - (1 << bits) - lgamma(k + 1)) AS p
+        FROM (SELECT DISTINCT bits FROM pieces), range({top + 12 * 64 + 30}) AS s(k) WHERE k < (1 << bits) + 12 * sqrt(1 << bits) + 30),
+cdf AS (SELECT bits, k, coalesce(sum(p) OVER (PARTITION BY bits ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS below
+        FROM pmf),
+v AS (SELECT *, {_states_sql("exp_group", "likes", "views", "bits", "copy")} FROM pieces),
+x AS (SELECT v.exp_group, v.likes, v.views, v.bits, g.replicate, CAST({_draw_sql("g.replicate")} AS DOUBLE) / {_D} AS x
+      FROM v, (SELECT CAST(range AS INTEGER) AS replicate FROM range(1, {N_BOOT + 1})) g),
+r AS (SELECT x.*, cdf.k AS w FROM x ASOF JOIN cdf ON x.bits = cdf.bits AND x.x >= cdf.below),
+s AS (SELECT replicate,
+             sum(w * likes) FILTER (WHERE exp_group = {c}) AS lc, sum(w * views) FILTER (WHERE exp_group = {c}) AS vc,
+             sum(w * likes) FILTER (WHERE exp_group = {t}) AS lt, sum(w * views) FILTER (WHERE exp_group = {t}) AS vt
+      FROM r GROUP BY replicate)
+SELECT replicate, CAST(lc AS DOUBLE) / nullif(vc, 0) AS ctr_control, CAST(lt AS DOUBLE) / nullif(vt, 0) AS ctr_test,
+       CAST(lt AS DOUBLE) / nullif(vt, 0) - CAST(lc AS DOUBLE) / nullif(vc, 0) AS diff
+FROM s"""
+
+
+@register("poisson_bootstrap_cells", _cells_sql(), doubles=("ctr_control", "ctr_test", "diff"))
+def q_poisson_bootstrap_cells(spark, d):
+    return ex.poisson_bootstrap_cells(_users(spark, d, AB), AB[0], AB[1], N_BOOT, SEED)
+
+
 def _aa_sql(null: str) -> str:
     a, b = AA
     pool_expr = "0" if null == "pooled" else f"CASE WHEN exp_group = {a} THEN 0 ELSE 1 END"
