@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 
 from cohortia.operators import audience as aud
-from cohortia.operators import drivers, lifecycle, retention, retention_bitmaps, sketches
+from cohortia.operators import drivers, lifecycle, overview, retention, retention_bitmaps, sketches
 from cohortia.plans.catalog import AS_OF, YESTERDAY, register
 from cohortia.session import ensure_checkpoint_dir
 from cohortia.sources.events import load_events, orders_activity
@@ -16,6 +16,7 @@ Y = YESTERDAY.isoformat()
 ORDERS_AS_OF = dt.date(2001, 8, 2)
 SOURCE_AS_OF = dt.date(2024, 1, 21)     # its 20 days hold birthdays in the test data
 PERIOD = (dt.date(2024, 1, 1), YESTERDAY)
+WEEK = (dt.date(2024, 1, 15), dt.date(2024, 1, 21))
 
 
 def _user_days_sql(table: str = "feed_actions") -> str:
@@ -300,6 +301,70 @@ def q_interaction_audience(spark, d):
     return aud.interaction_audience(f, m, "os", *PERIOD)
 
 
+_DISTRIBUTIONS_SQL = " UNION ALL ".join(f"""
+SELECT 'distribution' AS section, '{x}' AS key, CAST({x} AS VARCHAR) AS part, count(DISTINCT user_id) AS users
+FROM feed_actions WHERE CAST(time AS DATE) BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}' GROUP BY {x}""" for x in overview.DIMS)
+_ACTIVE_SQL = " UNION ALL ".join(f"""
+SELECT '{name}', CAST(g AS VARCHAR), CAST(NULL AS VARCHAR), count(DISTINCT user_id)
+FROM g JOIN d ON d.day BETWEEN g - {days - 1} AND g GROUP BY g""" for name, days in (("dau", 1), ("wau", 7), ("mau", 30)))
+
+
+@register("audience_overview", f"""
+WITH d AS ({_user_days_sql()}),
+g AS (SELECT CAST(unnest(generate_series(DATE '{PERIOD[0]}', DATE '{PERIOD[1]}', INTERVAL 1 DAY)) AS DATE) AS g)
+{_DISTRIBUTIONS_SQL}
+UNION ALL {_ACTIVE_SQL}
+UNION ALL SELECT 'retention', CAST(birthday AS VARCHAR), CAST(day - birthday AS VARCHAR), count(*) FROM d
+WHERE day <= DATE '{PERIOD[1]}' GROUP BY birthday, day""")
+def q_audience_overview(spark, d):
+    f, _ = load_events(spark, d)
+    return overview.audience_overview(f, *PERIOD)
+
+
+_INTERACTIONS_SQL = " UNION ALL ".join(f"""
+SELECT '{x}' AS dimension, CAST(value AS VARCHAR) AS value, status, count(*) AS users
+FROM (SELECT user_id, max(value) AS value, CASE WHEN count(DISTINCT status) = 2 THEN 'feed+messenger' ELSE min(status) END AS status
+      FROM (SELECT user_id, {x} AS value, 'feed_only' AS status, time FROM feed_actions
+            UNION ALL SELECT user_id, {x}, 'messenger_only', time FROM message_actions)
+      WHERE CAST(time AS DATE) BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}' GROUP BY user_id)
+GROUP BY value, status""" for x in overview.DIMS)
+
+
+@register("interaction_by_dimensions", _INTERACTIONS_SQL)
+def q_interaction_by_dimensions(spark, d):
+    f, m = load_events(spark, d)
+    return overview.interaction_by_dimensions(f, m, *WEEK)
+
+
+@register("top_posts_sliced", f"""
+SELECT post_id, count(*) FILTER (WHERE action = 'view') AS views, count(*) FILTER (WHERE action = 'like') AS likes,
+       count(DISTINCT user_id) AS users, CAST(count(*) FILTER (WHERE action = 'like') AS DOUBLE)
+         / nullif(count(*) FILTER (WHERE action = 'view'), 0) AS ctr
+FROM feed_actions
+WHERE gender = 1 AND country IN ('Russia', 'Belarus', 'Finland') AND source = 'organic'
+  AND time >= TIMESTAMP '{WEEK[0]} 06:00:00' AND time < TIMESTAMP '{WEEK[1]} 18:00:00'
+GROUP BY post_id ORDER BY likes DESC, post_id LIMIT 10""", doubles=("ctr",))
+def q_top_posts_sliced(spark, d):
+    f, _ = load_events(spark, d)
+    return aud.top_posts(f, 10, "likes", gender=1, country=["Russia", "Belarus", "Finland"], source="organic",
+                         time_from=f"{WEEK[0]} 06:00:00", time_to=f"{WEEK[1]} 18:00:00")
+
+
+@register("live_offsets_sliced", f"""
+WITH e AS (SELECT user_id, action, time_bucket(INTERVAL '15 minutes', time) AS slot, DATE '{Y}' - CAST(time AS DATE) AS back
+           FROM feed_actions WHERE os = 'iOS' AND gender = 0 AND post_id BETWEEN 0 AND 49),
+s AS (SELECT slot + to_days(CAST(back AS INTEGER)) AS ts, back, count(DISTINCT user_id) AS users,
+             count(*) FILTER (WHERE action = 'view') AS views, count(*) FILTER (WHERE action = 'like') AS likes
+      FROM e WHERE back IN (0, 1, 7) GROUP BY ALL)
+SELECT ts, strftime(ts, '%H:%M') AS hm, {", ".join(
+    f"CAST(coalesce(sum({m}) FILTER (WHERE back = {b}), 0) AS BIGINT) AS {m}{x}"
+    for b, x in ((0, ""), (1, "_1d"), (7, "_7d")) for m in ("users", "views", "likes"))}
+FROM s GROUP BY ts""")
+def q_live_offsets_sliced(spark, d):
+    f, _ = load_events(spark, d)
+    return aud.live_offsets(aud.filter_slice(f, os="iOS", gender=0, post_id=list(range(50))), YESTERDAY, (1, 7))
+
+
 @register("user_bubbles", """
 SELECT COALESCE(f.user_id, m.user_id) AS user_id,
        CAST(COALESCE(f.views, 0) AS BIGINT) AS views, CAST(COALESCE(f.likes, 0) AS BIGINT) AS likes,

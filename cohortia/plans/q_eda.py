@@ -292,6 +292,17 @@ def q_preview_events(spark, d):
                                                F.lit(5).alias("limit"))
 
 
+@register("latest_events", """
+SELECT user_id, post_id, action, time FROM feed_actions
+ORDER BY time DESC, user_id, post_id, action LIMIT 100""")
+def q_latest_events(spark, d):
+    """The last 100 actions, newest first."""
+    from cohortia.sources.events import load_events
+    from cohortia.sources.tables import preview
+    f, _ = load_events(spark, d)
+    return preview(f.select("user_id", "post_id", "action", "time"), 100, (F.col("time").desc(), "user_id", "post_id", "action"))
+
+
 def _kendall_sql(cols: list[str]) -> str:
     parts = []
     for i, a in enumerate(cols):

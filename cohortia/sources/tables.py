@@ -42,6 +42,7 @@ def read_jdbc(spark: SparkSession, table: str, conf_prefix: str = "cohortia.jdbc
     return spark.read.format("jdbc").options(**opts).load()
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """``SELECT * … LIMIT n`` (S3): a bounded peek, the limit is the feature."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order_by: tuple = ()) -> DataFrame:
+    """``SELECT * … LIMIT n`` (S3): a bounded peek, the limit is the feature.  With ``order_by`` the
+    first n rows of that order (O1), planned as a top n of each task."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
