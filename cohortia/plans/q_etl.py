@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from cohortia.operators import etl
 from cohortia.plans.catalog import YESTERDAY, register
 from cohortia.session import ensure_checkpoint_dir
 from cohortia.sources.events import load_events
-from cohortia.sources.sinks import read_fact, write_fact
+from cohortia.sources.sinks import load_day, read_fact, read_loaded, write_fact
 
 Y = YESTERDAY.isoformat()
 _M = ["views", "likes", "messages_received", "messages_sent", "users_received", "users_sent"]
@@ -152,6 +153,25 @@ def q_etl_fact_table(spark, d):
     return out.select("event_date", "gender", "age", "os", *_M)
 
 
+_BEFORE = YESTERDAY - dt.timedelta(days=1)
+_TWO_DAYS = f"{_fact_sql(_MERGE)}\nUNION ALL\n" + _fact_sql(_MERGE).replace(f"DATE '{Y}'", f"DATE '{_BEFORE}'")
+
+
+@register("etl_fact_loads", _TWO_DAYS)
+def q_etl_fact_loads(spark, d):
+    """Two days are loaded, one of them again from corrected rows; an older run that comes
+    late and a run that is started twice change nothing."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortia_loads_{uuid.uuid4().hex}"
+    f, m = _ev(spark, d)
+    wrong = etl.daily_fact(f, m, YESTERDAY, "sender_groups", "views")
+    load_day(etl.daily_fact(f, m, _BEFORE), path, _BEFORE, run=1)
+    load_day(wrong, path, YESTERDAY, run=1)
+    load_day(etl.daily_fact(f, m, YESTERDAY), path, YESTERDAY, run=3)
+    load_day(wrong, path, YESTERDAY, run=2)
+    load_day(wrong, path, YESTERDAY, run=3)
+    return read_loaded(spark, path).select("event_date", "gender", "age", "os", *_M)
+
+
 @register("etl_fact_tsv", _fact_sql(_MERGE))
 def q_etl_fact_tsv(spark, d):
     """The fact exported as TSV with a header, read back with the fact schema."""

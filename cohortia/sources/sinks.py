@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia.functions.metrics import fmt_thousands
+from cohortia.functions.timefn import as_date
 
 FACT_SORT = ("gender", "age", "os")
 
@@ -58,6 +59,48 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def load_day(df: DataFrame, path: str, on_day, run: int, partition_col: str = "event_date",
+             sort_cols: tuple[str, ...] = FACT_SORT, tasks: int | None = None) -> bool:
+    """S4/S5 with a version guard: load one day of ``df`` as run number ``run``; False if that
+    (day, run) is loaded already, and nothing is written.
+
+    A run writes its own folder ``data/<day>/run=<run>`` and then one row to ``log/<day>/run=<run>``;
+    readers go by the log, of which the largest run of a day counts.  So a writer that dies leaves
+    the day as it was, the same run may be started again, two writers never share a folder, and a late
+    run with a smaller number doesn't replace a newer one.  No setting of the session is touched.
+    Rows of other days are left out; a day without rows is loaded as empty.
+    """
+    spark, d = df.sparkSession, as_date(on_day)
+    at = f"{partition_col}={d}/run={int(run)}"
+    if not _log(spark, path, partition_col).where((F.col(partition_col) == F.lit(d)) & (F.col("run") == int(run))).isEmpty():
+        return False
+    rows = df.where(F.col(partition_col) == F.lit(d)).drop(partition_col)
+    rows = rows.repartition(tasks) if tasks else rows.coalesce(1)
+    order = [c for c in sort_cols if c in rows.columns]
+    rows = rows.sortWithinPartitions(*order) if order else rows
+    rows.write.mode("overwrite").parquet(f"{path}/data/{at}")
+    written = spark.read.schema(rows.schema).parquet(f"{path}/data/{at}").agg(F.count(F.lit(1)).alias("rows"))
+    written.coalesce(1).write.mode("overwrite").parquet(f"{path}/log/{at}")
+    return True
+
+
+def _log(spark: SparkSession, path: str, partition_col: str) -> DataFrame:
+    """(rows, day, run) of all loads; empty where nothing was loaded yet."""
+    schema = f"rows bigint, {partition_col} date, run bigint"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/log")
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/log")
+
+
+def read_loaded(spark: SparkSession, path: str, partition_col: str = "event_date") -> DataFrame:
+    """The newest loaded run of every day.  The log tells its folders, one for each day, and only these
+    are listed and read; the newest runs (a row for each day of the calendar) pass the driver."""
+    newest = _log(spark, path, partition_col).groupBy(partition_col).agg(F.max("run").alias("run")).collect()
+    folders = [f"{path}/data/{partition_col}={r[partition_col]}/run={r.run}" for r in newest]
+    return spark.read.option("basePath", f"{path}/data").parquet(*folders).drop("run")
+
+
 def export_tsv(df: DataFrame, path: str) -> None:
     """TSVWithNames — tab separated with a header row."""
     df.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
