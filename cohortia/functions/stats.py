@@ -19,10 +19,32 @@ from pyspark.sql.types import DoubleType
 
 _TINY = 1e-300
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
+STIRLING_FROM = 50.0    # from here on the series below is exact to the last digits
+NORMAL_FROM = 1e5       # degrees of freedom from which Student's tail comes from a normal one
 _erfc = np.vectorize(math.erfc, otypes=[float])
 
 
-def _betacf(a, b, x, iters: int = 400, eps: float = 1e-15):
+def _stirling(x):
+    """ln Γ(x) − ((x − ½) ln x − x + ½ ln 2π), for large x."""
+    i = 1.0 / (x * x)
+    return (1 / 12 - (1 / 360 - (1 / 1260 - i / 1680) * i) * i) / x
+
+
+def log_beta(a, b):
+    """ln B(a, b), element-wise, without the difference of large logarithms: with s the smaller
+    and g the larger one, ln Γ(g + s) − ln Γ(g) = (g − ½) ln(1 + s/g) + s ln(g + s) − s + corrections."""
+    s, g = np.minimum(a, b), np.maximum(a, b)
+    out = _lgamma(s) + _lgamma(np.minimum(g, STIRLING_FROM)) - _lgamma(np.minimum(g, STIRLING_FROM) + s)
+    big = g > STIRLING_FROM
+    if np.any(big):
+        sb, gb = s[big], g[big]
+        rise = (gb - 0.5) * np.log1p(sb / gb) + sb * np.log(gb + sb) - sb + _stirling(gb + sb) - _stirling(gb)
+        out[big] = _lgamma(sb) - rise
+    return out
+
+
+def _betacf(a, b, x, iters: int = 5000, eps: float = 1e-15):
+    """Continued fraction of the incomplete beta function; an error if it doesn't settle."""
     qab, qap, qam = a + b, a + 1.0, a - 1.0
     c = np.ones_like(x)
     d = 1.0 - qab * x / qap
@@ -47,8 +69,8 @@ def _betacf(a, b, x, iters: int = 400, eps: float = 1e-15):
         de = d * c
         h = h * de
         if np.all(np.abs(de - 1.0) < eps):
-            break
-    return h
+            return h
+    raise ArithmeticError(f"incomplete beta function: no convergence in {iters} steps")
 
 
 def betainc(a, b, x):
@@ -61,8 +83,7 @@ def betainc(a, b, x):
     mid = ok & (x > 0) & (x < 1)
     if mid.any():
         am, bm, xm = a[mid], b[mid], x[mid]
-        lbt = (_lgamma(am + bm) - _lgamma(am) - _lgamma(bm)
-               + am * np.log(xm) + bm * np.log1p(-xm))
+        lbt = am * np.log(xm) + bm * np.log1p(-xm) - log_beta(am, bm)
         bt = np.exp(lbt)
         direct = xm < (am + 1.0) / (am + bm + 2.0)
         r = np.empty_like(xm)
@@ -76,10 +97,17 @@ def betainc(a, b, x):
 
 
 def t_sf(t, df):
-    """P(T > t) for Student's t with ``df`` degrees of freedom."""
-    t = np.asarray(t, dtype=float)
-    df = np.asarray(df, dtype=float)
-    tail = 0.5 * betainc(df / 2.0, 0.5, df / (df + t * t))
+    """P(T > t) for Student's t with ``df`` degrees of freedom.
+
+    Up to ``NORMAL_FROM`` by the incomplete beta function; beyond, the normal tail at
+    z = √w · (1 + (w + 3) / (48 a²)) with a = df − ½ and w = a ln(1 + t²/df), whose error is of the order df⁻³."""
+    t, df = (np.array(v, dtype=float) for v in np.broadcast_arrays(t, df))
+    large = df > NORMAL_FROM
+    tail = 0.5 * betainc(np.where(large, np.nan, df) / 2.0, 0.5, df / (df + t * t))
+    if np.any(large):
+        a = np.where(large, df, 1.0) - 0.5
+        w = a * np.log1p(t * t / np.where(large, df, 1.0))
+        tail = np.where(large, norm_sf(np.sqrt(w) * (1 + (w + 3) / (48 * a * a))), tail)
     return np.where(t >= 0, tail, 1.0 - tail)
 
 

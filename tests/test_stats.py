@@ -14,13 +14,49 @@ from cohortia.functions.hashing import poisson_thresholds
 from cohortia.operators import experiment as ex
 
 
-@pytest.mark.parametrize("t,dof", [(0.0, 5.0), (1.3, 3.0), (-2.2, 12.5), (4.0, 80.0), (0.5, 1.0), (-7.0, 250.0)])
+@pytest.mark.parametrize("t,dof", [(0.0, 5.0), (1.3, 3.0), (-2.2, 12.5), (4.0, 80.0), (0.5, 1.0), (-7.0, 250.0),
+                                   (0.1, 0.7), (2.5, 0.7), (1.0, 99_999.0)])
 def test_t_distribution_matches_commons_math(spark, t, dof):
     jvm = spark.sparkContext._jvm
     cdf = jvm.org.apache.commons.math3.distribution.TDistribution(float(dof)).cumulativeProbability(float(t))
     assert stats.t_sf(np.array([t]), np.array([dof]))[0] == pytest.approx(1 - cdf, abs=1e-10)
 
 
+def _tail_by_quadrature(t, dof):
+    """∫ cos^(df−1) θ dθ over the tail, as a share of the whole, by Gauss–Legendre in 400
+    pieces; for df ≥ 1, as there is a pole at the end below."""
+    x, w = np.polynomial.legendre.leggauss(20)
+
+    def integral(lo, hi):
+        cuts = np.linspace(lo, hi, 401)
+        mid, half = (cuts[1:] + cuts[:-1]) / 2, (cuts[1:] - cuts[:-1]) / 2
+        return float(np.sum(half[:, None] * w * np.exp((dof - 1) * np.log(np.cos(mid[:, None] + half[:, None] * x)))))
+
+    start = math.atan(t / math.sqrt(dof))
+    far = min(math.pi / 2, start + 60 / math.sqrt(dof))
+    return integral(start, far) / (2 * integral(0.0, min(math.pi / 2, 60 / math.sqrt(dof))))
+
+
+@pytest.mark.parametrize("dof", [1.0, 3.0, 49.0, 101.0, 1e3, 99_999.0, 100_001.0, 1e7, 1e9])
+@pytest.mark.parametrize("t", [0.0, 0.1, 1.0, 2.5, 6.0])
+def test_t_tail_by_quadrature_for_any_degrees_of_freedom(t, dof):
+    got = stats.t_sf(np.array([t, -t]), np.array([dof, dof]))
+    assert got[0] == pytest.approx(_tail_by_quadrature(t, dof), rel=1e-8)
+    assert got.sum() == pytest.approx(1.0, abs=1e-12)
+
+
+def test_log_beta_keeps_its_digits():
+    a = np.array([0.5, 3.0, 49.9, 50.1, 1e4, 1e9])
+    # B(a, 1) = 1/a and B(a, 2) = 1/(a (a + 1))
+    assert stats.log_beta(a, np.ones(6)) == pytest.approx(-np.log(a), rel=1e-13, abs=1e-13)
+    assert stats.log_beta(np.full(6, 2.0), a) == pytest.approx(-np.log(a) - np.log1p(a), rel=1e-13, abs=1e-13)
+
+
+def test_no_convergence_is_an_error():
+    with pytest.raises(ArithmeticError):
+        stats._betacf(np.array([1e6]), np.array([0.5]), np.array([0.9999]), iters=3)
+
+
 @pytest.mark.parametrize("z", [-3.0, -0.4, 0.0, 1.7, 5.0])
 def test_normal_tail_matches_commons_math(spark, z):
     jvm = spark.sparkContext._jvm
