@@ -25,6 +25,7 @@ from cohortia.llm.scratch import store
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 512
+SHARD_WORDS = 1 << 25       # words of the mix that a shard is meant to hold, some 200 MB of text
 
 
 def n_words(text: Column) -> Column:
@@ -121,6 +122,9 @@ def splitting_tree(blocks: DataFrame, depth: int, seed: int) -> DataFrame:
     root = blocks.agg(F.array_sort(F.collect_list(F.struct("source", F.col("n_blocks").alias("k")))).alias("ks"))
     nodes = root.select(F.lit(0).cast("long").alias("node"), "ks")
     for level in range(depth):
+        if level == 10:
+            nodes = nodes.repartition("node")           # a thousand nodes: the rest of the tree is many tasks' work
+
         def fold(s, x):
             u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(level), F.col("node"), x["source"]), 11) * 2.0 ** -53
             return _let(hypergeometric(s["n"], x["k"], s["d"], u), lambda got: F.struct(
@@ -139,7 +143,12 @@ def splitting_tree(blocks: DataFrame, depth: int, seed: int) -> DataFrame:
     return each.select("source", "shard", (high - F.col("k")).alias("low"), high.alias("high")).where("high > low")
 
 
-def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int = 7, shard_depth: int = 4,
+def shard_depth_of(words: float, shard_words: int = SHARD_WORDS) -> int:
+    """Depth of the tree: its 2**depth shards, 16 at least, hold at most ``shard_words`` of the mix on average."""
+    return max(4, math.ceil(math.log2(max(1.0, words / shard_words))))
+
+
+def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int = 7, shard_words: int = SHARD_WORDS,
                 block_words: int = 8192, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
     """One row per distinct (id, source, text): ``id``, ``source``, ``text_hash``, ``copies``,
@@ -148,7 +157,7 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
     ``weigh`` adds ``weight`` to (source, source_size).  Null texts and empty texts have
     size 0; a null source is a source of its own; rows that repeat an id, a source and a
     text share one draw, which counts all of them (``copies``).  An empty table gives no
-    rows.  Documents aren't cut: what a source misses of its target is less than any
+    rows.  The number of shards follows the words of the mix (``shard_words``).  Documents aren't cut: what a source misses of its target is less than any
     document that it leaves out of the last pass, or half of that where one goes over it.
     """
     text = F.coalesce(text_col, F.lit(""))
@@ -158,6 +167,7 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
         .groupBy("id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("copies")), "sizes")
     words = F.col("size") * F.col("copies")
     sources = store(targets(weigh(slim.groupBy("source").agg(F.sum(words).alias("source_size"))), cap), "targets")
+    depth = shard_depth_of(float(sources.agg(F.sum("target")).first()[0] or 0), shard_words)
     renamed = sources.withColumnRenamed("source", "s")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     rows = (slim.join(renamed, F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -242,7 +252,7 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
                             F.greatest(F.col("target") - 1, F.lit(0.0))) / block_words).cast("long")
     rows = rows.withColumn("block", block)
     blocks = rows.where("taken").groupBy("source").agg((F.max("block") + 1).alias("n_blocks"))
-    ranges = splitting_tree(blocks, shard_depth, seed)
+    ranges = splitting_tree(blocks, depth, seed)
     places = store(ranges.select(F.col("source").alias("s"), "shard",
                                  F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("b")), "blocks")
     placed = rows.join(places, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
@@ -251,19 +261,19 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
             .agg(F.array_sort(F.collect_list(draw)).alias("draws")))
 
 
-def mixed_documents(docs: DataFrame, seed: int = 7, shard_depth: int = 4, id_col: str = "doc_id",
+def mixed_documents(docs: DataFrame, seed: int = 7, id_col: str = "doc_id",
                     text_col: str = "text", source_col: str = "source", **kw) -> DataFrame:
     """The mix itself: ``docs``' own columns, a row for every time it is taken, dealt to the
     shards and shuffled inside each.  Rows that are not drawn are left out."""
-    mix = store(mix_sources(docs, seed=seed, shard_depth=shard_depth, id_col=id_col, text_col=text_col,
-                            source_col=source_col, **kw)
+    mix = store(mix_sources(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **kw)
                 .where(F.size("draws") > 0)
                 .select(F.col("id").alias("__id"), F.col("source").alias("__source"),
                         F.col("text_hash").alias("__hash"), F.col("draws").alias("__draws")), "mix")
+    shards = (mix.agg(F.max(F.array_max(F.col("__draws.shard")))).first()[0] or 0) + 1
     out = docs.join(mix, F.col(id_col).eqNullSafe(F.col("__id"))
                     & F.col(source_col).eqNullSafe(F.col("__source"))
                     & (F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col("__hash")))
     out = out.withColumn("__draw", F.explode("__draws"))
     order = F.xxhash64(F.lit(seed), F.col("__hash"), F.col("__id"), F.col("__draw.epoch"))
-    return (out.repartition(2 ** shard_depth, F.col("__draw.shard"))
+    return (out.repartition(shards, F.col("__draw.shard"))
             .sortWithinPartitions(F.col("__draw.shard"), order).select(*docs.columns))

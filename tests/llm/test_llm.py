@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -307,6 +308,47 @@ def test_mixing_fills_behind_a_long_document(spark):
         assert taken == {"a": 2000, "b": 6000} and {r.target for r in got} == {2000.0, 6000.0}
 
 
+def _plain_targets(sizes, weights, cap):
+    """Water filling in fractions: those above ``cap`` times their size are held there, the rest share again."""
+    held = set()
+    while True:
+        left = sum(sizes.values()) - sum(cap * sizes[s] for s in held)
+        open_ = [s for s in sizes if s not in held]
+        level = Fraction(left, sum(weights[s] for s in open_)) if open_ else Fraction(0)
+        above = {s for s in open_ if level * weights[s] > cap * sizes[s]}
+        if not above:
+            return {s: Fraction(cap * sizes[s]) if s in held else level * weights[s] for s in sizes}
+        held |= above
+
+
+@pytest.mark.parametrize("sizes", [[5], [0, 7], [1, 1, 1, 1], [1000, 1, 1, 1, 50], [3, 300, 30_000, 0, 9, 27, 2], [0, 0]])
+def test_mixing_targets_equal_plain_water_filling(spark, sizes):
+    names = ["A", "Z", "a", "aa", "\u00e9", "\u4e2d", None][:len(sizes)]
+    weights = {n: i % 3 + 1 for i, n in enumerate(names)}
+    frame = spark.createDataFrame(list(zip(names, sizes, strict=True)), "source string, source_size long").repartition(3)
+    got = {r.source: r.target for r in mixing.targets(mixing.cyclic_weights(frame), 3).collect()}
+    want = _plain_targets(dict(zip(names, sizes, strict=True)), weights, 3)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(float(want[k]), rel=1e-12) for k in want)
+
+
+def test_mixing_shards_follow_the_words(spark, docs):
+    assert [mixing.shard_depth_of(w) for w in (0, 1 << 29, (1 << 29) + 1, 1 << 40)] == [4, 4, 5, 15]
+    shards = {}
+    taken = []
+    for size in (1 << 25, 500):
+        rows = mixing.mix_sources(docs, shard_words=size, block_words=64).collect()
+        taken.append({(r.id, r.source, r.text_hash): len(r.draws) for r in rows})
+        words = {}
+        for r in rows:
+            for x in r.draws:
+                words[x.shard] = words.get(x.shard, 0) + r.size * r.copies
+        shards[size] = words
+    assert taken[0] == taken[1]                                     # shards don't change what the mix takes
+    assert len(shards[1 << 25]) <= 16 < len(shards[500])
+    longest = max(r.size * r.copies for r in mixing.mix_sources(docs).collect())
+    assert max(shards[500].values()) <= 2 * 500 + 64 + longest
+
+
 def test_mixing_leaves_out_nothing_that_fits(docs):
     by = {}
     for r in mixing.mix_sources(docs).collect():
