@@ -3,9 +3,10 @@
 DataFrame functions only.  Each source gets a target in words: its weight's
 share of all words, at most ``cap`` times what it has, the excess shared among the
 rest (water filling over the sources, closed form).  A source's documents are
-put in a random order per pass; whole passes are taken, and of the next one, in its
-order, every document that fits into what is still missing; at last a document
-that goes over the target by less than is missing without it.
+put in a random order per pass; whole passes are taken, and of the next one the
+documents in its order up to the first that doesn't fit.  What is missing then, less
+than that document, is filled from the longest documents that fit downwards; at last
+comes a document that goes over the target by less than is missing without it.
 The order's words are cut into blocks.  A binary tree divides the exact block
 counts of all sources among the output shards, each node drawing from the
 multivariate hypergeometric distribution, so a shard's composition is that of
@@ -148,6 +149,61 @@ def shard_depth_of(words: float, shard_words: int = SHARD_WORDS) -> int:
     return max(4, math.ceil(math.log2(max(1.0, words / shard_words))))
 
 
+def range_starts(sums: DataFrame, keys: list[str], length: int, head: int) -> DataFrame:
+    """(keys, bucket, sum) -> with ``before``, the sum of the smaller buckets of the same keys.
+
+    Buckets are strings of ``length``: a head and hex digits.  Three digits a level, so
+    that no window holds more than 4,096 rows for each head, however many buckets there are.
+    """
+    def start(*part):
+        rows = Window.partitionBy(*part).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("sum").over(rows), F.lit(0))
+
+    if length <= head + 3:
+        return sums.withColumn("before", start(*keys))
+    sums = sums.withColumn("upper", F.substring("bucket", 1, length - 3))
+    above = range_starts(sums.groupBy(*keys, F.col("upper").alias("bucket")).agg(F.sum("sum").alias("sum")),
+                         keys, length - 3, head)
+    above = above.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("bucket").alias("__upper"),
+                         F.col("before").alias("__before"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col("upper") == F.col("__upper"))
+    inner = sums.withColumn("before", start(*keys, "upper"))
+    return (inner.join(above, same).withColumn("before", F.col("before") + F.col("__before"))
+            .select(*keys, "bucket", "sum", "before"))
+
+
+def fill_by_size(left: DataFrame, gaps: DataFrame) -> DataFrame | None:
+    """How many documents of each size go into the gaps: (s, w, take, base), None if there are none.
+
+    ``left``: (source, words) of what isn't taken; ``gaps``: (s, have, gap).  From the
+    longest size that fits downwards, as many of each as fit; ``base`` is the words taken
+    before it.  A round takes sizes whole up to one that doesn't fit whole and of that one
+    what fits; less than half of the gap is missing afterwards, so there are at most as
+    many rounds as the longest document's length has binary digits.  Only counts by size
+    are looked at, and only sizes below the gap, which the longest document bounds.
+    """
+    sizes = store(left.join(gaps, F.col("source").eqNullSafe(F.col("s"))).where("words <= gap")
+                  .groupBy("source", F.col("words").alias("w")).agg(F.count(F.lit(1)).alias("n")), "left-sizes")
+    gaps = gaps.withColumn("below", F.col("gap") + 1)
+    whole = F.col("w") * F.col("n")
+    down = Window.partitionBy("source").orderBy(F.col("w").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    takes = []
+    while True:
+        found = (sizes.join(gaps, F.col("source").eqNullSafe(F.col("s"))).where("w <= gap and w < below")
+                 .withColumn("before", F.coalesce(F.sum(whole).over(down), F.lit(0)))
+                 .where(F.col("before") < F.col("gap"))
+                 .withColumn("take", F.least("n", F.floor((F.col("gap") - F.col("before")) / F.col("w"))).cast("long")))
+        found = store(found, "found")
+        if found.isEmpty():
+            return reduce(DataFrame.unionByName, takes) if takes else None
+        takes.append(found.where("take > 0").select("s", "w", "take", (F.col("have") + F.col("before")).alias("base")))
+        got = F.sum(F.col("w") * F.col("take"))
+        gaps = (found.groupBy("s", "have", "gap").agg(got.alias("got"), F.min(F.when(F.col("take") < F.col("n"), F.col("w")))
+                                                      .alias("below"))
+                .select("s", (F.col("have") + F.col("got")).alias("have"), (F.col("gap") - F.col("got")).alias("gap"),
+                        "below").where("gap > 0 and below is not null"))
+
+
 def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int = 7, shard_words: int = SHARD_WORDS,
                 block_words: int = 8192, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
@@ -157,7 +213,8 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
     ``weigh`` adds ``weight`` to (source, source_size).  Null texts and empty texts have
     size 0; a null source is a source of its own; rows that repeat an id, a source and a
     text share one draw, which counts all of them (``copies``).  An empty table gives no
-    rows.  The number of shards follows the words of the mix (``shard_words``).  Documents aren't cut: what a source misses of its target is less than any
+    rows.  The number of shards follows the words of the mix
+    (``shard_words``).  Documents aren't cut: what a source misses of its target is less than any
     document that it leaves out of the last pass, or half of that where one goes over it.
     """
     text = F.coalesce(text_col, F.lit(""))
@@ -180,57 +237,43 @@ def mix_sources(docs: DataFrame, weigh=cyclic_weights, cap: int = 3, seed: int =
     # Running words: totals of hash ranges first, then inside each range.
     n = slim.count()
     digits = max(0, math.ceil(math.log(max(1, n / BUCKET_ROWS), 16)))
-    rows = rows.withColumn("bucket", F.substring("o", 1, digits))
-    sums = rows.groupBy("source", "epoch", "bucket").agg(F.sum("words").alias("sum"))
-    before = store(sums.select(
-        F.col("source").alias("s"), F.col("epoch").alias("e"), F.col("bucket").alias("b"),
-        F.coalesce(F.sum("sum").over(Window.partitionBy("source").orderBy("epoch", "bucket")
-                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before")), "ranges")
-    inside = Window.partitionBy("source", "epoch", "bucket").orderBy("o", "text_hash", "id")
+    wide = len(str(cap))
+    rows = rows.withColumn("bucket", F.concat(F.lpad(F.col("epoch").cast("string"), wide, "0"),
+                                              F.substring("o", 1, digits)))
+    before = store(range_starts(rows.groupBy("source", "bucket").agg(F.sum("words").alias("sum")), ["source"],
+                                wide + digits, wide).select(F.col("source").alias("s"), F.col("bucket").alias("b"),
+                                                            "before"), "ranges")
+    inside = Window.partitionBy("source", "bucket").orderBy("o", "text_hash", "id")
     running = F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = (rows.withColumn("inside", running)
-            .join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("epoch") == F.col("e"))
-                  & (F.col("bucket") == F.col("b"))).drop("s", "e", "b")
+            .join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
             .withColumn("upto", F.col("before") + F.col("inside")).drop("before", "inside")
             .withColumn("taken", (F.col("epoch") < F.col("passes")) | (F.col("upto") <= F.col("target"))))
     rows = store(rows, "order")
-    # Behind a document that doesn't fit, the order goes on with those that do.  What is missing
-    # is less than that document, so all that fit come behind it, and each round passes one more.
-    place = F.struct("o", "text_hash", "id")
-    gaps = store(rows.groupBy("source", "target").agg(F.sum(F.when(F.col("taken"), F.col("words"))).alias("have"),
-                                                      F.min(F.when(~F.col("taken"), place)).alias("cut"))
-                 .select(F.col("source").alias("s"), F.coalesce("have", F.lit(0)).alias("have"),
-                         (F.col("target") - F.coalesce("have", F.lit(0))).alias("gap"), "cut")
-                 .where("gap > 0 and cut is not null"), "gaps")
-    later = []
-    while not gaps.isEmpty():
-        fits = (rows.where(~F.col("taken") & (F.col("words") > 0)).join(gaps, F.col("source").eqNullSafe(F.col("s")))
-                .where((F.col("words") <= F.col("gap")) & (place > F.col("cut")))
-                .select("source", "epoch", "bucket", "o", "text_hash", "id", "words", "have", "gap"))
-        sums = fits.groupBy("source", "bucket").agg(F.sum("words").alias("sum"))
-        before = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(
-            F.sum("sum").over(Window.partitionBy("source").orderBy("bucket")
-                              .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-        # up to the next one that doesn't fit any more
-        found = store(fits.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-                      .where("before <= gap")
-                      .withColumn("more", F.col("before") + running).where("more - words <= gap")
-                      .select("source", "epoch", "o", "text_hash", "id", "have", "gap", "more"), "found")
-        later.append(found.where("more <= gap").select(
-            F.col("source").alias("s"), F.col("epoch").alias("fepoch"), F.col("text_hash").alias("fhash"),
-            F.col("id").alias("fid"), (F.col("have") + F.col("more")).alias("fupto")))
-        got = F.coalesce(F.max(F.when(F.col("more") <= F.col("gap"), F.col("more"))), F.lit(0))
-        gaps = store(found.groupBy("source", "have", "gap").agg(
-            got.alias("got"), F.max(F.when(F.col("more") > F.col("gap"), place)).alias("cut"))
-            .select(F.col("source").alias("s"), (F.col("have") + F.col("got")).alias("have"),
-                    (F.col("gap") - F.col("got")).alias("gap"), "cut").where("gap > 0 and cut is not null"), "gaps")
 
     def same_row():
         return (F.col("source").eqNullSafe(F.col("s")) & (F.col("text_hash") == F.col("fhash"))
                 & F.col("id").eqNullSafe(F.col("fid")) & (F.col("epoch") == F.col("fepoch")))
 
-    if later:
-        rows = (rows.join(reduce(DataFrame.unionByName, later), same_row(), "left")
+    gaps = rows.groupBy("source", "target").agg(F.coalesce(F.sum(F.when(F.col("taken"), F.col("words"))),
+                                                           F.lit(0)).alias("have"))
+    gaps = store(gaps.select(F.col("source").alias("s"), "have", (F.col("target") - F.col("have")).alias("gap"))
+                 .where("gap > 0"), "gaps")
+    left = rows.where(~F.col("taken") & (F.col("words") > 0))
+    takes = fill_by_size(left, gaps)
+    if takes is not None:
+        ranks = (left.join(takes, F.col("source").eqNullSafe(F.col("s")) & (F.col("words") == F.col("w"))).drop("s", "w"))
+        starts = range_starts(ranks.groupBy("source", "words", "bucket").agg(F.count(F.lit(1)).alias("sum")),
+                              ["source", "words"], wide + digits, wide)
+        starts = starts.select(F.col("source").alias("s"), F.col("words").alias("w"), F.col("bucket").alias("b"), "before")
+        same_size = Window.partitionBy("source", "words", "bucket").orderBy("o", "text_hash", "id")
+        filled = (ranks.withColumn("rank", F.row_number().over(same_size))
+                  .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("words") == F.col("w"))
+                        & (F.col("bucket") == F.col("b")))
+                  .withColumn("rank", F.col("rank") + F.col("before")).where("rank <= take")
+                  .select("s", F.col("epoch").alias("fepoch"), F.col("text_hash").alias("fhash"), F.col("id").alias("fid"),
+                          (F.col("base") + F.col("rank") * F.col("words")).alias("fupto")))
+        rows = (rows.join(store(filled, "fills"), same_row(), "left")
                 .withColumn("taken", F.col("taken") | F.col("fepoch").isNotNull())
                 .withColumn("upto", F.coalesce("fupto", "upto")).drop("s", "fid", "fhash", "fepoch", "fupto"))
         rows = store(rows, "filled")

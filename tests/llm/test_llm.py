@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -14,6 +16,7 @@ from cohortia.llm import (embedding_dedup, exact_dedup, line_dedup, lm_scoring,
 from cohortia.llm.attention import AttentionModel
 from cohortia.llm.components import connected_components
 from cohortia.llm.queries import ORACLES, QUERIES, URL_RULES, tokenizer
+from cohortia.llm.scratch import store
 from cohortia.llm.tokens import WordEncoder
 from cohortia.llm.words import word_hashes
 
@@ -359,6 +362,42 @@ def test_mixing_leaves_out_nothing_that_fits(docs):
         assert not left or abs(missing) < min(left) and not (missing < 0 and -missing > min(left) / 2 + 1e-6)
 
 
+def _plain_fill(sizes, gap):
+    """Longest first: every document that fits into what is still missing."""
+    got = Counter()
+    for w in sorted(sizes, reverse=True):
+        if w <= gap:
+            got[w] += 1
+            gap -= w
+    return got
+
+
+@pytest.mark.parametrize("gap", [0.5, 1.0, 16.0, 1000.5, 5000.0, 600_000.0])
+def test_mixing_fill_equals_plain_fill_in_few_rounds(spark, gap, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(mixing, "store", lambda df, name, *a: rounds.append(name) or store(df, name, *a))
+    rng = np.random.default_rng(int(gap))
+    sizes = {None: [1 << i for i in range(16)], "a": list(range(1, 1001)) * 2, "b": rng.integers(1, 400, 3000).tolist(), "c": []}
+    left = spark.createDataFrame([(s, w) for s, ws in sizes.items() for w in ws], "source string, words long")
+    gaps = spark.createDataFrame([(s, 7, gap) for s in sizes], "s string, have long, gap double")
+    takes = mixing.fill_by_size(left, gaps)
+    rows = takes.collect() if takes is not None else []
+    for s, ws in sizes.items():
+        got = {r.w: r.take for r in rows if r.s == s}
+        assert got == _plain_fill(ws, gap)
+        for r in (r for r in rows if r.s == s):
+            assert r.base == 7 + sum(w * n for w, n in got.items() if w > r.w)
+    assert rounds.count("found") <= max(1, int(gap).bit_length()) + 1
+
+
+def test_mixing_range_starts_over_many_levels(spark):
+    rows = [(s, f"1{i * 7919 % 16 ** 5:05x}", i % 11) for s in ("a", None) for i in range(3000)]
+    got = mixing.range_starts(spark.createDataFrame(rows, "source string, bucket string, sum long"), ["source"], 6, 1).collect()
+    want = sorted((b, n) for s, b, n in rows if s)
+    starts = dict(zip((b for b, _ in want), itertools.accumulate([0] + [n for _, n in want]), strict=False))
+    assert len(got) == 6000 and all(r.before == starts[r.bucket] for r in got)
+
+
 def test_hypergeometric_moments(spark):
     u = F.shiftrightunsigned(F.xxhash64("id"), 11) * 2.0 ** -53
     h = spark.range(4000).select(mixing.hypergeometric(F.lit(1000), F.lit(300), F.lit(200), u).alias("h"))
