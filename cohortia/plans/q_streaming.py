@@ -14,6 +14,7 @@ from cohortia.operators.anomaly import SERIES_METRICS
 from cohortia.plans.catalog import register
 from cohortia.plans.q_anomaly import A, N, fences_sql
 from cohortia.session import ensure_checkpoint_dir
+from cohortia.streaming import detector
 from cohortia.streaming import metrics as sm
 
 _TAGGED = """
@@ -23,11 +24,15 @@ UNION ALL
 SELECT time, user_id, FALSE, 0, 0, CAST(reciever_id IS NOT NULL AS INTEGER) FROM message_actions"""
 
 
-def _run(spark, d, build, mode: str = "append"):
+def _table(spark, d, build, mode: str = "append") -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/cohortia_stream_{uuid.uuid4().hex[:12]}"
     ev = sm.read_event_stream(spark, f"{d}/events.parquet")
     sm.run_to_table(build(ev), base + "/table", base + "/checkpoint", mode)
-    return spark.read.parquet(base + "/table")
+    return base + "/table"
+
+
+def _run(spark, d, build, mode: str = "append"):
+    return spark.read.parquet(_table(spark, d, build, mode))
 
 
 _CLOSED_SLOTS = f"""
@@ -91,14 +96,18 @@ _LONG = f"WITH s AS ({_CLOSED_SLOTS})\n" + "\nUNION ALL\n".join(
     for m in SERIES_METRICS)
 
 
-@register("stream_anomaly_alerts", f"""
+_VERDICTS = f"""
 WITH b AS ({fences_sql(_LONG, N, A, N // 2, 0)}),
 x AS (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value,
              CASE WHEN low_q = 0 THEN low_s ELSE low_q END AS lower,
              CASE WHEN up_q = 0 THEN up_s ELSE up_q END AS upper FROM b)
 SELECT metric, ts, hm, value, prev_value, abs(1 - value / nullif(prev_value, 0)) AS deviation, lower, upper,
        COALESCE(value < lower OR value > upper, FALSE) AS is_alert
-FROM x""", doubles=("value", "prev_value", "deviation", "lower", "upper"))
+FROM x"""
+_VERDICT_DOUBLES = ("value", "prev_value", "deviation", "lower", "upper")
+
+
+@register("stream_anomaly_alerts", _VERDICTS, doubles=_VERDICT_DOUBLES)
 def q_stream_anomaly_alerts(spark, d):
     """Closed slots → series table → detector in ``foreachBatch`` → a verdict for every closed slot."""
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/cohortia_alerts_{uuid.uuid4().hex[:12]}"
@@ -109,3 +118,13 @@ def q_stream_anomaly_alerts(spark, d):
          .option("checkpointLocation", base + "/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(base + "/alerts").drop("epoch_id")
+
+
+@register("stream_anomaly_stateful", _VERDICTS, doubles=_VERDICT_DOUBLES)
+def q_stream_anomaly_stateful(spark, d):
+    """Closed slots → series table → keyed state of the last slots → a verdict for every closed slot."""
+    path = _table(spark, d, lambda ev: sm.stream_metrics_15min(sm.tagged_stream(ev), "30 minutes"))
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/cohortia_detector_{uuid.uuid4().hex[:12]}"
+    verdicts = detector.detect_stream(detector.series_stream(spark, path, spark.read.parquet(path).schema), N, A)
+    sm.run_to_table(verdicts, base + "/verdicts", base + "/checkpoint")
+    return spark.read.schema(verdicts.schema).parquet(base + "/verdicts")

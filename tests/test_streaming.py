@@ -69,3 +69,43 @@ def test_slot_of_one_service_has_ctr_zero_and_alerts_cover_every_closed_slot(spa
     read = lambda d: sorted(map(str, spark.read.parquet(str(d / "alerts")).drop("epoch_id").collect()))
     assert len(read(whole)) == 240 and read(whole) == read(parts)
     assert spark.read.parquet(str(whole / "alerts")).where("is_alert").select("hm").distinct().count() >= 1
+
+
+def _slots(spark, n, first=0, odd=None):
+    from pyspark.sql import functions as F
+    bump = F.when(F.col("id") == odd, 500.0).otherwise(0.0) if odd is not None else F.lit(0.0)
+    value = (F.col("id") * 7 % 5).cast("double") + bump
+    at = F.lit("2024-01-01").cast("timestamp") + F.make_interval(mins=(F.col("id") * 15).cast("int"))
+    return spark.range(first, n).coalesce(1).select(
+        at.alias("ts"), value.alias("up"), F.when(F.col("id") % 11 != 3, value).alias("gaps"),
+        F.lit(4.0).alias("flat"))
+
+
+def test_stateful_detector_equals_the_batch_detector_over_restarts_and_replays(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cohortia.operators.anomaly import anomaly_bounds, melt_series, slot_verdicts
+    from cohortia.streaming.detector import detect_stream, series_stream
+    metrics = ("up", "gaps", "flat")
+    whole = _slots(spark, 60, odd=41)
+    batch = whole.withColumn("day", F.to_date("ts")).withColumn("hm", F.date_format("ts", "HH:mm"))
+    want = slot_verdicts(anomaly_bounds(melt_series(batch, metrics), as_of_slot=True))
+
+    def run():      # a new query each time: state comes back from the checkpoint
+        out = detect_stream(series_stream(spark, str(tmp_path / "series"), whole.schema, metrics))
+        q = (out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "checkpoint"))
+             .trigger(availableNow=True).start(str(tmp_path / "verdicts")))
+        q.awaitTermination()
+        return [p for p in q.recentProgress if p["stateOperators"]]
+
+    cuts = [0, 1, 4, 20, 42, 43, 60]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        # every file after the first holds the two slots before it again
+        _slots(spark, b, max(0, a - 2), odd=41).write.mode("append").parquet(str(tmp_path / "series"))
+        assert run()[-1]["stateOperators"][0]["numRowsTotal"] == len(metrics)
+    key = ["metric", "ts"]
+    got = spark.read.parquet(str(tmp_path / "verdicts")).toPandas().sort_values(key).reset_index(drop=True)
+    want = want.toPandas().sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got[want.columns], want, check_exact=False, rtol=1e-12, atol=1e-12)
+    assert got[got.is_alert & (got.metric == "up")].hm.tolist() == ["10:15"] and not got[got.metric == "flat"].is_alert.any()
+    assert not run() and spark.read.parquet(str(tmp_path / "verdicts")).count() == 180
