@@ -440,6 +440,55 @@ def test_lm_scores_awkward_rows(spark, odd):
     assert all(r[2] == 0 and r[3] == 0 and np.isfinite(r[-1]) for r in scores(held))
 
 
+def test_lm_learns_from_every_training_document(spark):
+    """Other texts in either half of the training documents change what the attention model says."""
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10][:12]
+    probe = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+
+    def attention(changed):
+        rows = [(i, "blue green " * 20 if i in changed else "the red house stands on a hill " * 8) for i in ids]
+        frame = spark.createDataFrame([*rows, (probe, "the red house stands on a hill")], "doc_id long, text string").coalesce(1)
+        got = lm_scoring.score_documents(frame, tokenizer(), max_fit_docs=1, epochs=1).where("held_out").collect()
+        return got[0].attention_score
+    whole = attention(())
+    assert whole > attention(ids[:6]) and whole > attention(ids[6:])
+
+
+def test_lm_mean_of_weights_and_sums_of_blocks():
+    import pandas as pd
+    w = [{"a": np.full((2, 3), x, np.float32), "b": np.arange(4, dtype=np.float32) * x} for x in (1, 4)]
+    mean = lm_scoring.mean_weights(pd.DataFrame({"of": 0, "task": [1, 0], "n": [2, 1], "data": [lm_scoring.flat_weights(x) for x in w]}))
+    got = {k: np.zeros_like(x) for k, x in w[0].items()}
+    lm_scoring.set_weights(got, mean["data"].iloc[0])
+    assert mean["n"].tolist() == [3] and (got["a"] == 2).all() and got["b"].tolist() == [0, 2, 4, 6]
+    blocks = lm_scoring.sum_blocks(pd.DataFrame({"block": 0, "task": 0, "data": [lm_scoring.packed([1, 2], "<i8")] * 3}))
+    assert lm_scoring.unpacked(blocks["data"].iloc[0], "<i8").tolist() == [3, 6]
+
+
+def test_attention_gradient_by_differences():
+    rng = np.random.default_rng(4)
+    n = np.array([1, 60, 29])
+    ids = rng.integers(0, 20, n.sum())
+    ids[np.cumsum(n) - 1] = 20
+    words = np.where(rng.random(len(ids)) < 0.6, ids % 3, -1)
+    model = AttentionModel(20, np.bincount(ids, minlength=21), np.arange(20) % 5, 3)
+    model.w = {k: x.astype(float) / (8 if k == "e" else 1) for k, x in model.w.items()}
+    place, scored = model.windows(n)
+    gradient = model._gradient(place, scored, *model._inputs(ids, n, words))
+
+    def loss():
+        logs, word_logs = model.score(ids, n, words)
+        return -(logs.sum() + word_logs[words >= 0].sum()) / len(ids)
+    for k, g in gradient.items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        old, ends = model.w[k][at], []
+        for step in (1e-3, -1e-3):
+            model.w[k][at] = old + step
+            ends.append(loss())
+        model.w[k][at] = old
+        assert abs((ends[0] - ends[1]) / 2e-3 - g[at]) < 1e-3 * abs(g[at]) + 1e-9, k
+
+
 def test_attention_scores_each_id_once_and_causally():
     rng = np.random.default_rng(4)
     ids = rng.integers(0, 20, 90)
