@@ -454,6 +454,17 @@ def test_lm_learns_from_every_training_document(spark):
     assert whole > attention(ids[:6]) and whole > attention(ids[6:])
 
 
+def test_lm_runs_are_small_in_memory():
+    import tracemalloc
+
+    from cohortia.llm.words import _POWERS, words_at
+    _POWERS.clear()
+    tracemalloc.start()
+    words_at(["lorem ipsum dolor " * (lm_scoring.RUN_CHARS // 72)] * 4)
+    assert tracemalloc.get_traced_memory()[1] < 120e6       # 183 MB at 4 million characters
+    tracemalloc.stop()
+
+
 def test_lm_mean_of_weights_and_sums_of_blocks():
     import pandas as pd
     w = [{"a": np.full((2, 3), x, np.float32), "b": np.arange(4, dtype=np.float32) * x} for x in (1, 4)]
