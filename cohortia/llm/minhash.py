@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from cohortia.llm.components import connected_components
 from cohortia.llm.scratch import store
 from cohortia.llm.words import mix64, shingle_sets, smallest_roots
+from cohortia.llm.workers import light
 
 BINS, BANDS, BAND_ROWS = 256, 36, 7      # 1 - (1 - 0.85**7)**36 = 1 - 9e-7
 BLOCK_DOCS = 512
@@ -133,7 +134,7 @@ def minhash_dedup(docs: DataFrame, percent: int = 85, shingle: int = 5, id_col:
                      pa.array([*star[:, 1].tolist(), *[None] * m], pa.int64()),
                      pa.array([*[None] * k, *keys[begin].tolist()], pa.int64())], names)
 
-    rows = store(id_and_text.mapInArrow(sketch, schema), "sketches")
+    rows = store(id_and_text.mapInArrow(light(sketch), schema), "sketches")
     documents = rows.where(F.col("key").isNull() & F.col("other").isNull()).select("id", "n", "rep")
     near = rows.where(F.col("other").isNotNull()).select(F.col("rep").alias("a"), F.col("other").alias("b"))
     buckets = rows.where(F.col("key").isNotNull()).select("key", F.col("rep").alias("b"))
@@ -159,7 +160,7 @@ def minhash_dedup(docs: DataFrame, percent: int = 85, shingle: int = 5, id_col:
                     [*part.columns[:4], pa.array([s.tobytes() for s in found], pa.binary())],
                     ["node", "component", "blocks", "block", "set"])
 
-    sets = sets.mapInArrow(shingles, "node long, component long, blocks int, block int, set binary")
+    sets = sets.mapInArrow(light(shingles), "node long, component long, blocks int, block int, set binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     sets = sets.withColumn("with", other).withColumn("lo", F.least("block", "with")) \
         .withColumn("hi", F.greatest("block", "with"))

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from cohortia.llm.scratch import store
 from cohortia.llm.tokens import encoder, in_steps
+from cohortia.llm.workers import light
 
 MERGED = 1 << 62       # sequence ids of merged leftovers begin here
 
@@ -114,7 +115,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int
             own = pa.array([r[0].as_py() for r in rest], rest[0][0].type)
             yield batch(own, [(j, *r[1:]) for j, r in enumerate(rest)], True)
 
-    rows = store(docs.select(id_col, text_col).mapInArrow(pack, schema), "packed")
+    rows = store(docs.select(id_col, text_col).mapInArrow(light(pack, encoders=False), schema), "packed")
     columns = [id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
     # one row per partition: the running total over partitions is a short single-task window
     sums = rows.where(F.col("part").isNotNull()).groupBy("part").agg(F.sum("length").alias("sum"))

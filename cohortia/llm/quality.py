@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.llm.scratch import store
-from cohortia.llm.tokens import close_encoders, in_steps
+from cohortia.llm.tokens import in_steps
 from cohortia.llm.words import to_bytes
+from cohortia.llm.workers import light, release
 
 RUN_CHARS, RUN_DOCS = 4_000_000, 8192
 _BLANK = np.zeros(256, bool)
@@ -134,13 +135,12 @@ def gram_scores(wanted: DataFrame, model: dict, order: int, alphabet: int = 256)
 
 def _distinct_grams(order: int):
     def run(batches):
-        close_encoders()
         for b in batches:
             texts = b.column(0).to_pylist()
             for lo, hi in in_steps(texts, RUN_DOCS, RUN_CHARS):
                 u, n = np.unique(grams(texts[lo:hi], order)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int64)), pa.array(n)], ["gram", "c"])
-    return run
+    return light(run)
 
 
 def perplexities(docs: DataFrame, model: dict, order: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,7 +154,6 @@ def perplexities(docs: DataFrame, model: dict, order: int, id_col: str = "doc_id
     columns = ["run", "shard", "data", "ids", "n"]
 
     def send(batches):
-        close_encoders()
         part, run = TaskContext.get().partitionId(), -1
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -192,7 +191,7 @@ def perplexities(docs: DataFrame, model: dict, order: int, id_col: str = "doc_id
                      pa.array([n, *[None] * (shards - 1)], pa.list_(pa.int64()))], columns)
 
     sent = docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(
-        send, "run long, shard int, data binary, ids array<long>, n array<long>")
+        light(send), "run long, shard int, data binary, ids array<long>, n array<long>")
 
     def look_up(messages: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         at = np.argsort(known["gram"].to_numpy())
@@ -208,6 +207,8 @@ def perplexities(docs: DataFrame, model: dict, order: int, id_col: str = "doc_id
             count[count == 255] = np.frombuffer(raw, "<u4", big, 12 + 12 * k + 3 * m)
             each = np.repeat(logp[np.searchsorted(names, u)], per) if k else np.zeros(0)
             sums.append(np.bincount(doc, weights=each * count).astype("<f8").tobytes())
+        del at, names, logp
+        release()                                       # a group is a shard, so this is seldom
         return messages.assign(data=sums)[["run", "shard", "data", "ids", "n"]]
 
     partial = sent.groupBy("shard").cogroup(scores.select("shard", "gram", "logp").groupBy("shard")).applyInPandas(

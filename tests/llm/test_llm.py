@@ -465,6 +465,59 @@ def test_lm_runs_are_small_in_memory():
     tracemalloc.stop()
 
 
+class _Caught(Exception):
+    pass
+
+
+class _Frame:
+    """Gives out the first function that an operator maps over batches."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        raise _Caught(run)
+
+
+def test_tasks_of_the_pipeline_keep_no_caches(spark):
+    import pyarrow as pa
+
+    from cohortia.llm import tokens, words
+    with pytest.raises(_Caught) as sketch:
+        minhash.minhash_dedup(_Frame())
+    texts = pa.array([LONG, None, "a b"])
+    ids = pa.array([1, 2, 3], pa.int64())
+    for run, columns in ((sketch.value.args[0], [ids, texts]), (quality._distinct_grams(4), [texts])):
+        tokens.encoder(tokenizer())
+        word_hashes([LONG])
+        assert tokens._OPEN and words._POWERS
+        assert list(run([pa.RecordBatch.from_arrays(columns, ["id", "text"][-len(columns):])]))
+        assert not tokens._OPEN and not words._POWERS
+
+
+def test_tasks_give_free_memory_back():
+    import re
+
+    import pyarrow as pa
+
+    from cohortia.llm.workers import light
+
+    def own_mb():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"Pss_Anon: +(\d+)", f.read())[1]) / 1024
+    pins = []
+
+    def run(batches):
+        for b in batches:
+            held = [bytes(700) for _ in range(300_000)]         # 210 MB; what stays lies behind
+            pins.append(bytes(700))
+            del held
+            yield b
+    batch, before = pa.RecordBatch.from_pydict({"x": [1]}), own_mb()
+    assert list(light(run)([batch])) == [batch]
+    assert own_mb() < before + 60
+
+
 def test_lm_mean_of_weights_and_sums_of_blocks():
     import pandas as pd
     w = [{"a": np.full((2, 3), x, np.float32), "b": np.arange(4, dtype=np.float32) * x} for x in (1, 4)]
