@@ -94,7 +94,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int
 
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
-            for lo, hi in in_steps(texts):
+            for lo, hi in in_steps(texts, 2048):        # distinct words are encoded once a step
                 done = []
                 for i, ids in enumerate(enc.encode(texts[lo:hi]), lo):
                     ids += end

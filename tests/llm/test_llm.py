@@ -73,6 +73,22 @@ def test_encoder_caches_keep_what_is_in_use():
         assert len(enc.chunks.new) + len(enc.chunks.old) < 40
 
 
+def test_encoder_merges_words_of_letters_as_arrays():
+    rng = np.random.default_rng(4)
+    letters = np.array([*"abcdefghijklmnopqrstuvwxyzetaoinsrhETAÀÖØÞßàöøþÿéü"])
+    words = ["".join(rng.choice(letters, n)) for n in [*range(1, 70), *rng.integers(1, 24, 1500)]]
+    words += ["a" * n for n in range(1, 70)] + ["é" * n for n in range(1, 40)] + ["the", "The", "THE", "information", "straße"]
+    odd = ["×", "a÷b", "naïve×", "µm", "ªº", "don't", "x1", "кот", "Ünï中"]
+    enc, filled = WordEncoder(tokenizer()), set()
+    fill = enc._fill
+    enc._fill = lambda chunks: (filled.update(chunks), fill(chunks))
+    text = " ".join([*words, *odd])
+    for t in (text, text + " J\u030c"):         # with a combining mark, letters keep their case
+        assert enc.encode([t, None, t + " end"]) == [enc._plain(t), b"", enc._plain(t + " end")]
+    assert enc.encode(words) == [enc._plain(w) for w in words]
+    assert set(odd) <= filled and all(len(w.encode()) > 64 for w in filled.intersection(words))
+
+
 def test_packing_round_trip(spark, docs, odd):
     for frame in (docs, odd):
         rows = packing.pack_documents(frame, tokenizer()).collect()
