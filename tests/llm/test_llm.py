@@ -648,3 +648,20 @@ def test_perplexities_equal_plain_kneser_ney(spark):
     for order in (0, 7):
         with pytest.raises(ValueError):
             quality.classify_quality(frame, labels, order=order)
+
+
+def test_neighbour_counts_equal_counts_by_place():
+    from cohortia.llm.attention import PLACES, add_neighbours, neighbour_slots
+    rng = np.random.default_rng(8)
+    size, width = 9, 4
+    for texts in ([[]], [[3]], [[3, 3]], [[0, 8, 8, 8], [1]], [rng.integers(0, size, 500), rng.integers(0, 2, 90), []]):
+        texts = [np.asarray(t, np.int64) for t in texts]
+        slot = neighbour_slots(np.bincount(np.concatenate(texts), minlength=size), width)
+        got, want = (np.zeros((len(PLACES), size, width), np.int32) for _ in range(2))
+        for t in texts:
+            add_neighbours(got, t, slot)
+            for j, d in enumerate(PLACES):
+                for i in range(len(t)):
+                    if 0 <= i + d < len(t):
+                        want[j, t[i], slot[t[i + d]]] += 1
+        assert (got == want).all()
