@@ -569,6 +569,48 @@ def test_attention_gradient_by_differences():
         assert abs((ends[0] - ends[1]) / 2e-3 - g[at]) < 1e-3 * abs(g[at]) + 1e-9, k
 
 
+def test_attention_gradient_in_parts(monkeypatch):
+    """Windows taken a few at a time give the same gradient, in less memory than whole batches."""
+    import tracemalloc
+
+    from cohortia.llm import attention
+    rng = np.random.default_rng(6)
+    n = rng.integers(1, 70, 200)
+    ids = rng.integers(0, 2000, n.sum())
+    ids[np.cumsum(n) - 1] = 2000
+    words = np.where(rng.random(len(ids)) < 0.6, ids % 49, -1)
+    model = AttentionModel(2000, np.bincount(ids, minlength=2001), np.arange(2000) % 64, 49)
+    place, scored = model.windows(n)
+    assert 256 < len(place) < 500
+    inputs = model._inputs(ids, n, words)
+    got = {}
+    for part in (7, 500):
+        monkeypatch.setattr(attention, "PART", part)
+        got[part] = model._gradient(place, scored, *inputs)
+    for k, g in got[7].items():
+        assert np.abs(g).max() > 0 and np.abs(g - got[500][k]).max() < 1e-5 * np.abs(g).max(), k
+    monkeypatch.undo()
+    tracemalloc.start()
+    model._gradient(place[:256], scored[:256], *inputs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8e6        # 5.8 MB; 12.5 MB with all 256 windows at once
+
+
+def test_attention_keeps_numbers_at_extreme_logits():
+    """Logits far beyond what exp can carry give finite gradients and scores."""
+    n = np.array([1, 40])
+    ids = np.append(20, np.append(np.arange(39) % 20, 20))
+    model = AttentionModel(20, np.bincount(ids, minlength=21), np.arange(20) % 5, 3)
+    for size in (1e3, -1e3):
+        for k in ("q", "c", "wc"):
+            model.w[k][:] = size
+        place, scored = model.windows(n)
+        gradient = model._gradient(place, scored, *model._inputs(ids, n, ids % 3))
+        assert all(np.isfinite(g).all() for g in gradient.values())
+        assert all(np.isfinite(x).all() for x in model.score(ids, n, ids % 3))
+
+
 def test_attention_scores_each_id_once_and_causally():
     rng = np.random.default_rng(4)
     ids = rng.integers(0, 20, 90)
