@@ -707,3 +707,68 @@ def test_neighbour_counts_equal_counts_by_place():
                     if 0 <= i + d < len(t):
                         want[j, t[i], slot[t[i + d]]] += 1
         assert (got == want).all()
+
+
+def test_attention_gradient_makes_no_keys_and_values():
+    """Query and key, and value and output, are multiplied first: batches take less memory and the weights' gradients stay."""
+    import tracemalloc
+    rng = np.random.default_rng(6)
+    n = rng.integers(1, 70, 200)
+    ids = rng.integers(0, 2000, n.sum())
+    ids[np.cumsum(n) - 1] = 2000
+    words = np.where(rng.random(len(ids)) < 0.6, ids % 49, -1)
+    model = AttentionModel(2000, np.bincount(ids, minlength=2001), np.arange(2000) % 64, 49)
+    place, scored = model.windows(n)
+    inputs = model._inputs(ids, n, words)
+
+    def peak(run):
+        tracemalloc.start()
+        out = run()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most, out
+    most, gradient = peak(lambda: model._gradient(place[:256], scored[:256], *inputs))
+    assert most < 5.3e6                                 # 4.9 MB; 5.8 MB with keys and values
+    assert peak(lambda: model.score(ids, n, words))[0] < 3.4e6      # 2.4 MB; 4.4 MB with them
+    # the loss hangs on q @ k.T and v @ o only, which ties their gradients to each other
+    w, g = model.w, gradient
+    for a, b in ((w["q"].T @ g["q"], g["k"].T @ w["k"]), (w["v"].T @ g["v"], g["o"] @ w["o"].T)):
+        assert np.abs(a - b).max() < 1e-4 * np.abs(a).max()
+
+
+def test_adam_steps_by_the_formula():
+    from cohortia.llm.attention import Adam
+    rng = np.random.default_rng(2)
+    w = {"a": rng.normal(size=(3, 4)).astype(np.float32), "b": np.ones(5, np.float32)}
+    want, m1, m2 = ({k: f(x).astype(float) for k, x in w.items()} for f in (np.copy, np.zeros_like, np.zeros_like))
+    adam = Adam(w)
+    for step in range(1, 31):
+        g = {k: (rng.normal(size=x.shape) * (step % 4)).astype(np.float32) for k, x in reversed(w.items())}
+        adam(g, 0.01)
+        for k, d in g.items():
+            m1[k], m2[k] = 0.9 * m1[k] + 0.1 * d, 0.98 * m2[k] + 0.02 * d.astype(float) ** 2
+            want[k] -= 0.01 * min(1, step / 20) * m1[k] / (1 - 0.9 ** step) / (np.sqrt(m2[k] / (1 - 0.98 ** step)) + 1e-8)
+            assert np.abs(w[k] - want[k]).max() < 1e-5
+    assert w["a"].base is w["b"].base is adam.flat
+
+
+def test_words_of_letters_and_marks_are_never_strings():
+    """``encode_words`` gives the ids of ``encode``, which sees only marks and words that can't be merged as arrays."""
+    e = WordEncoder(tokenizer())
+    odd = ["don't", "3.14", "x-y", "中文", "☃", "éx", "<|endoftext|>", "a<|endoftext|>", "İx,", "x" * 65, "\xa0", "~", "\x00", "\x1c,"]
+    plain = ["word", "Word", "straße", "ÀÉ", "x" * 64, "word,", "dogs'", "what?!", "ß$$$", "a~", "b.***"]
+    for words in ([], [""], plain, odd, plain + odd, ["word,"] * 3, ["?!", "", "a"], ["\x1c"]):
+        want = e.encode(words)
+        ids, n = e.encode_words([w.encode() for w in words])
+        assert ids.tolist() == np.frombuffer(b"".join(want), "<u4").tolist() and n.tolist() == [len(x) // 4 for x in want]
+    seen, e.encode = [], lambda texts, inner=e.encode: seen.extend(texts) or inner(texts)
+    e.encode_words([w.encode() for w in plain + ["x-y"]])
+    assert sorted(seen) == sorted([",", "'", "?!", "$$$", "~", ".***", "x-y"])
+
+
+def test_words_of_a_shard_are_numbered_together():
+    texts = [b"", b"a bc \xff\xfe", b"", b"bc", b"a b a"]
+    number, many = lm_scoring.same_words(texts)
+    words = b" ".join(texts).split()
+    assert many == len(set(words)) == len(set(number.tolist())) == len(set(zip(words, number.tolist(), strict=True)))
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in lm_scoring.same_words([b"", b""])] == [[], 0]
